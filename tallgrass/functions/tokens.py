@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values of the word statistics.
 MAX_WORDS_PER_LINE = 40
@@ -11,13 +13,25 @@ MARGINAL_MARK = "*"
 
 
 def tokenize(text: str | Column, letters: str = "a-z") -> Column:
-    """Lower-cased words of a line, stripped of non-letters at both ends.
+    """Lower-cased words between white space, cut at their first and last letter.
+
+    ``letters`` is the inside of a regular-expression character class. One
+    pattern finds a word from its first letter to its last one, so the whole
+    function is a single compiled expression.
+    """
+    word = rf"[{letters}](?:[^ \t\n\x0B\f\r]*[{letters}])?"
+    return F.regexp_extract_all(F.lower(text), F.lit(word), F.lit(0))
+
+
+def explode_once(table: DataFrame, items: Column, *names: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per item, as ``names`` = item or position and item; ``keep`` stays.
 
-    ``letters`` is the inside of a regular-expression character class.
+    Below a plain ``explode`` the optimizer adds a filter on the array's size
+    and evaluates the array a second time for it. The outer form has no such
+    filter; its null rows are dropped here.
     """
-    words = F.split(F.lower(text), r"[ \t\n\x0B\f\r]+")
-    edges = f"^[^{letters}]+|[^{letters}]+$"
-    return F.filter(F.transform(words, lambda w: F.regexp_replace(w, edges, "")), lambda w: w != "")
+    explode = F.explode_outer if len(names) == 1 else F.posexplode_outer
+    return table.select(*keep, explode(items).alias(*names)).filter(F.col(names[-1]).isNotNull())
 
 
 def distinct_words(tokens: str | Column, max_words: int = MAX_WORDS_PER_LINE) -> Column:

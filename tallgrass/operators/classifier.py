@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallgrass.functions.stats import label_to_target, logistic, predicted_label
-from tallgrass.operators.skew import lookup_join
+from tallgrass.operators.skew import is_small, lookup_join
 from tallgrass.session import new_run_dir
 
 RATE = 0.002  # fixed value: learning rate
@@ -93,15 +93,20 @@ def train_epochs(
     """
     spark = instances.sparkSession
     base = base or new_run_dir(spark, "weights")
-    # By document once: scores and residuals of all epochs stay in place.
-    occurrences = (
+    # By document once: scores and residuals of all epochs stay in place. Only
+    # a document's own features are gathered.
+    bags = (
         instances.select("doc_id", label_to_target(F.col("label")).alias("target"), "features")
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
-        .select("doc_id", "target", F.explode("features").alias("feature"))
+        .select("doc_id", "target", F.explode_outer("features").alias("feature"))
+        .filter("feature is not null")
         .groupBy("doc_id", "target", "feature")
         .agg(F.count(F.lit(1)).alias("times"))
+        .groupBy("doc_id", "target")
+        .agg(F.collect_list(F.struct("feature", "times")).alias("bag"))
         .persist()
     )
+    occurrences = bags.select("doc_id", "target", F.explode("bag").alias("b")).select("doc_id", "target", "b.*")
 
     def place(epoch: int) -> str:
         return f"{base}/epoch={epoch:04d}"
@@ -110,18 +115,22 @@ def train_epochs(
         occurrences.groupBy("feature").agg(
             F.count(F.lit(1)).alias("docs"), F.lit(0.0).alias("weight")
         ).write.mode("overwrite").parquet(place(0))
+        small = is_small(spark.read.parquet(place(0)))
         for epoch in range(epochs):
             weights = spark.read.parquet(place(epoch))
-            scores = (
-                lookup_join(occurrences, weights, "feature", weight="docs", spread_by=["doc_id"])
-                .groupBy("doc_id", "target")
-                .agg(F.sum(F.col("times") * F.col("weight")).alias("score"))
+            if small:
+                weighted = occurrences.join(F.broadcast(weights), "feature")
+            else:
+                weighted = lookup_join(occurrences, weights, "feature", weight="docs", spread_by=["doc_id"])
+            scores = weighted.groupBy("doc_id", "target").agg(
+                F.sum(F.col("times") * F.col("weight")).alias("score")
             )
             residuals = scores.select("doc_id", (F.col("target") - logistic(F.col("score"))).alias("residual"))
             gradient = (
-                occurrences.join(residuals, "doc_id")
-                .groupBy("feature")
-                .agg(F.sum(F.col("times") * F.col("residual")).alias("gradient"))
+                bags.join(residuals, "doc_id")
+                .select("residual", F.explode("bag").alias("b"))
+                .groupBy("b.feature")
+                .agg(F.sum(F.col("b.times") * F.col("residual")).alias("gradient"))
             )
             (
                 weights.join(gradient, "feature")
@@ -130,34 +139,46 @@ def train_epochs(
                 .parquet(place(epoch + 1))
             )
     finally:
-        occurrences.unpersist()
+        bags.unpersist()
     return spark.read.parquet(place(epochs)).select(F.lit(model_id).alias("model_id"), "feature", "weight")
 
 
 def _weighted(instances: DataFrame, model: DataFrame) -> DataFrame:
-    """One row per feature occurrence and model with the weight found there.
+    """``(doc_id, label, model_id, weight)`` per feature occurrence and model.
 
-    The models of a feature travel as one array, so the lookup has one record
-    per feature. The number of models bounds the array.
+    Occurrences that no model knows, and documents without features, keep one
+    row with nulls. The models of a feature travel as one array, so the lookup
+    has one record per feature. A model beyond the broadcast bound is joined by
+    feature, with the features of most occurrences handled apart.
     """
-    occurrences = instances.select("doc_id", F.explode("features").alias("feature"))
-    uses = occurrences.groupBy("feature").agg(F.count(F.lit(1)).alias("uses"))
-    by_feature = (
-        model.groupBy("feature")
-        .agg(F.collect_list(F.struct("model_id", "weight")).alias("weights"))
-        .join(uses, "feature")
+    occurrences = instances.select("doc_id", "label", F.explode_outer("features").alias("feature"))
+    by_feature = model.groupBy("feature").agg(
+        F.collect_list(F.struct("model_id", "weight")).alias("weights")
+    )
+    if is_small(model):
+        found = occurrences.join(F.broadcast(by_feature), "feature", "left")
+    else:
+        uses = occurrences.groupBy("feature").agg(F.count(F.lit(1)).alias("uses"))
+        found = lookup_join(
+            occurrences, by_feature.join(uses, "feature"), "feature", weight="uses", spread_by=["doc_id"]
+        )
+    return found.select("doc_id", "label", F.explode_outer("weights").alias("w")).select(
+        "doc_id", "label", "w.model_id", "w.weight"
     )
-    found = lookup_join(occurrences, by_feature, "feature", weight="uses", spread_by=["doc_id"])
-    return found.select("doc_id", F.explode("weights").alias("w")).select("doc_id", "w.model_id", "w.weight")
 
 
 def score(instances: DataFrame, model: DataFrame) -> DataFrame:
-    """``(doc_id, label, score, predicted)`` with one model; unknown features add 0."""
-    sums = _weighted(instances, model).groupBy("doc_id").agg(F.sum("weight").alias("score"))
-    total = F.coalesce("score", F.lit(0.0))
-    return instances.select("doc_id", "label").join(sums, "doc_id", "left").select(
-        "doc_id", "label", total.alias("score"), predicted_label(total).alias("predicted")
+    """``(doc_id, label, score, predicted)`` with one model; unknown features add 0.
+
+    ``doc_id`` is unique. ``model`` should be a stored table: its size is
+    checked first.
+    """
+    sums = (
+        _weighted(instances, model)
+        .groupBy("doc_id", "label")
+        .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"))
     )
+    return sums.withColumn("predicted", predicted_label(F.col("score")))
 
 
 def score_ensemble(instances: DataFrame, models: DataFrame, method: str) -> DataFrame:
@@ -169,17 +190,17 @@ def score_ensemble(instances: DataFrame, models: DataFrame, method: str) -> Data
     if method not in ("average", "vote"):
         raise ValueError(f"unknown method {method!r}: expected 'average' or 'vote'")
     n_models = models.agg(F.count_distinct("model_id")).scalar()
-    per_model = _weighted(instances, models).groupBy("doc_id", "model_id").agg(F.sum("weight").alias("score"))
+    per_model = (
+        _weighted(instances, models)
+        .groupBy("doc_id", "label", "model_id")
+        .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"))
+    )
     if method == "average":
-        combined = F.sum("score")
-        final = F.coalesce("combined", F.lit(0.0)) / n_models
+        combined = F.sum("score") / n_models
     else:
-        combined = F.sum((F.col("score") > 0).cast("long"))
-        final = (F.lit(2) * F.coalesce("combined", F.lit(0)) - n_models).cast("double")
-    sums = per_model.groupBy("doc_id").agg(combined.alias("combined"))
+        combined = (2 * F.sum((F.col("score") > 0).cast("long")) - n_models).cast("double")
     return (
-        instances.select("doc_id", "label")
-        .join(sums, "doc_id", "left")
-        .select("doc_id", "label", final.alias("score"))
+        per_model.groupBy("doc_id", "label")
+        .agg(combined.alias("score"))
         .withColumn("predicted", predicted_label(F.col("score")))
     )

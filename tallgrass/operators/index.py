@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import Window
 
-from tallgrass.functions.tokens import tokenize
+from tallgrass.functions.tokens import explode_once, tokenize
 from tallgrass.sources.sinks import save_sorted
 
 DOCS_PER_BLOCK = 1 << 18
@@ -28,7 +28,7 @@ class InvertedIndex(NamedTuple):
 def term_frequencies(docs: DataFrame, letters: str = "a-z") -> DataFrame:
     """``(term, doc_id, tf)`` from ``docs(doc_id, text)``."""
     return (
-        docs.select("doc_id", F.explode(tokenize("text", letters)).alias("term"))
+        explode_once(docs, tokenize("text", letters), "term", keep=["doc_id"])
         .groupBy("term", "doc_id")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -14,6 +14,7 @@ from tallgrass.functions.tokens import (
     MARGINAL_MARK,
     MAX_WORDS_PER_LINE,
     distinct_words,
+    explode_once,
     tokenize,
 )
 from tallgrass.operators.skew import lookup_join
@@ -34,7 +35,7 @@ def line_count(tokenized: DataFrame) -> DataFrame:
 def word_line_counts(tokenized: DataFrame, max_words: int = MAX_WORDS_PER_LINE) -> DataFrame:
     """In how many lines a word occurs among the first ``max_words`` tokens."""
     return (
-        tokenized.select(F.explode(distinct_words("tokens", max_words)).alias("w"))
+        explode_once(tokenized, distinct_words("tokens", max_words), "w")
         .groupBy("w")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -50,11 +51,10 @@ def pair_counts(
     A line has at most ``max_words`` words, so it gives a bounded number of
     pairs, each one once: half of what the two directions would shuffle.
     """
-    words = tokenized.filter(F.size("tokens") > 1).select(
-        F.array_sort(distinct_words("tokens", max_words)).alias("words")
-    )
-    left = words.select("words", F.posexplode("words").alias("i", "x"))
-    pairs = left.select("x", F.explode(F.slice("words", F.col("i") + 2, F.size("words"))).alias("y"))
+    words = tokenized.select(F.array_sort(distinct_words("tokens", max_words)).alias("words"))
+    left = explode_once(words, F.col("words"), "i", "x", keep=["words"])
+    after_x = F.slice("words", F.col("i") + 2, F.size("words"))
+    pairs = explode_once(left, after_x, "y", keep=["x"])
     counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
     return counted if threshold <= 1 else counted.filter(F.col("n") >= threshold)
 
@@ -125,9 +125,7 @@ def pmi_stripes(
 
 def bigram_counts(tokenized: DataFrame) -> DataFrame:
     """Neighbouring tokens ``(x, y, n)`` over the whole of every line."""
-    at = tokenized.filter(F.size("tokens") > 1).select(
-        "tokens", F.posexplode("tokens").alias("i", "x")
-    )
+    at = explode_once(tokenized, F.col("tokens"), "i", "x", keep=["tokens"])
     return (
         at.select("x", F.get("tokens", F.col("i") + 1).alias("y"))
         .filter("y is not null")

@@ -87,8 +87,8 @@ bigrams as materialized (
   group by x, y
 ),
 freqs as (
-  select x, y, n, m.marginal, round(n / m.marginal, 9) as freq, m.entries
-  from bigrams join (select x, sum(n)::bigint as marginal, count(*) as entries from bigrams group by x) m using (x)
+  select x, y, n, m.marginal, round(n / m.marginal, 9) as freq
+  from bigrams join (select x, sum(n)::bigint as marginal from bigrams group by x) m using (x)
 )"""
 
 WORDS = {
@@ -100,12 +100,12 @@ WORDS = {
     "pair_counts": f"with {LINES}, {HEADS}, {PAIRS} select x, y, n from pairs",
     "pmi_pairs": f"with {LINES}, {HEADS}, {PAIRS} select x, y, pmi, n from scored",
     "pmi_stripes": f"""with {LINES}, {HEADS}, {PAIRS}
-        select x, y, count(*) over (partition by x) as entries, pmi, n from scored""",
+        select x, y, pmi, n from scored""",
     "bigram_freq": f"with {LINES}, {BIGRAMS} select x, y, n, marginal, freq from freqs",
     "bigram_marginals": f"""with {LINES}, {BIGRAMS}
         select x, y, n from bigrams
         union all select x, '*' as y, sum(n)::bigint as n from bigrams group by x""",
-    "bigram_stripes": f"with {LINES}, {BIGRAMS} select x, y, entries, freq from freqs",
+    "bigram_stripes": f"with {LINES}, {BIGRAMS} select x, y, freq from freqs",
 }
 
 # ---- index and retrieval ----
@@ -217,7 +217,7 @@ labelled as (select doc_id, case when toxic = 1 then 'spam' else 'ham' end as la
 
 MODELS = f"""
 models as materialized (
-  select 'm' || k as model_id, feature, ((feature * k) % 201 - 100) / 1000 as weight
+  select 'm' || k as model_id, feature, ((feature * k) % 201 - 100) / 1024 as weight
   from (select distinct feature from occ where doc_id in (select doc_id from labelled)),
        (select unnest({list(MODEL_FACTORS)}) as k)
 ),

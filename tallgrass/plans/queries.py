@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallgrass.functions.regions import Region
-from tallgrass.functions.tokens import tokenize
+from tallgrass.functions.tokens import explode_once, tokenize
 from tallgrass.operators import classifier, graph, index, windows, words
-from tallgrass.operators.skew import lookup_join
 from tallgrass.plans import relational
 from tallgrass.session import new_run_dir
 from tallgrass.sources import records
+from tallgrass.sources.sinks import save
 from tallgrass.sources.tables import format_delimited, load_table, parse_delimited, widen
 from tallgrass.sources.text import lines_of
 from tallgrass.streaming import jobs
@@ -119,7 +119,8 @@ def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tokens(spark, sf_dir):
-    return _tokenized(spark, sf_dir).select("doc_id", "line_no", F.posexplode("tokens").alias("pos", "token"))
+    found = _tokenized(spark, sf_dir)
+    return explode_once(found, F.col("tokens"), "pos", "token", keep=["doc_id", "line_no"])
 
 
 @query
@@ -142,18 +143,12 @@ def pmi_pairs(spark, sf_dir):
     return _rounded(words.pmi_pairs(_tokenized(spark, sf_dir), PMI_THRESHOLD), 6, "pmi")
 
 
-def _unfold(stripes: DataFrame) -> DataFrame:
-    """Stripes as rows, with the number of entries of the whole stripe of ``x``."""
-    sizes = stripes.groupBy("x").agg(F.sum(F.size("stripe")).cast("long").alias("entries"))
-    entries = stripes.select("x", F.explode("stripe").alias("y", "value"))
-    return lookup_join(entries, sizes, "x", weight="entries", spread_by=["y"])
-
-
 @query
 def pmi_stripes(spark, sf_dir):
+    """Built as maps, compared entry by entry."""
     stripes = words.pmi_stripes(_tokenized(spark, sf_dir), PMI_THRESHOLD)
-    entries = _unfold(stripes).select("x", "y", "entries", "value.pmi", "value.n")
-    return _rounded(entries, 6, "pmi")
+    entries = stripes.select("x", F.explode("stripe").alias("y", "value"))
+    return _rounded(entries.select("x", "y", "value.pmi", "value.n"), 6, "pmi")
 
 
 @query
@@ -169,8 +164,9 @@ def bigram_marginals(spark, sf_dir):
 
 @query
 def bigram_stripes(spark, sf_dir):
+    """Built as maps, compared entry by entry."""
     stripes = words.bigram_stripes(_tokenized(spark, sf_dir))
-    return _unfold(stripes).select("x", "y", "entries", F.round("value", 9).alias("freq"))
+    return _rounded(stripes.select("x", F.explode("stripe").alias("y", "freq")), 9, "freq")
 
 
 # ---- index and retrieval ----
@@ -339,18 +335,23 @@ def _all_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights by a fixed formula on the features of labelled documents."""
-    features = _labelled(spark, sf_dir).select(F.explode("features").alias("feature")).distinct()
+    """Stored weights by a fixed formula on the features of labelled documents.
+
+    They are multiples of 1/1024, so sums are exact in any order.
+    """
+    features = explode_once(_labelled(spark, sf_dir), F.col("features"), "feature").distinct()
     weights = F.array(
         *[
             F.struct(
                 F.lit(f"m{k}").alias("model_id"),
-                (((F.col("feature") * k) % 201 - 100) / 1000).alias("weight"),
+                (((F.col("feature") * k) % 201 - 100) / 1024).alias("weight"),
             )
             for k in MODEL_FACTORS
         ]
     )
-    return features.select("feature", F.explode(weights).alias("m")).select("m.model_id", "feature", "m.weight")
+    place = new_run_dir(spark, "model")
+    save(features.select("feature", F.explode(weights).alias("m")).select("m.model_id", "feature", "m.weight"), place)
+    return spark.read.parquet(place)
 
 
 @query
@@ -362,8 +363,8 @@ def features(spark, sf_dir):
     )
     parsed = records.parse_instances(lines)
     return (
-        parsed.select(F.col("doc_id").cast("long").alias("doc_id"), "label", F.explode("features").alias("feature"))
-        .groupBy("doc_id", "label", "feature")
+        explode_once(parsed, F.col("features"), "feature", keep=["doc_id", "label"])
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"), "label", "feature")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -159,6 +159,21 @@ def start_state(graph: Graph, sources: Sequence[int], base: str) -> None:
     _check_nodes(state.sparkSession.read.parquet(_state_path(base, 0)), sources)
 
 
+def arrivals(edges: DataFrame, ranked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Mass that arrives at every id when each node shares its rank among its edges."""
+    reached = F.greatest(*columns, F.lit(0.0)) > 0
+    shares = ranked.filter((F.col("degree") > 0) & reached).select(
+        F.col("id").alias("src"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        *[(F.col(c) / F.col("degree")).alias(c) for c in columns],
+    )
+    return (
+        edges.join(shares, ["src", "block"])
+        .groupBy(F.col("dst").alias("id"))
+        .agg(*[F.sum(F.col(c) * F.col("weight")).alias(c) for c in columns])
+    )
+
+
 def advance(graph: Graph, sources: Sequence[int], base: str, start: int, end: int) -> None:
     """Run iterations ``start`` to ``end - 1``; each reads and writes one state table.
 
@@ -173,20 +188,9 @@ def advance(graph: Graph, sources: Sequence[int], base: str, start: int, end: in
         for i in range(start, end):
             state = spark.read.parquet(_state_path(base, i))
             ranked = state.select("id", "degree", "blocks", *_ranks(state, sources))
-            reached = F.greatest(*columns, F.lit(0.0)) > 0
-            shares = ranked.filter((F.col("degree") > 0) & reached).select(
-                F.col("id").alias("src"),
-                F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                *[(F.col(c) / F.col("degree")).alias(c) for c in columns],
-            )
-            arrived = (
-                edges.join(shares, ["src", "block"])
-                .groupBy(F.col("dst").alias("id"))
-                .agg(*[F.sum(F.col(c) * F.col("weight")).alias(c) for c in columns])
-            )
             (
                 state.drop(*columns)
-                .join(arrived, "id", "left")
+                .join(arrivals(edges, ranked, columns), "id", "left")
                 .select(
                     "id", "copies", "degree", "blocks",
                     *[F.coalesce(c, F.lit(0.0)).alias(c) for c in columns],

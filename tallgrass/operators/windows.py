@@ -10,10 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallgrass.functions.regions import Region, all_regions, first_region
+from tallgrass.functions.times import to_instant
 
 MIN_ARRIVALS = 10  # fixed value: fewest arrivals that can raise an alert
 GROWTH = 2  # fixed value: growth over the window before that raises one
-EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def choose_point(
@@ -111,7 +111,7 @@ def trending(
     )
     alert = (F.col("current") >= min_arrivals) & (F.col("current") >= F.col("previous") * growth)
     title = F.coalesce(*[F.when(F.col("region") == r.name, F.lit(r.title or r.name)) for r in regions])
-    at = F.expr(f"timestampdiff(MILLISECOND, {EPOCH}, window_end)")
+    at = F.unix_millis(to_instant(F.col("window_end")))
     text = F.format_string(
         "Number of arrivals to %s has doubled from %d to %d at %d!", title, "previous", "current", at
     )

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallgrass.functions.regions import Region
-from tallgrass.operators.windows import EPOCH, locate
+from tallgrass.functions.times import to_instant, to_wall
+from tallgrass.operators.windows import locate
 
 WATERMARK = "1 hour"
 ALL_EVENTS = "all"  # fixed value: the key of a count over every event
@@ -35,18 +36,10 @@ def stream_files(
 
 
 def with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """Read a ``timestamp_ntz`` column as UTC: a watermark needs an instant.
-
-    The conversion does not depend on the time zone of the session.
-    """
+    """Read a ``timestamp_ntz`` column as UTC: a watermark needs an instant."""
     if not isinstance(events.schema[ts].dataType, T.TimestampNTZType):
         return events
-    micros = F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, {ts})")
-    return events.withColumn(ts, F.timestamp_micros(micros))
-
-
-def _utc(column: str):
-    return F.expr(f"timestampadd(MICROSECOND, unix_micros({column}), {EPOCH})")
+    return events.withColumn(ts, to_instant(F.col(ts)))
 
 
 def count_windows(
@@ -99,5 +92,5 @@ def read_counts(spark: SparkSession, place: str) -> DataFrame:
         F.col("value.count").alias("n"),
     )
     return closed.unionByName(still_open).select(
-        _utc("start").alias("window_start"), _utc("end").alias("window_end"), "region", "n"
+        to_wall(F.col("start")).alias("window_start"), to_wall(F.col("end")).alias("window_end"), "region", "n"
     )

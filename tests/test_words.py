@@ -1,0 +1,163 @@
+import math
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallgrass.functions.tokens import tokenize
+from tallgrass.operators import words
+from tallgrass.operators.skew import lookup_join
+
+
+def lines(spark, *values):
+    return words.tokenized_lines(spark.createDataFrame([(v,) for v in values], "value string"))
+
+
+def plain_tokens(line):
+    kept = (w.strip("".join(c for c in set(w) if not "a" <= c <= "z")) for w in line.lower().split())
+    return [w for w in kept if w]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("", []),
+        ("  \t ", []),
+        ("Hello, World!", ["hello", "world"]),
+        ("don't 'quoted' (x)", ["don't", "quoted", "x"]),
+        ("123 4a5 --- a--b--", ["a", "a--b"]),
+        ("élan café naïve", ["lan", "caf", "naïve"]),
+        ("a\tb\x0bc\nd", ["a", "b", "c", "d"]),
+    ],
+)
+def test_tokenize(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "value string")
+    assert df.select(tokenize("value")).first()[0] == expected
+
+
+def test_tokenize_letters_parameter(spark):
+    df = spark.createDataFrame([("Élan 7up",)], "value string")
+    assert df.select(tokenize("value", "a-zé0-9")).first()[0] == ["élan", "7up"]
+
+
+def test_tokenize_long_run_without_spaces(spark):
+    text = "a" + "1" * 500_000 + "b" + "-" * 500_000
+    df = spark.createDataFrame([(text,)], "value string")
+    assert [len(t) for t in df.select(tokenize("value")).first()[0]] == [500_002]
+
+
+CORPUS = [
+    "a b c",
+    "",
+    "only",
+    "b a b a",
+    " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)),
+    "a " * 39 + "c d",
+    "... 12 --",
+]
+
+
+def brute_pairs(corpus, limit=40):
+    counts, singles = Counter(), Counter()
+    for line in corpus:
+        distinct = set(plain_tokens(line)[:limit])
+        singles.update(distinct)
+        for x, y in combinations(sorted(distinct), 2):
+            counts[x, y] += 1
+    return counts, singles
+
+
+def test_pairs_and_word_counts_equal_brute_force(spark):
+    counts, singles = brute_pairs(CORPUS)
+    tokenized = lines(spark, *CORPUS)
+    assert {(r.x, r.y): r.n for r in words.pair_counts(tokenized).collect()} == counts
+    assert {r.w: r.n for r in words.word_line_counts(tokenized).collect()} == singles
+    assert words.line_count(tokenized).first()[0] == len(CORPUS)
+
+
+def check_pmi(spark, tokenized, corpus, threshold):
+    counts, singles = brute_pairs(corpus)
+    found = {(r.x, r.y): r for r in words.pmi_pairs(tokenized, threshold).collect()}
+    wanted = {k: n for k, n in counts.items() if n >= threshold}
+    assert set(found) == set(wanted) | {(y, x) for x, y in wanted}
+    for (x, y), n in wanted.items():
+        pmi = math.log10(n * len(corpus) / (singles[x] * singles[y]))
+        assert found[x, y].pmi == pytest.approx(pmi)
+        assert found[y, x].pmi == found[x, y].pmi
+        assert found[x, y].n == n
+
+
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_pmi(spark, threshold):
+    check_pmi(spark, lines(spark, *CORPUS), CORPUS, threshold)
+
+
+def test_pmi_with_shuffle_joins_and_a_word_in_every_line(spark, no_broadcast):
+    rng = random.Random(5)
+    corpus = ["the " + " ".join(f"x{rng.choice('abcdefghij')}{rng.choice('abcdefghij')}" for _ in range(6)) for _ in range(60)]
+    check_pmi(spark, lines(spark, *corpus), corpus, 1)
+
+
+def test_stripes_hold_the_pairs_and_are_cut_into_blocks(spark):
+    corpus = ["hub " + f"x{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    tokenized = lines(spark, *corpus)
+    pairs = {(r.x, r.y): (r.pmi, r.n) for r in words.pmi_pairs(tokenized).collect()}
+    stripes = words.pmi_stripes(tokenized, max_entries=20).collect()
+    found = {(r.x, y): (v.pmi, v.n) for r in stripes for y, v in r.stripe.items()}
+    assert found == pairs
+    blocks = [r for r in stripes if r.x == "hub"]
+    assert len(blocks) > 5 and max(len(r.stripe) for r in blocks) < 60
+    assert all(r.block == 0 for r in stripes if r.x != "hub")
+    whole = [r for r in words.pmi_stripes(tokenized).collect() if r.x == "hub"]
+    assert len(whole) == 1 and len(whole[0].stripe) == 200
+
+
+def brute_bigrams(corpus):
+    counts = Counter()
+    for line in corpus:
+        t = plain_tokens(line)
+        counts.update(zip(t, t[1:]))
+    return counts
+
+
+def test_bigrams(spark):
+    counts = brute_bigrams(CORPUS)
+    tokenized = lines(spark, *CORPUS)
+    rows = words.bigram_frequencies(tokenized).collect()
+    assert {(r.x, r.y): r.n for r in rows} == counts
+    sums = Counter()
+    for r in rows:
+        sums[r.x] += r.freq
+        assert r.freq == r.n / r.marginal
+    assert all(total == pytest.approx(1) for total in sums.values())
+    marked = {(r.x, r.y): r.n for r in words.bigrams_with_marginals(tokenized).collect()}
+    assert marked["b", "*"] == sum(n for (x, _), n in counts.items() if x == "b")
+    stripes = words.bigram_stripes(tokenized, max_entries=2).collect()
+    assert {(r.x, y): f for r in stripes for y, f in r.stripe.items()} == {(r.x, r.y): r.freq for r in rows}
+
+
+@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
+def test_lookup_join_is_an_equality_join(spark, no_broadcast, hot_keys):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v")
+    )
+    table = rows.filter("k != 7").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+    got = lookup_join(rows, table, "k", "n", ["v"], hot_keys)
+    wanted = rows.join(table, "k", "left")
+    assert got.columns == wanted.columns
+    assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
+
+
+def test_lookup_join_spreads_a_hot_key(spark, no_broadcast):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(0, 8000, 1, 4).select(F.lit("the").alias("k"), "id")
+        table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = lookup_join(rows, table, "k", "n", ["id"])
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) == 4 and max(sizes) < 8000 * 0.4

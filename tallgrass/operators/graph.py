@@ -22,11 +22,7 @@ TOP_SHARDS = 1024
 
 
 class Graph(NamedTuple):
-    """``nodes(id, copies, degree, blocks)`` and ``edges(src, block, dst, weight)``.
-
-    ``weight`` counts repeats of an edge. The edges of a node with very many
-    targets are cut into ``blocks`` parts by a hash of the target.
-    """
+    """``nodes(id)`` and ``edges(src, dst, weight)``; ``weight`` counts repeats of an edge."""
 
     nodes: DataFrame
     edges: DataFrame
@@ -37,50 +33,27 @@ def adjacency_edges(adjacency: DataFrame) -> DataFrame:
     return adjacency.select(F.col("id").alias("src"), F.explode("neighbors").alias("dst"))
 
 
-def build_graph(nodes: DataFrame, edges: DataFrame, edges_per_block: int = EDGES_PER_BLOCK) -> Graph:
+def build_graph(nodes: DataFrame, edges: DataFrame) -> Graph:
     """A graph from ``nodes(id)`` and ``edges(src, dst)``, repeats allowed.
 
-    Edges out of an id that is no node are not part of the graph. Edges into
-    one are: what they carry is lost.
+    Edges out of an id that is no node never carry anything. What edges into
+    such an id carry is lost.
     """
-    merged = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
-    degrees = merged.groupBy("src").agg(
-        F.sum("weight").alias("degree"), F.count(F.lit(1)).alias("targets")
-    )
-    # At most HOT_KEYS rows: safe to broadcast whatever the size of the graph.
-    split = (
-        hottest(degrees, "src", "targets")
-        .filter(F.col("targets") > edges_per_block)
-        .select("src", F.ceil(F.col("targets") / F.lit(edges_per_block)).cast("int").alias("blocks"))
-    )
-    blocked = merged.join(F.broadcast(split), "src", "left").select(
-        "src",
-        F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"),
-        "dst",
-        "weight",
-    )
-    counted = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
-    described = (
-        counted.join(degrees.select(F.col("src").alias("id"), "degree"), "id", "left")
-        .join(F.broadcast(split.withColumnRenamed("src", "id")), "id", "left")
-        .select(
-            "id",
-            "copies",
-            F.coalesce("degree", F.lit(0)).alias("degree"),
-            F.coalesce("blocks", F.lit(1)).alias("blocks"),
-        )
+    return Graph(
+        nodes.select("id"), edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
     )
-    return Graph(described, blocked)
 
 
 def graph_from_adjacency(adjacency: DataFrame) -> Graph:
     """A graph from parsed adjacency records: every record is a node."""
-    return build_graph(adjacency.select("id"), adjacency_edges(adjacency))
+    return build_graph(adjacency, adjacency_edges(adjacency))
 
 
-def save_graph(graph: Graph, path: str) -> None:
+def save_graph(graph: Graph, path: str) -> Graph:
+    """Store a graph and return the stored one: raw edges are then read only once."""
     graph.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
     graph.edges.write.mode("overwrite").parquet(f"{path}/edges")
+    return load_graph(graph.nodes.sparkSession, path)
 
 
 def load_graph(spark: SparkSession, path: str) -> Graph:
@@ -88,19 +61,24 @@ def load_graph(spark: SparkSession, path: str) -> Graph:
 
 
 def partition_graph(graph: Graph, parts: int) -> Graph:
-    """Nodes by id and edges by source block, ``parts`` partitions each."""
-    return Graph(
-        graph.nodes.repartition(parts, "id"), graph.edges.repartition(parts, "src", "block")
+    """``parts`` partitions by node id; edges are spread by both their ends."""
+    return Graph(graph.nodes.repartition(parts, "id"), graph.edges.repartition(parts, "src", "dst"))
+
+
+def _degrees(edges: DataFrame) -> DataFrame:
+    return edges.groupBy(F.col("src").alias("id")).agg(
+        F.sum("weight").alias("degree"), F.count(F.lit(1)).alias("targets")
     )
 
 
 def graph_stats(graph: Graph) -> DataFrame:
     """``(nodes, edges, active_nodes, dangling_nodes)``; repeats of an edge count."""
-    return graph.nodes.agg(
+    degree = F.coalesce("degree", F.lit(0))
+    return graph.nodes.join(_degrees(graph.edges), "id", "left").agg(
         F.count(F.lit(1)).alias("nodes"),
-        F.sum("degree").alias("edges"),
-        F.sum((F.col("degree") > 0).cast("long")).alias("active_nodes"),
-        F.sum((F.col("degree") == 0).cast("long")).alias("dangling_nodes"),
+        F.sum(degree).alias("edges"),
+        F.sum((degree > 0).cast("long")).alias("active_nodes"),
+        F.sum((degree == 0).cast("long")).alias("dangling_nodes"),
     )
 
 
@@ -150,15 +128,52 @@ def _ranks(state: DataFrame, sources: Sequence[int]) -> list[Column]:
     return ranks
 
 
-def start_state(graph: Graph, sources: Sequence[int], base: str) -> None:
-    """Write iteration 0: no mass has arrived yet, so all of it is at the source."""
-    state = graph.nodes.select(
-        "id", "copies", "degree", "blocks", *[F.lit(0.0).alias(c) for c in _mass_columns(sources)]
+def start_state(
+    graph: Graph, sources: Sequence[int], base: str, edges_per_block: int = EDGES_PER_BLOCK
+) -> None:
+    """Write iteration 0: no mass has arrived yet, so all of it is at the source.
+
+    ``blocks`` is above 1 for the nodes whose edges have to be split: those with
+    more than ``edges_per_block`` targets among the ``HOT_KEYS`` with most.
+    """
+    degrees = _degrees(graph.edges)
+    split = (
+        hottest(degrees, "id", "targets")
+        .filter(F.col("targets") > edges_per_block)
+        .select("id", F.ceil(F.col("targets") / F.lit(edges_per_block)).cast("int").alias("blocks"))
+    )
+    state = (
+        graph.nodes.groupBy("id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .join(degrees.select("id", "degree"), "id", "left")
+        .join(F.broadcast(split), "id", "left")
+        .select(
+            "id",
+            "copies",
+            F.coalesce("degree", F.lit(0)).alias("degree"),
+            F.coalesce("blocks", F.lit(1)).alias("blocks"),
+            *[F.lit(0.0).alias(c) for c in _mass_columns(sources)],
+        )
     )
     state.write.mode("overwrite").parquet(_state_path(base, 0))
     _check_nodes(state.sparkSession.read.parquet(_state_path(base, 0)), sources)
 
 
+def edge_blocks(graph: Graph, state: DataFrame) -> DataFrame:
+    """``(src, block, dst, weight)``: the edges of a node with many targets in several blocks.
+
+    At most ``HOT_KEYS`` nodes have more than one block, so the list of them is
+    broadcast and edges are not moved to find their block.
+    """
+    split = state.filter(F.col("blocks") > 1).select(F.col("id").alias("src"), "blocks")
+    return graph.edges.join(F.broadcast(split), "src", "left").select(
+        "src",
+        F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"),
+        "dst",
+        "weight",
+    )
+
+
 def arrivals(edges: DataFrame, ranked: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mass that arrives at every id when each node shares its rank among its edges."""
     reached = F.greatest(*columns, F.lit(0.0)) > 0
@@ -183,7 +198,8 @@ def advance(graph: Graph, sources: Sequence[int], base: str, start: int, end: in
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = _mass_columns(sources)
     # Edges are partitioned once. Only ranks and messages move in an iteration.
-    edges = graph.edges.repartition(parts, "src", "block").persist()
+    first = spark.read.parquet(_state_path(base, start))
+    edges = edge_blocks(graph, first).repartition(parts, "src", "block").persist()
     try:
         for i in range(start, end):
             state = spark.read.parquet(_state_path(base, i))
@@ -217,12 +233,17 @@ def read_ranks(spark: SparkSession, sources: Sequence[int], base: str, iteration
 
 
 def personalized_pagerank(
-    graph: Graph, sources: Sequence[int], iterations: int, base: str | None = None
+    graph: Graph,
+    sources: Sequence[int],
+    iterations: int,
+    base: str | None = None,
+    edges_per_block: int = EDGES_PER_BLOCK,
 ) -> DataFrame:
     """``(id, source, score)`` after a number of iterations.
 
-    State is written below ``base``, by default a new folder in the shared
-    folder of the session. Long source lists run in groups.
+    The graph should be a stored one. State is written below ``base``, by
+    default a new folder in the shared folder of the session. Long source lists
+    run in groups.
     """
     sources = list(dict.fromkeys(sources))
     if not sources:
@@ -233,7 +254,7 @@ def personalized_pagerank(
     for at in range(0, len(sources), SOURCES_PER_RUN):
         group = sources[at : at + SOURCES_PER_RUN]
         place = f"{base}/sources={at}"
-        start_state(graph, group, place)
+        start_state(graph, group, place, edges_per_block)
         advance(graph, group, place, 0, iterations)
         ranks = read_ranks(spark, group, place, iterations)
         result = ranks if result is None else result.unionByName(ranks)

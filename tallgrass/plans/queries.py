@@ -264,7 +264,8 @@ def _graph(spark: SparkSession, sf_dir: str, both_ways: bool = True) -> graph.Gr
 
 
 def _ppr(spark: SparkSession, sf_dir: str, iterations: int, both_ways: bool = True) -> DataFrame:
-    return graph.personalized_pagerank(_graph(spark, sf_dir, both_ways), SOURCES, iterations)
+    stored = graph.save_graph(_graph(spark, sf_dir, both_ways), new_run_dir(spark, "graph"))
+    return graph.personalized_pagerank(stored, SOURCES, iterations)
 
 
 @query

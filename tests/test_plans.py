@@ -30,14 +30,15 @@ def test_top_nodes_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(graph.top_nodes(ranks, 5))
 
 
-def test_only_ranks_and_messages_move_in_an_iteration(spark, no_broadcast):
-    nodes = spark.range(50)
+def test_only_ranks_and_messages_move_in_an_iteration(spark, no_broadcast, tmp_path):
     edges = spark.range(500).select((F.col("id") % 50).alias("src"), (F.col("id") % 7).alias("dst"))
-    built = graph.build_graph(nodes, edges)
-    cached = built.edges.repartition(4, "src", "block").persist()
+    built = graph.build_graph(spark.range(50), edges)
+    graph.start_state(built, [1], str(tmp_path))
+    state = spark.read.parquet(str(tmp_path / "iter=0000"))
+    cached = graph.edge_blocks(built, state).repartition(4, "src", "block").persist()
     try:
         cached.count()
-        ranked = built.nodes.select("id", "degree", "blocks", F.lit(0.5).alias("m0"))
+        ranked = state.select("id", "degree", "blocks", F.lit(0.5).alias("m0"))
         plan = plan_of(graph.arrivals(cached, ranked, ["m0"]))
         lines = plan.splitlines()
         scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)

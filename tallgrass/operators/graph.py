@@ -115,19 +115,23 @@ def _ranks(state: DataFrame, sources: Sequence[int]) -> list[Column]:
     """Rank per source from the mass that arrived at every node.
 
     What did not arrive anywhere returns to the source, which also gets the
-    random jump. The lost mass is one number per source, read from the state.
+    random jump.
     """
     columns = _mass_columns(sources)
-    arrived = state.agg(*[F.sum(c).alias(c) for c in columns]).first()
     ranks = []
-    for source, c in zip(sources, columns):
-        lost = max(0.0, 1.0 - (arrived[c] or 0.0))
+    for source, c, lost in zip(sources, columns, _lost(state, columns)):
         at_source = F.col("id") == F.lit(source)
         back = F.when(at_source, F.lit((1.0 - JUMP) * lost + JUMP)).otherwise(F.lit(0.0))
         ranks.append((F.col(c) * F.lit(1.0 - JUMP) + back).alias(c))
     return ranks
 
 
+def _lost(state: DataFrame, columns: Sequence[str]) -> list[float]:
+    """Per source, the mass that arrived at no node: one number each."""
+    arrived = state.agg(*[F.sum(c).alias(c) for c in columns]).first()
+    return [max(0.0, 1.0 - (arrived[c] or 0.0)) for c in columns]
+
+
 def start_state(
     graph: Graph, sources: Sequence[int], base: str, edges_per_block: int = EDGES_PER_BLOCK
 ) -> None:
@@ -218,6 +222,23 @@ def advance(graph: Graph, sources: Sequence[int], base: str, start: int, end: in
         edges.unpersist()
 
 
+def mass_totals(spark: SparkSession, sources: Sequence[int], base: str, iteration: int) -> DataFrame:
+    """``(source, arrived, missing, reached_nodes)`` of one iteration, before any of it returns."""
+    state = spark.read.parquet(_state_path(base, iteration))
+    per_source = F.array(
+        *[
+            F.struct(F.lit(s).cast("long").alias("source"), F.col(c).alias("mass"))
+            for s, c in zip(sources, _mass_columns(sources))
+        ]
+    )
+    return (
+        state.select(F.explode(per_source).alias("r"))
+        .groupBy("r.source")
+        .agg(F.sum("r.mass").alias("arrived"), F.sum((F.col("r.mass") > 0).cast("long")).alias("reached_nodes"))
+        .select("source", "arrived", F.greatest(F.lit(0.0), 1 - F.col("arrived")).alias("missing"), "reached_nodes")
+    )
+
+
 def read_ranks(spark: SparkSession, sources: Sequence[int], base: str, iteration: int) -> DataFrame:
     """``(id, source, score)`` after ``iteration`` iterations, all nodes included."""
     state = spark.read.parquet(_state_path(base, iteration))
@@ -278,3 +299,13 @@ def top_nodes(ranks: DataFrame, k: int, shards: int = TOP_SHARDS) -> DataFrame:
         .filter(F.col("rank") <= k)
         .select("source", "rank", "id", "score")
     )
+
+
+def ranking_lines(top: DataFrame) -> DataFrame:
+    """The rows of :func:`top_nodes` as ``score node`` lines, scores with five decimals."""
+    return top.select("source", "rank", F.format_string("%.5f %d", "score", "id").alias("line"))
+
+
+def parse_sources(text: str) -> list[int]:
+    """A comma-separated list of node ids."""
+    return [int(part) for part in text.split(",") if part.strip()]

@@ -203,6 +203,15 @@ GRAPH = {
           select source, row_number() over (partition by source order by score desc, id)::int as rank, id, score
           from (select id, source, round(p, 9) as score from p5))
         where rank <= 10""",
+    "ppr_report": f"""{_ranks(BOTH_WAYS, 5)}
+        select source, rank, printf('%.5f %d', score, id) as line from (
+          select source, row_number() over (partition by source order by score desc, id)::int as rank, id, score
+          from (select id, source, round(p, 9) as score from p5))
+        where rank <= 10""",
+    "ppr_missing_mass": f"""{_ranks(BOTH_WAYS, 2)}
+        select source, round(sum(mass), 9) as arrived, round(greatest(0.0, 1 - sum(mass)), 9) + 0.0 as missing,
+               count(*) filter (mass > 0) as reached_nodes
+        from in2 group by source""",
 }
 
 # ---- classifier ----

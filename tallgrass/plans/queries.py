@@ -309,6 +309,22 @@ def ppr_top_nodes(spark, sf_dir):
     return graph.top_nodes(ranks, 10)
 
 
+@query
+def ppr_report(spark, sf_dir):
+    """The best nodes as text lines."""
+    ranks = _rounded(_ppr(spark, sf_dir, 5), 9, "score")
+    return graph.ranking_lines(graph.top_nodes(ranks, 10))
+
+
+@query
+def ppr_missing_mass(spark, sf_dir):
+    base = new_run_dir(spark, "ranks")
+    stored = graph.save_graph(_graph(spark, sf_dir), base)
+    graph.start_state(stored, SOURCES, base)
+    graph.advance(stored, SOURCES, base, 0, 2)
+    return _rounded(graph.mass_totals(spark, SOURCES, base, 2), 9, "arrived", "missing")
+
+
 # ---- classifier ----
 # A token's feature is the first four hex digits of its md5, as a number.
 

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallgrass.functions.regions import Region
 from tallgrass.functions.times import to_instant, to_wall
 from tallgrass.operators.windows import locate
+from tallgrass.sources.records import parse_trips
 
 WATERMARK = "1 hour"
 ALL_EVENTS = "all"  # fixed value: the key of a count over every event
@@ -35,6 +36,17 @@ def stream_files(
     return reader.load(path)
 
 
+def stream_trips(spark: SparkSession, path: str, start: str, files_per_batch: int | None = 1) -> DataFrame:
+    """CSV trip files, one per minute, as ``(ts, event_type, x, y)``.
+
+    The number in a file name, ``part-<number>``, is its minute after ``start``.
+    """
+    lines = stream_files(spark, path, "value string", fmt="text", files_per_batch=files_per_batch)
+    minute = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    ts = F.lit(start).cast("timestamp_ntz") + F.expr("INTERVAL '1' MINUTE") * minute
+    return parse_trips(lines.select(ts.alias("ts"), "value"))
+
+
 def with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:
     """Read a ``timestamp_ntz`` column as UTC: a watermark needs an instant."""
     if not isinstance(events.schema[ts].dataType, T.TimestampNTZType):
@@ -59,19 +71,21 @@ def count_windows(
     return grouped.agg(F.count(F.lit(1)).alias("n")).select("window.start", "window.end", region, "n")
 
 
-def start_job(counts: DataFrame, place: str) -> StreamingQuery:
-    """Append closed windows to ``place/counts`` until the files present are read.
+def start_job(counts: DataFrame, place: str, every: str | None = None) -> StreamingQuery:
+    """Append closed windows to ``place/counts``.
 
-    A later call with the same ``place`` goes on where this one stopped.
+    The job stops when the files present are read, or with ``every`` runs on
+    and takes new files at that interval. A later call with the same ``place``
+    goes on where this one stopped.
     """
-    return (
+    writer = (
         counts.writeStream.format("parquet")
         .option("path", f"{place}/counts")
         .option("checkpointLocation", f"{place}/checkpoint")
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
     )
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def run_job(counts: DataFrame, place: str) -> None:

@@ -131,3 +131,22 @@ def test_adjacency_text(spark):
     assert {r.id: r.neighbors for r in records.collect()} == {1: [2, 2, 3], 2: [], 3: [1]}
     row = graph.graph_stats(graph.graph_from_adjacency(records)).first()
     assert (row.nodes, row.edges, row.dangling_nodes) == (3, 4, 1)
+
+
+def test_source_list_and_ranking_lines(spark):
+    assert graph.parse_sources("3, 1,2") == [3, 1, 2]
+    ranks = spark.createDataFrame([(5, 1, 0.25), (6, 1, 1 / 3)], "id long, source long, score double")
+    lines = graph.ranking_lines(graph.top_nodes(ranks, 2)).orderBy("rank")
+    assert [r.line for r in lines.collect()] == ["0.33333 6", "0.25000 5"]
+
+
+def test_mass_totals(spark, make, tmp_path):
+    base = str(tmp_path)
+    built = make()
+    graph.start_state(built, [0, 39], base)
+    graph.advance(built, [0, 39], base, 0, 1)
+    got = {r.source: r for r in graph.mass_totals(spark, [0, 39], base, 1).collect()}
+    inside = [d for s, d in EDGES if s == 0 and d < 40]
+    assert got[0].arrived == pytest.approx(len(inside) / sum(s == 0 for s, _ in EDGES))
+    assert got[0].reached_nodes == len(set(inside))
+    assert (got[39].arrived, got[39].missing, got[39].reached_nodes) == (0.0, 1.0, 0)

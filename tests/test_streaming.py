@@ -3,8 +3,9 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from tallgrass.functions.regions import Region
+from tallgrass.functions.regions import OFFICE_REGIONS, Region
 from tallgrass.operators import windows
 from tallgrass.streaming import jobs
 
@@ -92,3 +93,51 @@ def test_window_times_do_not_depend_on_the_session_zone(spark, folder):
 def test_missing_folder_raises(spark, tmp_path):
     with pytest.raises(AnalysisException):
         jobs.stream_files(spark, str(tmp_path / "absent"), SCHEMA)
+
+
+def test_trip_files_give_alerts_per_region(spark, folder):
+    inside = {"goldman": ("-74.0140", "40.7145"), "citigroup": ("-74.011", "40.721")}
+    arrivals = {"goldman": [4, 10, 9, 18, 0], "citigroup": [0, 3, 12, 30, 60]}
+
+    def line(kind, x, y):
+        fields = ["0"] * 12
+        at = 8 if kind == "green" else 10
+        fields[0], fields[at], fields[at + 1] = kind, x, y
+        return ",".join(fields)
+
+    for minute in range(50):
+        found = [line("green", "0", "0")]
+        if minute % 10 == 3:
+            for region, counts in arrivals.items():
+                found += [line("green" if i % 2 else "yellow", *inside[region]) for i in range(counts[minute // 10])]
+        with open(f"{folder}/in/part-{minute:05d}", "w") as out:
+            out.write("\n".join(found) + "\n")
+        os.utime(f"{folder}/in/part-{minute:05d}", (1_700_000_000 + minute,) * 2)
+
+    def trips():
+        return jobs.stream_trips(spark, f"{folder}/in", "2024-03-10 00:00:00", files_per_batch=20)
+
+    jobs.run_job(jobs.count_windows(trips(), "10 minutes"), f"{folder}/all")
+    jobs.run_job(jobs.count_windows(trips(), "10 minutes", OFFICE_REGIONS), f"{folder}/regions")
+    totals = {r.window_start: r.n for r in jobs.read_counts(spark, f"{folder}/all").collect()}
+    starts = [T0 + dt.timedelta(minutes=10 * i) for i in range(5)]
+    assert totals == {s: 10 + sum(c[i] for c in arrivals.values()) for i, s in enumerate(starts)}
+    end = F.lit(starts[-1] + dt.timedelta(minutes=10)).cast("timestamp_ntz")
+    filled = windows.zero_fill(jobs.read_counts(spark, f"{folder}/regions"), "10 minutes", end)
+    alerts = windows.trending(filled, OFFICE_REGIONS).filter("is_trending").collect()
+    assert sorted((r.region, r.previous, r.current) for r in alerts) == [
+        ("citigroup", 3, 12), ("citigroup", 12, 30), ("citigroup", 30, 60), ("goldman", 4, 10), ("goldman", 9, 18),
+    ]
+    assert any(m.startswith("Number of arrivals to Goldman Sachs has doubled from 4 to 10 at ") for m in (r.message for r in alerts))
+
+
+def test_a_job_can_run_on(spark, folder):
+    put(spark, folder, "part-1.parquet", range(0, 60))
+    stream = jobs.stream_files(spark, f"{folder}/in", SCHEMA)
+    job = jobs.start_job(jobs.count_windows(stream, "60 minutes"), f"{folder}/job", every="1 second")
+    try:
+        job.processAllAvailable()
+        assert job.isActive
+    finally:
+        job.stop()
+    assert [r.n for r in jobs.read_counts(spark, f"{folder}/job").collect()] == [60]

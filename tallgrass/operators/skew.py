@@ -45,11 +45,14 @@ def lookup_join(
     hot = hottest(table, key, weight, hot_keys).select(
         key, *[F.col(v).alias(f"_hot_{v}") for v in values]
     )
+    # Slot 0 is computed: the optimizer would move a literal out of the join
+    # keys, and rows would be shuffled by the key alone.
+    always_zero = F.pmod(F.xxhash64(key), F.lit(1))
     cold = table.select(
-        key, F.lit(0).alias("_slot"), *[F.col(v).alias(f"_cold_{v}") for v in values]
+        key, always_zero.alias("_slot"), *[F.col(v).alias(f"_cold_{v}") for v in values]
     )
     slot = F.when(F.col(f"_hot_{weight}").isNull(), F.lit(0)).otherwise(
-        (F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1).cast("int")
+        F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1
     )
     joined = (
         rows.join(F.broadcast(hot), key, "left")
@@ -59,3 +62,14 @@ def lookup_join(
     return joined.select(
         *rows.columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values]
     )
+
+
+def lookup_used(rows: DataFrame, table: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one record per ``key``.
+
+    Counts first how often each key is used, which tells the hot keys and
+    leaves only records that are needed.
+    """
+    uses = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_uses"))
+    found = lookup_join(rows, table.join(uses, key), key, "_uses", spread_by)
+    return found.filter(F.col("_uses").isNotNull()).drop("_uses")

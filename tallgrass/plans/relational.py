@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallgrass.operators.skew import lookup_used
+
 TOP_ROWS = 20  # fixed value: rows of the two top-k reports
 DEFAULT_NATIONS = ("CANADA", "UNITED STATES")  # fixed value
 
@@ -40,14 +42,14 @@ def q3(lineitem: DataFrame, part: DataFrame, supplier: DataFrame, date: str) ->
     """First lines shipped on a date with part and supplier names.
 
     Ties of the order key are sorted by the names, so the cut comes after the
-    joins; only the lines of one date take part in them.
+    lookups; only the lines of one date take part in them.
     """
     lines = lineitem.filter(shipped_on(lineitem, date)).select("l_orderkey", "l_partkey", "l_suppkey")
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
     s = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    named = lookup_used(lines, p, "l_partkey", spread_by=["l_orderkey", "l_suppkey"])
     return (
-        lines.join(p, "l_partkey")
-        .join(s, "l_suppkey")
+        lookup_used(named, s, "l_suppkey", spread_by=["l_orderkey", "l_partkey"])
         .select("l_orderkey", "p_name", "s_name")
         .orderBy("l_orderkey", "p_name", "s_name")
         .limit(TOP_ROWS)
@@ -92,23 +94,24 @@ def q5(
     nation: DataFrame,
     nations: Sequence[str] = DEFAULT_NATIONS,
 ) -> DataFrame:
-    """All lines by month, for customers of some nations."""
-    wanted = (
-        customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-        .join(
-            nation.filter(F.col("n_name").isin(list(nations))).select("n_nationkey", "n_name"),
-            "n_nationkey",
-        )
-        .withColumnRenamed("c_custkey", "o_custkey")
-    )
-    chosen = orders.select("o_orderkey", "o_custkey").join(wanted, "o_custkey").drop("o_custkey")
+    """All lines by month, for customers of some nations.
+
+    As in :func:`q4`, counts move from orders to customers to nations.
+    """
     month = F.trunc(F.col("l_shipdate").cast("date"), "month")
-    per_order = (
-        lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), month.alias("month"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    per_order = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), month.alias("month")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    per_customer = (
+        per_order.join(orders.select("o_orderkey", "o_custkey"), "o_orderkey")
+        .groupBy(F.col("o_custkey").alias("c_custkey"), "month")
+        .agg(F.sum("n").alias("n"))
+    )
+    wanted = customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(
+        nation.filter(F.col("n_name").isin(list(nations))).select("n_nationkey", "n_name"), "n_nationkey"
     )
     return (
-        per_order.join(chosen, "o_orderkey")
+        per_customer.join(wanted, "c_custkey")
         .groupBy("n_nationkey", "n_name", "month")
         .agg(F.sum("n").alias("n_lines"))
         .select("n_nationkey", "n_name", F.substring(F.col("month").cast("string"), 1, 7).alias("month"), "n_lines")

@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import Window
 
+from tallgrass.functions.tokens import explode_once
 from tallgrass.operators.skew import hottest
 from tallgrass.session import new_run_dir
 
@@ -30,7 +31,8 @@ class Graph(NamedTuple):
 
 def adjacency_edges(adjacency: DataFrame) -> DataFrame:
     """``(id, neighbors)`` → ``(src, dst)``, one row per listed neighbour."""
-    return adjacency.select(F.col("id").alias("src"), F.explode("neighbors").alias("dst"))
+    edges = explode_once(adjacency, F.col("neighbors"), "dst", keep=["id"])
+    return edges.withColumnRenamed("id", "src")
 
 
 def build_graph(nodes: DataFrame, edges: DataFrame) -> Graph:

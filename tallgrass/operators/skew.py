@@ -34,22 +34,25 @@ def lookup_join(
 ) -> DataFrame:
     """Left join of ``rows`` with ``table``, which has one record per ``key``.
 
-    ``weight`` is a non-null column of ``table`` that says how many rows a key
-    has. The heaviest keys are answered from a broadcast of at most
+    ``weight`` is a non-null integer column of ``table`` that says how many
+    rows a key has. The heaviest keys are answered from a broadcast of at most
     ``hot_keys`` records. Their rows then go to partitions chosen by
     ``spread_by`` instead of by the key, where they meet no record, so no task
     receives a hot key as a whole. All other keys join by key, as a shuffle or
     as a broadcast, whichever the size of ``table`` allows.
     """
     values = [c for c in table.columns if c != key]
+    # Both uses of the table keep the same rows and columns, the weight last, so
+    # Spark computes it once and reuses the shuffle.
+    table = table.select(key, *[v for v in values if v != weight], weight).filter(F.col(key).isNotNull())
     hot = hottest(table, key, weight, hot_keys).select(
-        key, *[F.col(v).alias(f"_hot_{v}") for v in values]
+        key, *[F.col(v).alias(f"_hot_{v}") for v in table.columns[1:]]
     )
     # Slot 0 is computed: the optimizer would move a literal out of the join
     # keys, and rows would be shuffled by the key alone.
-    always_zero = F.pmod(F.xxhash64(key), F.lit(1))
+    always_zero = F.pmod(F.col(weight), F.lit(1))
     cold = table.select(
-        key, always_zero.alias("_slot"), *[F.col(v).alias(f"_cold_{v}") for v in values]
+        key, *[F.col(v).alias(f"_cold_{v}") for v in table.columns[1:]], always_zero.alias("_slot")
     )
     slot = F.when(F.col(f"_hot_{weight}").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)) + 1

@@ -89,21 +89,15 @@ def pmi_pairs(
     return mirror(with_xy.select("x", "y", value.alias("pmi"), "n"))
 
 
-def to_stripes(
-    pairs: DataFrame, value: Column, fanout: str | None = None, max_entries: int = STRIPE_ENTRIES
-) -> DataFrame:
+def to_stripes(pairs: DataFrame, value: Column, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
     """``(x, block, stripe)``: a map from ``y`` to ``value`` for every ``x``.
 
-    A word with up to ``max_entries`` partners has one row, block 0. A word
-    with more is cut by a hash of ``y`` into blocks of about that many, since a
-    frequent word can have a partner for every entry of the vocabulary.
-    ``fanout`` names a column that already holds the number of partners.
+    ``fanout`` in ``pairs`` is the number of partners of ``x``. A word with up
+    to ``max_entries`` has one row, block 0. A word with more is cut by a hash
+    of ``y`` into blocks of about that many, since a frequent word can have a
+    partner for every entry of the vocabulary.
     """
-    if fanout is None:
-        fanout = "_fanout"
-        partners = pairs.groupBy("x").agg(F.count(F.lit(1)).alias(fanout))
-        pairs = lookup_join(pairs, partners, "x", weight=fanout, spread_by=["y"])
-    blocks = F.ceil(F.col(fanout) / F.lit(max_entries))
+    blocks = F.ceil(F.col("fanout") / F.lit(max_entries))
     entry = F.struct(F.col("y"), value.alias("value"))
     return (
         pairs.select("x", F.pmod(F.xxhash64("y"), blocks).cast("int").alias("block"), entry.alias("e"))
@@ -119,8 +113,14 @@ def pmi_stripes(
     max_entries: int = STRIPE_ENTRIES,
 ) -> DataFrame:
     """``(x, block, map<y, struct<pmi, n>>)``."""
+    partners = (
+        mirror(pair_counts(tokenized, threshold, max_words))
+        .groupBy("x")
+        .agg(F.count(F.lit(1)).alias("fanout"))
+    )
     pairs = pmi_pairs(tokenized, threshold, max_words)
-    return to_stripes(pairs, F.struct("pmi", "n"), max_entries=max_entries)
+    counted = lookup_join(pairs, partners, "x", weight="fanout", spread_by=["y"])
+    return to_stripes(counted, F.struct("pmi", "n"), max_entries)
 
 
 def bigram_counts(tokenized: DataFrame) -> DataFrame:
@@ -158,4 +158,4 @@ def bigrams_with_marginals(tokenized: DataFrame) -> DataFrame:
 def bigram_stripes(tokenized: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
     """``(x, block, map<y, freq>)``."""
     pairs = bigram_frequencies(tokenized)
-    return to_stripes(pairs, F.col("freq"), fanout="fanout", max_entries=max_entries)
+    return to_stripes(pairs, F.col("freq"), max_entries)

@@ -102,7 +102,8 @@ def q6_from_text(spark, sf_dir):
     """The same report after a trip through delimited text lines."""
     (lineitem,) = _tables(spark, sf_dir, "lineitem")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lineitem.schema)
-    parsed = parse_delimited(format_delimited(lineitem), schema)
+    lines = format_delimited(widen(lineitem, "l_orderkey", "l_linenumber"))
+    parsed = parse_delimited(lines, schema)
     return _rounded(relational.q6(parsed, SHIP_DATE), 4, *PRICE_COLUMNS)
 
 
@@ -281,8 +282,9 @@ def graph_orphans(spark, sf_dir):
 @query
 def adjacency_edges(spark, sf_dir):
     """Edges parsed from adjacency text: ``part supplier order`` for every line."""
-    keys = [F.col(c).cast("string") for c in ("l_partkey", "l_suppkey", "l_orderkey")]
-    lines = load_table(spark, sf_dir, "lineitem").select(F.concat_ws(" ", *keys).alias("value"))
+    names = ("l_partkey", "l_suppkey", "l_orderkey")
+    table = widen(load_table(spark, sf_dir, "lineitem").select(*names), *names)
+    lines = table.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in names]).alias("value"))
     edges = graph.adjacency_edges(records.parse_adjacency(lines))
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 

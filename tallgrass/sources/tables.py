@@ -58,13 +58,13 @@ def format_delimited(table: DataFrame, sep: str = "|") -> DataFrame:
     return table.select(F.concat(F.concat_ws(sep, *fields), F.lit(sep)).alias("value"))
 
 
-def widen(table: DataFrame, key: str) -> DataFrame:
+def widen(table: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over all task slots if the files give fewer splits than slots.
 
     Large inputs have more splits than slots and pass through without a shuffle.
-    ``key`` should be unique, so that the hash partitions are even.
+    ``keys`` should be close to unique, so that the hash partitions are even.
     """
     slots = table.sparkSession.sparkContext.defaultParallelism
     if table.rdd.getNumPartitions() >= slots:
         return table
-    return table.repartition(slots, key)
+    return table.repartition(slots, *keys)

@@ -26,12 +26,24 @@ class InvertedIndex(NamedTuple):
 
 
 def term_frequencies(docs: DataFrame, letters: str = "a-z") -> DataFrame:
-    """``(term, doc_id, tf)`` from ``docs(doc_id, text)``."""
-    return (
-        explode_once(docs, tokenize("text", letters), "term", keep=["doc_id"])
-        .groupBy("term", "doc_id")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """``(term, doc_id, tf)`` from ``docs(doc_id, text)``; ``doc_id`` is unique.
+
+    A document is one row, so its terms are counted in place: its sorted tokens
+    form runs of equal terms, and a run's length is the frequency. No posting
+    is shuffled before the index groups them by term.
+    """
+    tokens = docs.select("doc_id", F.sort_array(tokenize("text", letters)).alias("sorted"))
+
+    def start(token: Column, i: Column) -> Column:
+        return F.when((i == 0) | (token != F.get("sorted", i - 1)), i)
+
+    def count(at: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("starts", k + 1), F.size("sorted"))
+        return F.struct(F.get("sorted", at).alias("term"), (end - at).cast("long").alias("tf"))
+
+    runs = tokens.select("doc_id", "sorted", F.array_compact(F.transform("sorted", start)).alias("starts"))
+    counted = explode_once(runs, F.transform("starts", count), "run", keep=["doc_id"])
+    return counted.select("run.term", "doc_id", "run.tf")
 
 
 def build_index(docs: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> InvertedIndex:
@@ -45,10 +57,19 @@ def build_index(docs: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> Invert
     return InvertedIndex(terms, postings)
 
 
-def save_index(index: InvertedIndex, path: str, files: int) -> None:
-    """Sorted by term, so that a lookup reads only the row groups of its terms."""
-    save_sorted(index.terms, f"{path}/terms", ["term"], files)
+def save_index(index: InvertedIndex, path: str, files: int) -> InvertedIndex:
+    """Store an index and return the stored one.
+
+    It is sorted by term, so that a lookup reads only the row groups of its
+    terms. Document frequencies come from the stored postings: texts are not
+    read again for them.
+    """
+    spark = index.postings.sparkSession
     save_sorted(index.postings, f"{path}/postings", ["term", "block"], files)
+    stored = spark.read.parquet(f"{path}/postings")
+    df = F.sum(F.size("postings").cast("long")).alias("df")
+    save_sorted(stored.groupBy("term").agg(df), f"{path}/terms", ["term"], files)
+    return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> InvertedIndex:

@@ -51,7 +51,7 @@ def pair_counts(
     A line has at most ``max_words`` words, so it gives a bounded number of
     pairs, each one once: half of what the two directions would shuffle.
     """
-    words = tokenized.select(F.array_sort(distinct_words("tokens", max_words)).alias("words"))
+    words = tokenized.select(F.sort_array(distinct_words("tokens", max_words)).alias("words"))
     left = explode_once(words, F.col("words"), "i", "x", keep=["words"])
     after_x = F.slice("words", F.col("i") + 2, F.size("words"))
     pairs = explode_once(left, after_x, "y", keep=["x"])

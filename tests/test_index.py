@@ -82,9 +82,7 @@ def test_snippets(built, docs):
 
 
 def test_stored_index_is_read_by_term(spark, built, tmp_path):
-    index.save_index(built, str(tmp_path / "ix"), files=3)
-    stored = index.load_index(spark, str(tmp_path / "ix"))
+    stored = index.save_index(built, str(tmp_path / "ix"), files=3)
+    assert sorted(stored.terms.collect()) == sorted(built.terms.collect())
     assert [r.doc_id for r in index.boolean_search(stored, "alpha gamma AND").collect()] == [5]
-    assert "PushedFilters: [IsNotNull(term), EqualTo(term,alpha)]" in plan_of(index.docs_with(stored, "alpha")) or (
-        "EqualTo(term,alpha)" in plan_of(index.docs_with(stored, "alpha"))
-    )
+    assert "EqualTo(term,alpha)" in plan_of(index.docs_with(stored, "alpha"))

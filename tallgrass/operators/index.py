@@ -120,17 +120,18 @@ def postfix_terms(query: str) -> list[str]:
     return list(dict.fromkeys(t for t in query.split() if t not in ("AND", "OR")))
 
 
-def postfix_condition(query: str, has: dict[str, Column]) -> Column:
-    """Fold a postfix query such as ``a b AND c OR`` into one boolean column."""
+def postfix_ids(query: str, ids: dict[str, Column]) -> Column:
+    """Fold a postfix query such as ``a b AND c OR`` into one array of ids."""
     operands: list[Column] = []
     for word in query.split():
         if word not in ("AND", "OR"):
-            operands.append(has[word])
+            operands.append(ids[word])
             continue
         if len(operands) < 2:
             raise ValueError(f"{word} needs two operands in {query!r}")
         second, first = operands.pop(), operands.pop()
-        operands.append(first & second if word == "AND" else first | second)
+        combine = F.array_intersect if word == "AND" else F.array_union
+        operands.append(combine(first, second))
     if len(operands) != 1:
         raise ValueError(f"{query!r} leaves {len(operands)} operands, expected 1")
     return operands[0]
@@ -139,17 +140,25 @@ def postfix_condition(query: str, has: dict[str, Column]) -> Column:
 def boolean_search(index: InvertedIndex, query: str) -> DataFrame:
     """Ids of the documents that match a postfix query, ascending.
 
-    Terms are taken as written: not lower-cased and not tokenized.
+    Terms are taken as written: not lower-cased and not tokenized. Blocks of
+    all terms cover the same ranges of ids, so the query is answered block by
+    block: one row per term and block is shuffled, not one per posting.
     """
     terms = postfix_terms(query)
-    has = {t: F.col(f"_has_{i}") for i, t in enumerate(terms)}
-    condition = postfix_condition(query, has)
-    flags = (
-        lookup_terms(index, terms)
-        .groupBy("doc_id")
-        .agg(*[F.bool_or(F.col("term") == t).alias(f"_has_{i}") for i, t in enumerate(terms)])
+    ids = {t: F.col(f"_ids_{i}") for i, t in enumerate(terms)}
+    matching = postfix_ids(query, ids)
+    # A term has at most one row per block: flattening gives its ids, or none.
+    of_term = [
+        F.flatten(F.collect_list(F.when(F.col("term") == t, F.col("ids")))).alias(f"_ids_{i}")
+        for i, t in enumerate(terms)
+    ]
+    blocks = (
+        index.postings.filter(F.col("term").isin(terms))
+        .select("term", "block", F.col("postings.doc_id").alias("ids"))
+        .groupBy("block")
+        .agg(*of_term)
     )
-    return flags.filter(condition).select("doc_id").orderBy("doc_id")
+    return explode_once(blocks, matching, "doc_id").orderBy("doc_id")
 
 
 def snippet(text: str | Column, chars: int = SNIPPET_CHARS) -> Column:

@@ -74,19 +74,20 @@ def pmi_pairs(
     threshold: int = DEFAULT_THRESHOLD,
     max_words: int = MAX_WORDS_PER_LINE,
 ) -> DataFrame:
-    """``(x, y, pmi, n)`` for both directions of pairs in ``threshold`` lines or more.
+    """``(x, y, pmi, n)`` for both directions of pairs in ``threshold`` lines or more."""
+    return mirror(_with_pmi(pair_counts(tokenized, threshold, max_words), tokenized, max_words))
 
-    PMI is symmetric: it is computed once per unordered pair, then mirrored.
-    """
+
+def _with_pmi(pairs: DataFrame, tokenized: DataFrame, max_words: int) -> DataFrame:
+    """Add PMI to counted unordered pairs; it is the same in both directions."""
     counts = word_line_counts(tokenized, max_words)
     n_x = counts.select(F.col("w").alias("x"), F.col("n").alias("n_x"))
     n_y = counts.select(F.col("w").alias("y"), F.col("n").alias("n_y"))
-    pairs = pair_counts(tokenized, threshold, max_words)
     with_x = lookup_join(pairs, n_x, "x", weight="n_x", spread_by=["y"])
     with_xy = lookup_join(with_x, n_y, "y", weight="n_y", spread_by=["x"])
     n_lines = line_count(tokenized).scalar()
     value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), n_lines)
-    return mirror(with_xy.select("x", "y", value.alias("pmi"), "n"))
+    return with_xy.select("x", "y", value.alias("pmi"), "n")
 
 
 def to_stripes(pairs: DataFrame, value: Column, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
@@ -113,13 +114,14 @@ def pmi_stripes(
     max_entries: int = STRIPE_ENTRIES,
 ) -> DataFrame:
     """``(x, block, map<y, struct<pmi, n>>)``."""
-    partners = (
-        mirror(pair_counts(tokenized, threshold, max_words))
-        .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("fanout"))
-    )
-    pairs = pmi_pairs(tokenized, threshold, max_words)
-    counted = lookup_join(pairs, partners, "x", weight="fanout", spread_by=["y"])
+    # The pairs that pass are used twice. Shuffled once more they are few, and
+    # the large shuffle of all pairs is read and aggregated only once. Both uses
+    # must need the same columns for that, so partners are counted through n. A
+    # shuffle by x, y, as after the count, would be left out: hence y, x.
+    pairs = pair_counts(tokenized, threshold, max_words).repartition("y", "x")
+    partners = mirror(pairs).groupBy("x").agg(F.count_if(F.col("n") > 0).alias("fanout"))
+    scored = mirror(_with_pmi(pairs, tokenized, max_words))
+    counted = lookup_join(scored, partners, "x", weight="fanout", spread_by=["y"])
     return to_stripes(counted, F.struct("pmi", "n"), max_entries)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallgrass.operators.skew import lookup_used
+from tallgrass.operators.skew import is_small, lookup_used
 
 TOP_ROWS = 20  # fixed value: rows of the two top-k reports
 DEFAULT_NATIONS = ("CANADA", "UNITED STATES")  # fixed value
@@ -28,32 +28,45 @@ def q1(lineitem: DataFrame, date: str) -> DataFrame:
 
 
 def q2(lineitem: DataFrame, orders: DataFrame, date: str, detail: str = "o_clerk") -> DataFrame:
-    """First orders with a line shipped on a date: one row per order."""
-    shipped = lineitem.filter(shipped_on(lineitem, date)).select(F.col("l_orderkey").alias("o_orderkey"))
-    return (
-        orders.select("o_orderkey", detail)
-        .join(shipped.distinct(), "o_orderkey", "left_semi")
-        .orderBy("o_orderkey", detail)
-        .limit(TOP_ROWS)
-    )
+    """First orders with a line shipped on a date: one row per order.
+
+    The first keys alone answer this as long as their orders exist, which is
+    checked. Then no order has to move; else all keys of the date are joined.
+    """
+    shipped = lineitem.filter(shipped_on(lineitem, date)).select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+
+    def first_of(keys: DataFrame) -> DataFrame:
+        found = orders.select("o_orderkey", detail).join(keys, "o_orderkey", "left_semi")
+        return found.orderBy("o_orderkey", detail).limit(TOP_ROWS)
+
+    near = first_of(F.broadcast(shipped.orderBy("o_orderkey").limit(TOP_ROWS)))
+    return near if near.count() == TOP_ROWS else first_of(shipped)
 
 
 def q3(lineitem: DataFrame, part: DataFrame, supplier: DataFrame, date: str) -> DataFrame:
     """First lines shipped on a date with part and supplier names.
 
-    Ties of the order key are sorted by the names, so the cut comes after the
-    lookups; only the lines of one date take part in them.
+    Ties of the order key are sorted by the names. The lines up to the key of
+    the last one wanted answer this as long as enough of their names exist,
+    which is checked. Else all lines of the date are looked up.
     """
     lines = lineitem.filter(shipped_on(lineitem, date)).select("l_orderkey", "l_partkey", "l_suppkey")
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
     s = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    named = lookup_used(lines, p, "l_partkey", spread_by=["l_orderkey", "l_suppkey"])
-    return (
-        lookup_used(named, s, "l_suppkey", spread_by=["l_orderkey", "l_partkey"])
-        .select("l_orderkey", "p_name", "s_name")
-        .orderBy("l_orderkey", "p_name", "s_name")
-        .limit(TOP_ROWS)
-    )
+
+    def first_of(named: DataFrame) -> DataFrame:
+        order = ("l_orderkey", "p_name", "s_name")
+        return named.select(*order).orderBy(*order).limit(TOP_ROWS)
+
+    keys = lines.select("l_orderkey").orderBy("l_orderkey").limit(TOP_ROWS)
+    near = lines.filter(F.col("l_orderkey") <= keys.agg(F.max("l_orderkey")).scalar())
+    if is_small(near):
+        with_part = F.broadcast(near).join(p, "l_partkey")
+        found = first_of(F.broadcast(with_part).join(s, "l_suppkey"))
+        if found.count() == TOP_ROWS:
+            return found
+    with_part = lookup_used(lines, p, "l_partkey", spread_by=["l_orderkey", "l_suppkey"])
+    return first_of(lookup_used(with_part, s, "l_suppkey", spread_by=["l_orderkey", "l_partkey"]))
 
 
 def q4(

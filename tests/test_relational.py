@@ -52,6 +52,24 @@ def test_first_twenty_with_ties(spark):
     assert got == wanted
 
 
+def test_lines_and_orders_without_partner_do_not_use_up_the_first_twenty(spark):
+    lines = day(spark, [(k, k % 7, k % 3, DATE) for k in range(100)])
+    part = spark.createDataFrame([(k, f"p{k}") for k in (1, 3, 6)], "p_partkey long, p_name string")
+    supplier = spark.createDataFrame([(0, "a"), (1, "b")], "s_suppkey long, s_name string")
+    got = [tuple(r) for r in relational.q3(lines, part, supplier, DATE).collect()]
+    wanted = [(k, f"p{k % 7}", "ab"[k % 3]) for k in range(100) if k % 7 in (1, 3, 6) and k % 3 < 2][:20]
+    assert got == wanted and len(got) == 20
+    orders = spark.createDataFrame([(k, f"c{k}") for k in range(30, 90)], "o_orderkey long, o_clerk string")
+    assert [tuple(r) for r in relational.q2(lines, orders, DATE).collect()] == [(k, f"c{k}") for k in range(30, 50)]
+
+
+def test_first_twenty_of_nothing(spark):
+    lines = day(spark, [(1, 1, 1, "1999-01-01")])
+    part = spark.createDataFrame([(1, "p")], "p_partkey long, p_name string")
+    supplier = spark.createDataFrame([(1, "s")], "s_suppkey long, s_name string")
+    assert relational.q3(lines, part, supplier, DATE).collect() == []
+
+
 def test_counts_by_nation_with_a_hot_customer(spark, no_broadcast):
     lines = day(spark, [(k, 1, 1, DATE) for k in range(60)] * 2)
     orders = spark.createDataFrame([(k, 0 if k % 3 else k) for k in range(60)], "o_orderkey long, o_custkey long")

@@ -88,3 +88,11 @@ def test_widen_only_adds_partitions(spark):
     many = spark.range(0, 100, 1, 50)
     assert tables.widen(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert tables.widen(many, "id") is many
+
+
+def test_a_local_session_without_the_setting_gets_a_temporary_folder():
+    class Local(FakeSession):
+        class sparkContext:
+            master = "local[2]"
+
+    assert session.shared_dir(Local).startswith("/")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,17 +31,14 @@ def build_session(app_name: str = "tallgrass", master: str | None = None, **extr
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    driver's disk is invisible to executors and is lost with the driver.
+    Both are shared by driver and executors; a machine-local folder is not.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="run-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tallgrass-state"
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:

@@ -5,9 +5,10 @@ from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from tallgrass.plans import oracle, queries as registered
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registered.all_queries()
+SQL = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")

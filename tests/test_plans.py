@@ -6,11 +6,11 @@ import pytest
 from conftest import SMALL, plan_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tallgrass.operators import graph
+from tallgrass.plans import queries as registered
 
 ROOT = Path(__file__).resolve().parent.parent
-QUERIES = entry.queries()
+QUERIES = registered.all_queries()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallgrass.llm import bpe, dedup, mixing, quality, simhash
 from tallgrass.llm.common import stored, table
 
-#: Words of a shingle in the near-duplicate stage. Three differing bits of 64 mean
-#: an estimated cosine similarity of cos(3 pi / 64) = 0.99 between shingle counts.
+#: Near-duplicates: words of a shingle, and least Jaccard similarity of shingle sets.
 SHINGLE = 5
+SIMILAR = 0.8
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs, words=SHINGLE)
+    return simhash.keep_one(docs, SHINGLE, SIMILAR)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

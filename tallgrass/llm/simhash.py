@@ -15,6 +15,8 @@ fingerprints are one point. Empty tables give empty tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,7 +31,11 @@ SHINGLE = 3
 DISTANCE = 3
 #: Pairs that one step compares, and links kept before they become stars.
 PAIRS = 1 << 21
+#: Independent prints of the words of a text, and the size of a sketch.
+PRINTS = 3
+SKETCH = 256
 _MASK31 = (1 << 31) - 1
+_ODD = np.random.default_rng(11).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: bytes, words: int = SHINGLE) -> np.ndarray:
@@ -102,10 +108,15 @@ def _visits(batches):
             yield {"anchor": pa.array(anchor << 1 | half), "fp": pa.array(fp[index]), "home": pa.array(home)}
 
 
-def links_in(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars of the links between homes and visitors of each anchor."""
+def links_in(
+    anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, node: np.ndarray, distance: int, alike: Callable | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Stars over the nodes that are linked between homes and visitors of each anchor.
+
+    ``alike`` may turn down pairs of positions.
+    """
     order = np.argsort(anchor, kind="stable")
-    anchor, fp, home = anchor[order], fp[order], home[order]
+    anchor, fp, home, node = anchor[order], fp[order], home[order], node[order]
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(anchor)))
     group = np.repeat(np.arange(len(first)), size)
@@ -121,10 +132,14 @@ def links_in(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int
         left = np.repeat(some, many)
         right = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[group[some]], many)
         near = np.bitwise_count((fp[left] ^ fp[right]).view(np.uint64)) <= distance
-        near &= fp[left] != fp[right]
-        stars[0].append(fp[left[near]])
-        stars[1].append(fp[right[near]])
-        kept += int(near.sum())
+        near &= node[left] != node[right]
+        left, right = left[near], right[near]
+        if alike:
+            good = alike(order[left], order[right])
+            left, right = left[good], right[good]
+        stars[0].append(node[left])
+        stars[1].append(node[right])
+        kept += len(left)
         if kept > PAIRS:
             a, b = local_stars(np.concatenate(stars[0]), np.concatenate(stars[1]))
             stars, kept = ([a], [b]), len(a)
@@ -141,7 +156,8 @@ def links(points: DataFrame, distance: int = DISTANCE) -> DataFrame:
     def compare(batches):
         got = [(b.column("anchor").to_numpy(), b.column("fp").to_numpy(), b.column("home").to_numpy(zero_copy_only=False)) for b in batches]
         if got:
-            u, v = links_in(*(np.concatenate(x) for x in zip(*got)), distance)
+            anchor, fp, home = (np.concatenate(x) for x in zip(*got))
+            u, v = links_in(anchor, fp, home, fp, distance)
             yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
 
     visits = map_batches(points, _visits, "anchor long, fp long, home boolean")
@@ -160,10 +176,101 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTA
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "_key", "_root")
 
 
-def keep_one(docs: DataFrame, words: int, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component, the one with the smallest ``doc_id``."""
-    found = near_duplicates(docs, words, distance)
-    stay = found.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("s"))
+# ---- similar texts ----
+
+
+def sketch(hashes: np.ndarray, size: int = SKETCH) -> np.ndarray:
+    """MinHash of a set of shingle hashes, 16 bits each."""
+    if not len(hashes):
+        return np.zeros(size, np.uint16)
+    least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1 << 10):
+        least = np.minimum(least, (hashes[at : at + (1 << 10), None] * _ODD[:size] + _ODD[::-1][:size]).min(axis=0))
+    return (least >> np.uint64(48)).astype(np.uint16) ^ (least & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+def _word_prints(batches):
+    """Independent fingerprints of the words of each text."""
+    for batch in batches:
+        found = []
+        for text in batch.column("_text").to_pylist():
+            words = shingle_hashes(text or b"", 1)
+            found.append([_signed(fingerprint((words ^ (words >> np.uint64(29))) * _ODD[k] if k else words)) for k in range(PRINTS)])
+        prints = np.array(found, np.int64).reshape(-1, PRINTS)
+        yield {"node": batch.column("_key")} | {f"fp{k}": pa.array(prints[:, k]) for k in range(PRINTS)}
+
+
+def _meetings(batches):
+    """Visits of all prints of a node; anchors of different prints are different."""
+    for batch in batches:
+        more = [n for n in batch.schema.names if not n.startswith("fp")]
+        for k in range(PRINTS):
+            fp = batch.column(f"fp{k}").to_numpy()
+            for half in (0, 1):
+                index, anchor, home = anchors((fp >> (32 * half)) & _MASK31)
+                rows = batch.select(more).take(pa.array(index))
+                yield {"anchor": pa.array((anchor << 1 | half) * PRINTS + k), "fp": pa.array(fp[index]), "home": pa.array(home)} | {n: rows.column(n) for n in more}
+
+
+def _meet(prints: DataFrame, distance: int, least: float | None) -> DataFrame:
+    """Stars ``u, v`` of the nodes whose prints are near, and whose sketches agree if ``least`` is given."""
+
+    def compare(batches):
+        got = list(batches)
+        if not got:
+            return
+        rows = pa.Table.from_batches(got)
+        alike = None
+        if least is not None:
+            drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(len(rows), -1)
+            step = (1 << 24) // drawn.shape[1]
+
+            def alike(left, right):
+                shares = [(drawn[left[i : i + step]] == drawn[right[i : i + step]]).mean(axis=1) for i in range(0, len(left), step)]
+                return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
+
+        columns = [rows.column(n).to_numpy() for n in ("anchor", "fp", "home", "node")]
+        u, v = links_in(*columns, distance, alike)
+        yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
+
+    more = ", sketch binary" if least is not None else ""
+    visits = map_batches(prints, _meetings, f"anchor long, fp long, home boolean, node long{more}")
+    return map_batches(visits.repartition("anchor"), compare, "u long, v long")
+
+
+def similar_texts(docs: DataFrame, words: int, least: float, distance: int = DISTANCE) -> DataFrame:
+    """``node, root``: components of texts, by ``text_key``, whose ``words``-word shingles are similar.
+
+    Candidates have a near print of their words: counts of single words change little
+    in a near copy, so ``PRINTS`` independent prints find nearly all pairs at 0.8. Texts
+    with a candidate meet again with MinHash sketches of their shingle sets, and
+    only pairs whose estimated Jaccard similarity reaches ``least`` (less one
+    standard error) are linked.
+    """
+    texts = docs.select(text_key().alias("_key"), F.col("text").cast("binary").alias("_text"))
+    found = map_batches(texts, _word_prints, "node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS)))
+    prints = stored(found.dropDuplicates(["node"]), "prints")
+    near = _meet(prints, distance, None)
+    some = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+
+    def draw(batches):
+        for batch in batches:
+            drawn = [sketch(np.unique(shingle_hashes(t or b"", words))).tobytes() for t in batch.column("_text").to_pylist()]
+            yield {"node": batch.column("_key"), "sketch": pa.array(drawn, pa.binary())}
+
+    # Only texts with a candidate are drawn: their keys meet all keys, without the texts.
+    sketches = map_batches(texts.join(some, texts["_key"] == some["node"], "left_semi"), draw, "node long, sketch binary")
+    chosen = stored(prints.join(sketches.dropDuplicates(["node"]), "node"), "sketches")
+    slack = (least * (1 - least) / SKETCH) ** 0.5
+    return components(_meet(chosen, distance, least - slack))
+
+
+def keep_one(docs: DataFrame, words: int, least: float) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of similar texts, the one with the smallest ``doc_id``."""
+    roots = similar_texts(docs, words, least)
+    keys = docs.select("doc_id", text_key().alias("_key"))
+    placed = keys.join(roots, keys["_key"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_key"))
+    stay = placed.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("s"))
     stay = stay.select(F.col("s.doc_id").alias("_keep"), F.col("s._key").alias("_keep_key"))
     keyed = docs.withColumn("_key", text_key())
     kept = keyed.join(stay, (keyed["_key"] == stay["_keep_key"]) & same(keyed["doc_id"], stay["_keep"]))

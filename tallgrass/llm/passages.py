@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tallgrass.llm.common import as_bytes, chunks, map_batches
@@ -276,7 +277,7 @@ def _by_row(rows: np.ndarray, values: np.ndarray, name: str = "starts") -> dict:
 
 # ---- 2: texts of candidates ----
 
-_TEXTS = {"anchor": np.uint64, "doc": np.int64, "row": np.int64, "start": np.int32, "windows": np.uint8, "offset": np.uint8, "text": np.uint8}
+_TEXTS = {"anchor": np.uint64, "doc": np.int64, "row": np.int64, "start": np.int32, "windows": np.uint8, "offset": np.uint8}
 
 
 def _settle(texts: list[bytes], doc: np.ndarray) -> np.ndarray:
@@ -305,7 +306,7 @@ def _texts(parts: int):
         gone = _settle(texts, doc)
         if gone.any():
             lost = _lost(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1)
-            yield lost | {f"_{n}": pa.nulls(len(lost["part"]), pa.binary()) for n in _TEXTS}
+            yield lost | {f"_{n}": pa.nulls(len(lost["part"]), pa.binary()) for n in (*_TEXTS, "text")}
         keep = np.flatnonzero(~gone)
         part = _anchor_part(anchor[keep], parts)
         keep = keep[np.argsort(part, kind="stable")]
@@ -316,7 +317,10 @@ def _texts(parts: int):
         upto = np.concatenate([[0], np.cumsum(lengths)])
         counts = np.bincount(part, minlength=parts)
         ends = upto[np.concatenate([[0], np.cumsum(counts[np.flatnonzero(counts)])])]
-        out["_text"] = _slices(np.frombuffer(b"".join([texts[i] for i in keep.tolist()]), np.uint8), ends)
+        whole = b"".join([texts[i] for i in keep.tolist()])
+        # Overlapping pieces of text are most of what this operator moves.
+        pack = zstandard.ZstdCompressor(3).compress
+        out["_text"] = pa.array([pack(whole[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
         n = len(out["part"])
         yield out | {"doc": pa.nulls(n, pa.int64()), "row": pa.nulls(n, pa.int64()), "spans": pa.nulls(n, pa.binary())}
 
@@ -507,14 +511,15 @@ def _compared(batches):
         if len(done):
             yield {n: done.column(n) for n in ("doc", "row", "spans")}
         given.append(batch.filter(pa.compute.is_null(batch.column("spans"))))
-    anchor, doc, row, start, windows, offset, text = _unpacked(
-        [b.rename_columns([n[1:] if n[0] == "_" else f"-{n}" for n in b.schema.names]) for b in given if len(b)], _TEXTS
-    )
+    given = [b.rename_columns([n[1:] if n[0] == "_" else f"-{n}" for n in b.schema.names]) for b in given if len(b)]
+    anchor, doc, row, start, windows, offset = _unpacked(given, _TEXTS)
     if not len(doc):
         return
+    unpack = zstandard.ZstdDecompressor().decompress
+    whole = b"".join([unpack(t) for b in given for t in b.column("text").to_pylist()])
+    given.clear()
     windows, offset, start = windows.astype(np.int64), offset.astype(np.int64), start.astype(np.int64)
     ends = np.cumsum(windows + LENGTH - 1)
-    whole = text.tobytes()
     texts = [whole[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
     gone = _settle(texts, doc)
     spans = [(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1)]
@@ -568,7 +573,7 @@ def _kept(batches):
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, spans`` (begins and ends of removed runs, flat) ``, kept`` (the remaining bytes) per row."""
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text"), F.lit(""))
     doc = F.coalesce("doc_id", F.lit(_LOWEST).cast("long"))
     keyed = docs.select(doc.alias("doc"), F.xxhash64(doc, text).alias("row"), text.cast("binary").alias("text"))
@@ -576,15 +581,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         keyed.filter(F.col("doc") != _LOWEST).select("row", "text"), _questions(parts),
         "part int, anchor binary, row binary, runs binary, low binary, high binary, known binary",
     )
-    starts = map_batches(asked.repartition("part"), _answers, "row long, starts binary")
+    starts = map_batches(asked.repartitionById(parts, F.col("part")), _answers, "row long, starts binary")
     marked = starts.groupBy("row").agg(F.collect_list("starts").alias("starts"))
     given = keyed.join(marked.hint("shuffle_hash"), "row", "left").filter("starts is not null")
     sent = map_batches(
         given.select("doc", "row", "text", "starts"), _texts(parts),
-        "part int, doc long, row long, spans binary, " + ", ".join(f"_{n} binary" for n in _TEXTS),
+        "part int, doc long, row long, spans binary, " + ", ".join(f"_{n} binary" for n in (*_TEXTS, "text")),
     )
-    dealt = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.xxhash64("row"))
-    lost = map_batches(sent.repartition(dealt), _compared, "doc long, row long, spans binary")
+    dealt = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
+    lost = map_batches(sent.repartitionById(parts, dealt), _compared, "doc long, row long, spans binary")
     spans = lost.groupBy("row").agg(F.collect_list(F.struct("doc", "spans")).alias("lost"))
     # Both joins have the same shuffle of the texts, which Spark makes once.
     whole = keyed.join(spans.hint("shuffle_hash"), "row", "left")

@@ -81,6 +81,15 @@ def prefix_hashes(text: np.ndarray) -> np.ndarray:
     return out
 
 
+def gram_hashes(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The hashes that :func:`stretches` gives the pieces of ``GRAM`` bytes at these places."""
+    up, _ = POWERS.upto(GRAM)
+    total = np.zeros(len(at), np.uint64)
+    for i in range(GRAM):
+        total += (text[at + i].astype(np.uint64) + np.uint64(1)) * up[i]
+    return _mixed(total)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(29))
@@ -246,8 +255,12 @@ def _questions(parts: int):
     return run
 
 
-def _answers(batches):
-    """Stretches whose anchor several documents have, per document: ``row`` and packed starts."""
+def _answers(parts: int):
+    return lambda batches: _shared(batches, parts)
+
+
+def _shared(batches, parts):
+    """Stretches whose anchor several documents have."""
     three, heads, runs, low, high, known = _unpacked(batches, _ASK)
     if not len(low):
         return
@@ -266,18 +279,28 @@ def _answers(batches):
     first = rows[asked][np.flatnonzero(fresh)][group] if len(asked) else rows[:0]
     shared[group[rows[asked] != first]] = True
     got = np.concatenate([np.flatnonzero(known == 1), asked[shared[group]]])
-    got = got[np.lexsort((start[got], rows[got]))]
-    yield _by_row(rows[got], start[got])
+    yield _by_part(rows[got], start[got], parts)
+
 
+def _by_part(rows: np.ndarray, values: np.ndarray, parts: int) -> dict:
+    """Numbers of documents, packed by the part that gathers a document."""
+    part = rows % parts
+    by = np.lexsort((rows, part))
+    return _packed(part[by], parts, {"row": rows[by], "value": values[by].astype(np.int32)})
 
-def _by_row(rows: np.ndarray, values: np.ndarray, name: str = "starts") -> dict:
-    heads = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.zeros(0, np.int64)
-    return {"row": pa.array(rows[heads], pa.int64()), name: _slices(values.astype(np.int32), np.append(heads, len(rows)) if len(rows) else np.zeros(1, np.int64))}
+
+def _gathered(batches):
+    """All numbers of a document as one row."""
+    rows, values = _unpacked(batches, {"row": np.int64, "value": np.int32})
+    by = np.lexsort((values, rows))
+    rows, values = rows[by], values[by]
+    heads = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1)) if len(rows) else np.zeros(0, np.int64)
+    yield {"row": pa.array(rows[heads], pa.int64()), "starts": _slices(values, np.append(heads, len(rows)))}
 
 
 # ---- 2: texts of candidates ----
 
-_TEXTS = {"anchor": np.uint64, "doc": np.int64, "row": np.int64, "start": np.int32, "windows": np.uint8, "offset": np.uint8}
+_TEXTS = {"doc": np.int64, "row": np.int64, "start": np.int32, "windows": np.uint8, "offset": np.uint8}
 
 
 def _settle(texts: list[bytes], doc: np.ndarray) -> np.ndarray:
@@ -289,29 +312,47 @@ def _settle(texts: list[bytes], doc: np.ndarray) -> np.ndarray:
     return doc > np.fromiter(map(least.__getitem__, texts), np.int64, len(texts))
 
 
-def _lost(doc, row, begin, end) -> dict:
-    """Spans to remove, per document."""
-    order = np.lexsort((begin, row, doc))
-    doc, row = doc[order], row[order]
-    heads = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (doc[1:] != doc[:-1])])) if len(row) else np.zeros(0, np.int64)
-    ends = np.append(heads, len(row)) if len(row) else np.zeros(1, np.int64)
-    spans = np.stack([begin[order], end[order]], axis=1).astype(np.int32).reshape(-1)
-    return {"part": pa.array(np.full(len(heads), -1, np.int32)), "doc": pa.array(doc[heads], pa.int64()), "row": pa.array(row[heads], pa.int64()), "spans": _slices(spans, ends * 2)}
+_SPANS = {"doc": np.int64, "row": np.int64, "span": np.int32}
+
+
+def _lost(doc, row, begin, end, parts) -> dict:
+    """Spans to remove, packed by the part that gathers a document."""
+    part = row % parts
+    by = np.argsort(part, kind="stable")
+    spans = np.stack([begin[by], end[by]], axis=1).astype(np.int32)
+    counts = np.bincount(part, minlength=parts)
+    used = np.flatnonzero(counts)
+    ends = np.concatenate([[0], np.cumsum(counts[used])])
+    out = {"part": pa.array(used.astype(np.int32)), "doc": _slices(doc[by], ends), "row": _slices(row[by], ends)}
+    return out | {"span": _slices(spans.reshape(-1), ends * 2)}
+
+
+def _spans_of(batches):
+    """All spans of a document as one row, disjoint and in order."""
+    doc, row, flat = _unpacked(batches, _SPANS)
+    if not len(doc):
+        return
+    spans = flat.reshape(-1, 2)
+    by = np.lexsort((spans[:, 0], doc, row))
+    doc, row, spans = doc[by], row[by], spans[by]
+    turn = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (doc[1:] != doc[:-1])]))
+    ends = np.append(turn, len(row))
+    yield {"row": pa.array(row[turn]), "doc": pa.array(doc[turn]), "spans": _slices(spans.reshape(-1), ends * 2)}
 
 
 def _texts(parts: int):
-    """Candidates' texts, packed by part; what is settled here leaves as spans with part -1."""
+    """Candidates' texts, packed by part; what is settled here leaves as spans."""
 
     def block(anchor, doc, row, start, windows, offset, texts):
         gone = _settle(texts, doc)
         if gone.any():
-            lost = _lost(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1)
+            lost = _lost(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1, parts)
             yield lost | {f"_{n}": pa.nulls(len(lost["part"]), pa.binary()) for n in (*_TEXTS, "text")}
         keep = np.flatnonzero(~gone)
         part = _anchor_part(anchor[keep], parts)
         keep = keep[np.argsort(part, kind="stable")]
         part = np.sort(part, kind="stable")
-        columns = {"anchor": anchor, "doc": doc, "row": row, "start": start.astype(np.int32), "windows": windows.astype(np.uint8), "offset": offset.astype(np.uint8)}
+        columns = {"doc": doc, "row": row, "start": start.astype(np.int32), "windows": windows.astype(np.uint8), "offset": offset.astype(np.uint8)}
         out = _packed(part, parts, {f"_{n}": v[keep] for n, v in columns.items()})
         lengths = (windows[keep] + LENGTH - 1).astype(np.int64)
         upto = np.concatenate([[0], np.cumsum(lengths)])
@@ -321,15 +362,14 @@ def _texts(parts: int):
         # Overlapping pieces of text are most of what this operator moves.
         pack = zstandard.ZstdCompressor(3).compress
         out["_text"] = pa.array([pack(whole[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
-        n = len(out["part"])
-        yield out | {"doc": pa.nulls(n, pa.int64()), "row": pa.nulls(n, pa.int64()), "spans": pa.nulls(n, pa.binary())}
+        yield out | {n: pa.nulls(len(out["part"]), pa.binary()) for n in _SPANS}
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
             for slice_ in chunks(batch):
                 values, offsets = as_bytes(slice_.column("text"))
-                marks = [np.frombuffer(b"".join(x), np.int32) for x in slice_.column("starts").to_pylist()]
+                marks = [np.frombuffer(x, np.int32) for x in slice_.column("starts").to_pylist()]
                 doc, start, windows, offset, anchor = cut(values, offsets)
                 wanted = np.concatenate([m.astype(np.int64) + (i << 32) for i, m in enumerate(marks)])
                 hit = np.flatnonzero(np.isin(doc << 32 | start, wanted))
@@ -504,15 +544,19 @@ def _sorted_out(own, texts, doc, kind, windows, offset):
     return which[hit], window[hit]
 
 
-def _compared(batches):
+def _compared(parts: int):
+    return lambda batches: _differing(batches, parts)
+
+
+def _differing(batches, parts):
     given = []
     for batch in batches:
-        done = batch.filter(pa.compute.is_valid(batch.column("spans")))
+        done = batch.filter(pa.compute.is_valid(batch.column("span")))
         if len(done):
-            yield {n: done.column(n) for n in ("doc", "row", "spans")}
-        given.append(batch.filter(pa.compute.is_null(batch.column("spans"))))
+            yield {n: done.column(n) for n in ("part", *_SPANS)}
+        given.append(batch.filter(pa.compute.is_null(batch.column("span"))))
     given = [b.rename_columns([n[1:] if n[0] == "_" else f"-{n}" for n in b.schema.names]) for b in given if len(b)]
-    anchor, doc, row, start, windows, offset = _unpacked(given, _TEXTS)
+    doc, row, start, windows, offset = _unpacked(given, _TEXTS)
     if not len(doc):
         return
     unpack = zstandard.ZstdDecompressor().decompress
@@ -521,6 +565,7 @@ def _compared(batches):
     windows, offset, start = windows.astype(np.int64), offset.astype(np.int64), start.astype(np.int64)
     ends = np.cumsum(windows + LENGTH - 1)
     texts = [whole[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
+    anchor = gram_hashes(np.frombuffer(whole, np.uint8), ends - (windows + LENGTH - 1) + offset)
     gone = _settle(texts, doc)
     spans = [(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1)]
     keep = np.flatnonzero(~gone)
@@ -531,8 +576,7 @@ def _compared(batches):
     turn = np.flatnonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (np.diff(window) != 1)])) if len(which) else which
     last = np.append(turn[1:], len(which)) - 1 if len(which) else which
     spans.append((doc[which[turn]], row[which[turn]], start[which[turn]] + window[turn], start[which[turn]] + window[last] + LENGTH))
-    found = _lost(*(np.concatenate(x) for x in zip(*spans)))
-    yield {n: found[n] for n in ("doc", "row", "spans")}
+    yield _lost(*(np.concatenate(x) for x in zip(*spans)), parts)
 
 
 # ---- 3: texts without the spans ----
@@ -581,15 +625,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         keyed.filter(F.col("doc") != _LOWEST).select("row", "text"), _questions(parts),
         "part int, anchor binary, row binary, runs binary, low binary, high binary, known binary",
     )
-    starts = map_batches(asked.repartitionById(parts, F.col("part")), _answers, "row long, starts binary")
-    marked = starts.groupBy("row").agg(F.collect_list("starts").alias("starts"))
+    shared = map_batches(asked.repartitionById(parts, F.col("part")), _answers(parts), "part int, row binary, value binary")
+    marked = map_batches(shared.repartitionById(parts, F.col("part")), _gathered, "row long, starts binary")
     given = keyed.join(marked.hint("shuffle_hash"), "row", "left").filter("starts is not null")
+    packed = ", ".join(f"{n} binary" for n in _SPANS)
     sent = map_batches(
         given.select("doc", "row", "text", "starts"), _texts(parts),
-        "part int, doc long, row long, spans binary, " + ", ".join(f"_{n} binary" for n in (*_TEXTS, "text")),
+        f"part int, {packed}, " + ", ".join(f"_{n} binary" for n in (*_TEXTS, "text")),
     )
-    dealt = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
-    lost = map_batches(sent.repartitionById(parts, dealt), _compared, "doc long, row long, spans binary")
+    lost = map_batches(sent.repartitionById(parts, F.col("part")), _compared(parts), f"part int, {packed}")
+    lost = map_batches(lost.repartitionById(parts, F.col("part")), _spans_of, "row long, doc long, spans binary")
     spans = lost.groupBy("row").agg(F.collect_list(F.struct("doc", "spans")).alias("lost"))
     # Both joins have the same shuffle of the texts, which Spark makes once.
     whole = keyed.join(spans.hint("shuffle_hash"), "row", "left")

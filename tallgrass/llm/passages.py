@@ -6,7 +6,7 @@ its ``GRAM``-byte piece with the smallest hash, the leftmost of equals. Equal
 windows have equal anchors, so windows meet by anchor, and neighbouring windows
 with one anchor travel as one stretch of text:
 
-1. Each document is cut into stretches. Anchors travel as 48 bits and a row
+1. Each document is cut into stretches. Anchors travel as 32 bits and a row
    number; those of at least two documents mark their stretches as candidates.
 2. Texts of candidate stretches meet by anchor. Equal stretches need no sorting.
    Windows of different stretches with one anchor are suffixes to be sorted:
@@ -188,12 +188,17 @@ def _unpacked(batches, kinds: dict[str, type]) -> list[np.ndarray]:
 
 # ---- 1: candidates ----
 
-_ASK = {"anchor": np.uint16, "row": np.int64, "runs": np.int32, "low": np.uint16, "high": np.uint16, "known": np.uint8}
+_ASK = {"anchor": np.uint32, "row": np.int64, "runs": np.int32, "low": np.uint16, "high": np.uint16, "known": np.uint8}
 
 
-def _anchor_part(anchor: np.ndarray, parts: int) -> np.ndarray:
-    """The part of an anchor comes from 16 of its bits, the rest travels: 48 bits."""
-    return (anchor & np.uint64(0xFFFF)).astype(np.int64) * parts >> 16
+def _anchor_part(anchor: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of an anchor, and 32 other bits that tell anchors inside a part apart.
+
+    Anchors are least hashes, so they are mixed again. Parts grow in number, not in
+    size, so a part's chance meetings stay as rare; they make needless candidates.
+    """
+    mixed = _mixed(anchor * _BASE)
+    return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), mixed.astype(np.uint32)
 
 
 def _questions(parts: int):
@@ -210,16 +215,12 @@ def _questions(parts: int):
         several[group[row != first]] = True
         known = np.empty(len(order), np.uint8)
         known[order] = np.where(several[group], np.where(fresh, 2, 1), 0)
-        part = np.where(known == 1, rows % parts, _anchor_part(anchor, parts))
+        part, rest = _anchor_part(anchor, parts)
+        part = np.where(known == 1, rows % parts, part)
         by = np.argsort(part, kind="stable")
-        # Three 16-bit numbers of the anchor lie side by side.
-        rest = (anchor >> np.uint64(16))[by]
-        three = np.empty((len(by), 3), np.uint16)
-        for k in range(3):
-            three[:, k] = (rest >> np.uint64(16 * k)) & np.uint64(0xFFFF)
-        return _packed_rows(part[by], parts, three, rows[by], start[by], known[by])
-
-    def _packed_rows(part, many, three, rows, start, known):
+        return _packed_rows(part[by], parts, rest[by], rows[by], start[by], known[by])
+
+    def _packed_rows(part, many, anchor, rows, start, known):
         counts = np.bincount(part, minlength=many)
         used = np.flatnonzero(counts)
         ends = np.concatenate([[0], np.cumsum(counts[used])])
@@ -230,7 +231,7 @@ def _questions(parts: int):
         run_ends = np.concatenate([[0], np.cumsum(np.bincount(part[heads], minlength=many)[used])])
         return {
             "part": pa.array(used.astype(np.int32)),
-            "anchor": _slices(three.reshape(-1), ends * 3),
+            "anchor": _slices(anchor, ends),
             "row": _slices(rows[heads], run_ends),
             "runs": _slices(runs.astype(np.int32), run_ends),
             "low": _slices((start & 0xFFFF).astype(np.uint16), ends),
@@ -261,15 +262,11 @@ def _answers(parts: int):
 
 def _shared(batches, parts):
     """Stretches whose anchor several documents have."""
-    three, heads, runs, low, high, known = _unpacked(batches, _ASK)
+    anchor, heads, runs, low, high, known = _unpacked(batches, _ASK)
     if not len(low):
         return
     rows = np.repeat(heads, runs)
     start = low.astype(np.int32) | high.astype(np.int32) << 16
-    three = three.reshape(-1, 3).astype(np.uint64)
-    # Anchors of different parts may share a task: 48 bits of two that differ only in
-    # the rest make a needless candidate at most.
-    anchor = three[:, 0] | three[:, 1] << np.uint64(16) | three[:, 2] << np.uint64(32)
     asked = np.flatnonzero(known != 1)
     asked = asked[np.argsort(anchor[asked], kind="stable")]
     fresh = np.concatenate([[True], anchor[asked][1:] != anchor[asked][:-1]]) if len(asked) else np.zeros(0, bool)
@@ -317,6 +314,13 @@ _SPANS = {"doc": np.int64, "row": np.int64, "span": np.int32}
 
 def _lost(doc, row, begin, end, parts) -> dict:
     """Spans to remove, packed by the part that gathers a document."""
+    order = np.lexsort((begin, doc, row))
+    doc, row, begin, end = doc[order], row[order], begin[order], end[order]
+    # Spans that touch the one before are one; what this misses, the last step joins.
+    fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1])])
+    heads = np.flatnonzero(fresh) if len(row) else np.zeros(0, np.int64)
+    end = np.maximum.reduceat(end, heads) if len(heads) else end
+    doc, row, begin = doc[heads], row[heads], begin[heads]
     part = row % parts
     by = np.argsort(part, kind="stable")
     spans = np.stack([begin[by], end[by]], axis=1).astype(np.int32)
@@ -349,7 +353,7 @@ def _texts(parts: int):
             lost = _lost(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1, parts)
             yield lost | {f"_{n}": pa.nulls(len(lost["part"]), pa.binary()) for n in (*_TEXTS, "text")}
         keep = np.flatnonzero(~gone)
-        part = _anchor_part(anchor[keep], parts)
+        part, _ = _anchor_part(anchor[keep], parts)
         keep = keep[np.argsort(part, kind="stable")]
         part = np.sort(part, kind="stable")
         columns = {"doc": doc, "row": row, "start": start.astype(np.int32), "windows": windows.astype(np.uint8), "offset": offset.astype(np.uint8)}

@@ -170,7 +170,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of equal texts, the largest ``doc_id``."""
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     keyed = docs.withColumn("_key", F.unhex(F.sha2(F.coalesce(lowered, F.lit("")), 256)))
-    stay = content_classes(docs).select("_sha", F.when(F.col("_largest") != _LOWEST, F.col("_largest")).alias("_keep"))
-    found = keyed.join(stay, (keyed["_key"] == stay["_sha"]) & same(keyed["doc_id"], stay["_keep"]))
-    nth = F.row_number().over(Window.partitionBy("_key", "_keep").orderBy("_key"))
-    return found.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
+    keyed = keyed.withColumn("_id", F.coalesce("doc_id", F.lit(_LOWEST).cast("long")))
+    stay = content_classes(docs).select(F.col("_sha").alias("_key"), F.col("_largest").alias("_id"))
+    # Join and numbering have the same keys: whole rows move once.
+    nth = F.row_number().over(Window.partitionBy("_key", "_id").orderBy("_key"))
+    return keyed.join(stay, ["_key", "_id"]).withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)

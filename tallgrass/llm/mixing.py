@@ -180,9 +180,14 @@ def taken(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
 def repeated(docs: DataFrame) -> DataFrame:
     """The mix: each row of ``docs`` as often as its words are taken, a begun copy whole; none if none are."""
     identity = [F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("_id"), F.col("_key"), F.coalesce(F.concat(F.lit("a"), "source"), F.lit("b")).alias("_s")]
-    turn = Window.partitionBy("_id", "_key", "_s").orderBy("_key")
-    got = taken(docs).filter("taken > 0").select(*identity, F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    got = got.withColumn("_turn", F.row_number().over(turn))
-    keyed = docs.withColumn("_key", text_key()).select("*", identity[0], identity[2]).withColumn("_turn", F.row_number().over(turn))
-    copies = keyed.join(got, ["_id", "_key", "_s", "_turn"])
-    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    got = taken(docs).filter("taken > 0").select(*identity, F.ceil(F.col("taken") / F.col("size")).alias("_times"))
+    got = got.groupBy("_id", "_key", "_s").agg(F.sum("_times").alias("_times"))
+    keyed = docs.withColumn("_key", text_key()).select("*", identity[0], identity[2])
+    # Rows that repeat each other share their copies evenly. Join and numbering have the
+    # same keys: whole rows move once.
+    same = Window.partitionBy("_id", "_key", "_s")
+    joined = keyed.join(got, ["_id", "_key", "_s"]).withColumn("_turn", F.row_number().over(same.orderBy("_key")))
+    joined = joined.withColumn("_rows", F.max("_turn").over(same))
+    times = F.floor(F.col("_times") / F.col("_rows")) + F.when(F.col("_turn") <= F.col("_times") % F.col("_rows"), 1).otherwise(0)
+    copies = joined.withColumn("_copies", F.when(times > 0, F.sequence(F.lit(1).cast("long"), times)))
+    return copies.withColumn("_copy", F.explode("_copies")).select(*docs.columns)

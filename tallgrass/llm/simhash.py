@@ -15,14 +15,14 @@ fingerprints are one point. Empty tables give empty tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallgrass.llm.common import map_batches, same, stored, text_key
+from tallgrass.llm.common import map_batches, stored, text_key
 from tallgrass.llm.components import components, local_stars
 from tallgrass.operators.skew import lookup_join
 
@@ -34,6 +34,8 @@ PAIRS = 1 << 21
 #: Independent prints of the words of a text, and the size of a sketch.
 PRINTS = 3
 SKETCH = 256
+#: Bits in which the other prints of a candidate may differ; pairs at similarity 0.8 differ in 2 on average.
+NOT_FAR = 12
 _MASK31 = (1 << 31) - 1
 _ODD = np.random.default_rng(11).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -108,22 +110,16 @@ def _visits(batches):
             yield {"anchor": pa.array(anchor << 1 | half), "fp": pa.array(fp[index]), "home": pa.array(home)}
 
 
-def links_in(
-    anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, node: np.ndarray, distance: int, alike: Callable | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Stars over the nodes that are linked between homes and visitors of each anchor.
-
-    ``alike`` may turn down pairs of positions.
-    """
+def near_pairs(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of homes and visitors of one anchor with near fingerprints, ``PAIRS`` comparisons at a time."""
     order = np.argsort(anchor, kind="stable")
-    anchor, fp, home, node = anchor[order], fp[order], home[order], node[order]
+    anchor, fp, home = anchor[order], fp[order], home[order]
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(anchor)))
     group = np.repeat(np.arange(len(first)), size)
     hosts = np.flatnonzero(home & (size[group] > 1))
     work = np.cumsum(size[group[hosts]]) if len(hosts) else np.zeros(0, np.int64)
-    stars = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    kept, at = 0, 0
+    at = 0
     while at < len(hosts):
         done = work[at - 1] if at else 0
         end = max(int(np.searchsorted(work, done + PAIRS, "right")), at + 1)
@@ -132,10 +128,21 @@ def links_in(
         left = np.repeat(some, many)
         right = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[group[some]], many)
         near = np.bitwise_count((fp[left] ^ fp[right]).view(np.uint64)) <= distance
-        near &= node[left] != node[right]
-        left, right = left[near], right[near]
+        yield order[left[near]], order[right[near]]
+        at = end
+
+
+def links_in(
+    anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, node: np.ndarray, distance: int, alike: Callable | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Stars over the nodes that are linked inside each anchor. ``alike`` may turn down pairs of positions."""
+    stars = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    kept = 0
+    for left, right in near_pairs(anchor, fp, home, distance):
+        good = node[left] != node[right]
+        left, right = left[good], right[good]
         if alike:
-            good = alike(order[left], order[right])
+            good = alike(left, right)
             left, right = left[good], right[good]
         stars[0].append(node[left])
         stars[1].append(node[right])
@@ -143,7 +150,6 @@ def links_in(
         if kept > PAIRS:
             a, b = local_stars(np.concatenate(stars[0]), np.concatenate(stars[1]))
             stars, kept = ([a], [b]), len(a)
-        at = end
     a, b = np.concatenate(stars[0]), np.concatenate(stars[1])
     return local_stars(a, b) if len(a) else (a, b)
 
@@ -180,13 +186,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTA
 
 
 def sketch(hashes: np.ndarray, size: int = SKETCH) -> np.ndarray:
-    """MinHash of a set of shingle hashes, 16 bits each."""
+    """MinHash of a set of shingle hashes, 8 bits each."""
     if not len(hashes):
-        return np.zeros(size, np.uint16)
+        return np.zeros(size, np.uint8)
     least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 1 << 10):
         least = np.minimum(least, (hashes[at : at + (1 << 10), None] * _ODD[:size] + _ODD[::-1][:size]).min(axis=0))
-    return (least >> np.uint64(48)).astype(np.uint16) ^ (least & np.uint64(0xFFFF)).astype(np.uint16)
+    return (least ^ (least >> np.uint64(29))).astype(np.uint8)
 
 
 def _word_prints(batches):
@@ -201,78 +207,105 @@ def _word_prints(batches):
 
 
 def _meetings(batches):
-    """Visits of all prints of a node; anchors of different prints are different."""
+    """Visits of all prints of a node, with all its prints; anchors of different prints are different."""
     for batch in batches:
-        more = [n for n in batch.schema.names if not n.startswith("fp")]
+        prints = np.stack([batch.column(f"fp{k}").to_numpy() for k in range(PRINTS)], axis=1)
+        node = batch.column("node").to_numpy()
         for k in range(PRINTS):
-            fp = batch.column(f"fp{k}").to_numpy()
             for half in (0, 1):
-                index, anchor, home = anchors((fp >> (32 * half)) & _MASK31)
-                rows = batch.select(more).take(pa.array(index))
-                yield {"anchor": pa.array((anchor << 1 | half) * PRINTS + k), "fp": pa.array(fp[index]), "home": pa.array(home)} | {n: rows.column(n) for n in more}
+                index, anchor, home = anchors((prints[:, k] >> (32 * half)) & _MASK31)
+                rows = prints[index]
+                yield {"anchor": pa.array((anchor << 1 | half) * PRINTS + k), "home": pa.array(home), "node": pa.array(node[index])} | {
+                    f"fp{i}": pa.array(np.ascontiguousarray(rows[:, i])) for i in range(PRINTS)
+                }
 
 
-def _meet(prints: DataFrame, distance: int, least: float | None) -> DataFrame:
-    """Stars ``u, v`` of the nodes whose prints are near, and whose sketches agree if ``least`` is given."""
+def _gather(batches):
+    rows = pa.Table.from_batches(batches)
+    anchor, home, node = (rows.column(n).to_numpy() for n in ("anchor", "home", "node"))
+    prints = np.stack([rows.column(f"fp{k}").to_numpy() for k in range(PRINTS)], axis=1)
+    own = prints[np.arange(len(prints)), anchor % PRINTS] if len(prints) else anchor
+    return rows, anchor, home, node, prints, own
 
-    def compare(batches):
-        got = list(batches)
-        if not got:
+
+def _partners(distance: int):
+    """Visits that have a partner: near in one print, not far in any other."""
+
+    def run(batches):
+        batches = list(batches)
+        if not batches:
             return
-        rows = pa.Table.from_batches(got)
-        alike = None
-        if least is not None:
-            drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(len(rows), -1)
-            step = (1 << 24) // drawn.shape[1]
-
-            def alike(left, right):
-                shares = [(drawn[left[i : i + step]] == drawn[right[i : i + step]]).mean(axis=1) for i in range(0, len(left), step)]
-                return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
-
-        columns = [rows.column(n).to_numpy() for n in ("anchor", "fp", "home", "node")]
-        u, v = links_in(*columns, distance, alike)
+        rows, anchor, home, node, prints, own = _gather(batches)
+        met = np.zeros(len(anchor), bool)
+        for left, right in near_pairs(anchor, own, home, distance):
+            good = node[left] != node[right]
+            for k in range(PRINTS):
+                good &= np.bitwise_count((prints[left, k] ^ prints[right, k]).view(np.uint64)) <= NOT_FAR
+            met[left[good]] = met[right[good]] = True
+        found = rows.filter(pa.array(met))
+        yield {n: found.column(n).combine_chunks() for n in found.schema.names}
+
+    return run
+
+
+def _similar(distance: int, least: float):
+    """Stars ``u, v`` of partners whose sketches agree."""
+
+    def run(batches):
+        batches = list(batches)
+        if not batches:
+            return
+        rows, anchor, home, node, prints, own = _gather(batches)
+        drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), -1)
+        step = (1 << 24) // SKETCH
+
+        def alike(left, right):
+            shares = [(drawn[left[i : i + step]] == drawn[right[i : i + step]]).mean(axis=1) for i in range(0, len(left), step)]
+            return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
+
+        u, v = links_in(anchor, own, home, node, distance, alike)
         yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
 
-    more = ", sketch binary" if least is not None else ""
-    visits = map_batches(prints, _meetings, f"anchor long, fp long, home boolean, node long{more}")
-    return map_batches(visits.repartition("anchor"), compare, "u long, v long")
+    return run
 
 
 def similar_texts(docs: DataFrame, words: int, least: float, distance: int = DISTANCE) -> DataFrame:
     """``node, root``: components of texts, by ``text_key``, whose ``words``-word shingles are similar.
 
     Candidates have a near print of their words: counts of single words change little
-    in a near copy, so ``PRINTS`` independent prints find nearly all pairs at 0.8. Texts
-    with a candidate meet again with MinHash sketches of their shingle sets, and
-    only pairs whose estimated Jaccard similarity reaches ``least`` (less one
-    standard error) are linked.
+    in a near copy, so ``PRINTS`` independent prints find nearly all pairs at 0.8 (one
+    print finds 84 %, measured). Candidates meet again with MinHash sketches of their
+    shingle sets; pairs are linked whose estimated Jaccard similarity reaches
+    ``least`` less one standard error.
     """
     texts = docs.select(text_key().alias("_key"), F.col("text").cast("binary").alias("_text"))
     found = map_batches(texts, _word_prints, "node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS)))
     prints = stored(found.dropDuplicates(["node"]), "prints")
-    near = _meet(prints, distance, None)
-    some = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    schema = "anchor long, home boolean, node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS))
+    visits = map_batches(prints, _meetings, schema).repartition("anchor")
+    met = stored(map_batches(visits, _partners(distance), schema), "partners")
 
     def draw(batches):
         for batch in batches:
             drawn = [sketch(np.unique(shingle_hashes(t or b"", words))).tobytes() for t in batch.column("_text").to_pylist()]
             yield {"node": batch.column("_key"), "sketch": pa.array(drawn, pa.binary())}
 
-    # Only texts with a candidate are drawn: their keys meet all keys, without the texts.
+    # Only texts with a partner are drawn, and only where they met one do they meet again.
+    some = met.select("node").distinct()
     sketches = map_batches(texts.join(some, texts["_key"] == some["node"], "left_semi"), draw, "node long, sketch binary")
-    chosen = stored(prints.join(sketches.dropDuplicates(["node"]), "node"), "sketches")
+    again = met.join(sketches.dropDuplicates(["node"]), "node").select(*met.columns, "sketch")
     slack = (least * (1 - least) / SKETCH) ** 0.5
-    return components(_meet(chosen, distance, least - slack))
+    return components(map_batches(again.repartition("anchor"), _similar(distance, least - slack), "u long, v long"))
 
 
 def keep_one(docs: DataFrame, words: int, least: float) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of similar texts, the one with the smallest ``doc_id``."""
     roots = similar_texts(docs, words, least)
-    keys = docs.select("doc_id", text_key().alias("_key"))
+    rows = docs.withColumn("_key", text_key()).withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    keys = rows.select("doc_id", "_id", "_key")
     placed = keys.join(roots, keys["_key"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_key"))
-    stay = placed.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("s"))
-    stay = stay.select(F.col("s.doc_id").alias("_keep"), F.col("s._key").alias("_keep_key"))
-    keyed = docs.withColumn("_key", text_key())
-    kept = keyed.join(stay, (keyed["_key"] == stay["_keep_key"]) & same(keyed["doc_id"], stay["_keep"]))
-    nth = F.row_number().over(Window.partitionBy("_keep_key", "_keep").orderBy("_keep_key"))
+    stay = placed.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "_id", "_key")).alias("s"))
+    # Join and numbering have the same keys: whole rows move once.
+    nth = F.row_number().over(Window.partitionBy("_key", "_id").orderBy("_key"))
+    kept = rows.join(stay.select("s._key", "s._id"), ["_key", "_id"])
     return kept.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallgrass.llm.common import map_batches, same, stored
+from tallgrass.llm.common import importable, map_batches, same, stored
 from tallgrass.llm.components import components, local_stars
 from tallgrass.operators.skew import lookup_join
 
@@ -164,6 +164,7 @@ def _result(u, v, n) -> pa.Table:
 
 def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` per row of ``vectors``."""
+    importable(vectors.sparkSession)
     rows = points(vectors)
     classes = rows.filter("_class is not null").groupBy("_class").agg(
         F.first("label").alias("label"), F.first("embedding").alias("embedding"),

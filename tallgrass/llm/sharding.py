@@ -12,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallgrass.llm.common import importable
+
 LAW = "key"
 #: Parts of a shard that are numbered apart, so that no task sorts a whole shard.
 PARTS = 4096
@@ -44,6 +46,7 @@ def jump_hash(key: str | Column, shards: int) -> Column:
 
 def with_shards(docs: DataFrame, shards: int, name: str = "shard") -> DataFrame:
     """``docs`` with the shard of each row; no shuffle."""
+    importable(docs.sparkSession)
     return docs.withColumn(name, jump_hash("doc_id", shards))
 
 
@@ -58,6 +61,7 @@ def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
     Slots number a shard's rows without gaps, in the order of a hash. Parts of
     a shard are counted first, then numbered apart.
     """
+    importable(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id",

@@ -34,6 +34,12 @@ def explode_once(table: DataFrame, items: Column, *names: str, keep: Sequence[st
     return table.select(*keep, explode(items).alias(*names)).filter(F.col(names[-1]).isNotNull())
 
 
-def distinct_words(tokens: str | Column, max_words: int = MAX_WORDS_PER_LINE) -> Column:
-    """The different words among the first ``max_words`` tokens."""
-    return F.array_distinct(F.slice(tokens, 1, max_words))
+def stretch_count(tokens: str | Column, max_words: int = MAX_WORDS_PER_LINE) -> Column:
+    """How many stretches of ``max_words`` tokens a line has; a blank line is one."""
+    return F.greatest(F.ceil(F.size(tokens) / F.lit(max_words)), F.lit(1)).cast("int")
+
+
+def stretches(tokens: str, max_words: int = MAX_WORDS_PER_LINE) -> Column:
+    """The different words of each consecutive stretch of ``max_words`` tokens."""
+    numbers = F.sequence(F.lit(0), stretch_count(tokens, max_words) - 1)
+    return F.transform(numbers, lambda i: F.array_distinct(F.slice(tokens, i * max_words + 1, F.lit(max_words))))

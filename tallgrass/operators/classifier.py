@@ -14,7 +14,6 @@ from tallgrass.operators.skew import is_small, lookup_join
 from tallgrass.session import new_run_dir
 
 RATE = 0.002  # fixed value: learning rate
-INSTANCES_PER_MODEL = 100_000
 
 
 def shuffled_order(seed: int, key: str = "doc_id") -> Column:
@@ -25,25 +24,20 @@ def shuffled_order(seed: int, key: str = "doc_id") -> Column:
 def train_online(
     instances: DataFrame,
     order: str | Column = "doc_id",
-    instances_per_model: int = INSTANCES_PER_MODEL,
+    models: int = 1,
     rate: float = RATE,
 ) -> DataFrame:
     """One pass of stochastic gradient descent, in the given order.
 
-    A single pass in one order is sequential work, so the instances are dealt
-    out by a hash of ``doc_id`` into shards of about ``instances_per_model``,
-    one model each: few enough instances give one model and the plain one-pass
-    result, more give an ensemble that trains in parallel. A shard is read as a
-    stream of batches and never held as a whole.
+    A single pass in one order is sequential work. With ``models`` above 1 the
+    instances are dealt out by a hash of ``doc_id`` into so many shards, one
+    model each, that train in parallel: always that number, whatever the input.
+    A shard is read as a stream of batches and never held as a whole.
     """
     order = F.col(order) if isinstance(order, str) else order
-    shards = F.greatest(
-        F.lit(1).cast("long"),
-        F.ceil(instances.agg(F.count(F.lit(1))).scalar() / F.lit(instances_per_model)),
-    )
     dealt = (
         instances.select(
-            F.pmod(F.xxhash64("doc_id"), shards).alias("shard"),
+            F.pmod(F.xxhash64("doc_id"), F.lit(models)).alias("shard"),
             order.alias("_order"),
             "doc_id",
             label_to_target(F.col("label")).alias("target"),
@@ -170,14 +164,16 @@ def _weighted(instances: DataFrame, model: DataFrame) -> DataFrame:
 def score(instances: DataFrame, model: DataFrame) -> DataFrame:
     """``(doc_id, label, score, predicted)`` with one model; unknown features add 0.
 
-    ``doc_id`` is unique. ``model`` should be a stored table: its size is
-    checked first.
+    ``doc_id`` is unique. More than one ``model_id`` raises.
     """
     sums = (
         _weighted(instances, model)
         .groupBy("doc_id", "label")
         .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"))
     )
+    several = model.agg(F.count_distinct("model_id") > 1).scalar()
+    message = F.lit("several models: use score_ensemble")
+    sums = sums.withColumn("score", F.when(several, F.raise_error(message).cast("double")).otherwise(F.col("score")))
     return sums.withColumn("predicted", predicted_label(F.col("score")))
 
 

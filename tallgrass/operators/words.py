@@ -2,6 +2,10 @@
 
 A line is a row with a ``value`` column. Functions that start from
 ``tokenized`` take the result of :func:`tokenized_lines`.
+
+Words co-occur inside a stretch: lines are cut into consecutive stretches of
+``max_words`` tokens, so every token takes part and a stretch has a bounded
+number of pairs. A line of up to ``max_words`` tokens is one stretch.
 """
 
 from __future__ import annotations
@@ -13,8 +17,9 @@ from tallgrass.functions.tokens import (
     DEFAULT_THRESHOLD,
     MARGINAL_MARK,
     MAX_WORDS_PER_LINE,
-    distinct_words,
     explode_once,
+    stretch_count,
+    stretches,
     tokenize,
 )
 from tallgrass.operators.skew import lookup_join
@@ -32,10 +37,18 @@ def line_count(tokenized: DataFrame) -> DataFrame:
     return tokenized.agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def _stretches(tokenized: DataFrame, max_words: int) -> DataFrame:
+    return explode_once(tokenized, stretches("tokens", max_words), "words")
+
+
+def stretch_total(tokenized: DataFrame, max_words: int = MAX_WORDS_PER_LINE) -> DataFrame:
+    return tokenized.agg(F.sum(stretch_count("tokens", max_words)).alias("n_stretches"))
+
+
 def word_line_counts(tokenized: DataFrame, max_words: int = MAX_WORDS_PER_LINE) -> DataFrame:
-    """In how many lines a word occurs among the first ``max_words`` tokens."""
+    """In how many stretches a word occurs."""
     return (
-        explode_once(tokenized, distinct_words("tokens", max_words), "w")
+        explode_once(_stretches(tokenized, max_words), F.col("words"), "w")
         .groupBy("w")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -46,12 +59,12 @@ def pair_counts(
     threshold: int = DEFAULT_THRESHOLD,
     max_words: int = MAX_WORDS_PER_LINE,
 ) -> DataFrame:
-    """Unordered pairs ``x < y`` that share a line, with the number of such lines.
+    """Unordered pairs ``x < y`` that share a stretch, with the number of such stretches.
 
-    A line has at most ``max_words`` words, so it gives a bounded number of
-    pairs, each one once: half of what the two directions would shuffle.
+    A stretch gives a bounded number of pairs, each one once: half of what the
+    two directions would shuffle.
     """
-    words = tokenized.select(F.sort_array(distinct_words("tokens", max_words)).alias("words"))
+    words = _stretches(tokenized, max_words).select(F.sort_array("words").alias("words"))
     left = explode_once(words, F.col("words"), "i", "x", keep=["words"])
     after_x = F.slice("words", F.col("i") + 2, F.size("words"))
     pairs = explode_once(left, after_x, "y", keep=["x"])
@@ -74,7 +87,7 @@ def pmi_pairs(
     threshold: int = DEFAULT_THRESHOLD,
     max_words: int = MAX_WORDS_PER_LINE,
 ) -> DataFrame:
-    """``(x, y, pmi, n)`` for both directions of pairs in ``threshold`` lines or more."""
+    """``(x, y, pmi, n)`` for both directions of pairs in ``threshold`` stretches or more."""
     return mirror(_with_pmi(pair_counts(tokenized, threshold, max_words), tokenized, max_words))
 
 
@@ -85,8 +98,8 @@ def _with_pmi(pairs: DataFrame, tokenized: DataFrame, max_words: int) -> DataFra
     n_y = counts.select(F.col("w").alias("y"), F.col("n").alias("n_y"))
     with_x = lookup_join(pairs, n_x, "x", weight="n_x", spread_by=["y"])
     with_xy = lookup_join(with_x, n_y, "y", weight="n_y", spread_by=["x"])
-    n_lines = line_count(tokenized).scalar()
-    value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), n_lines)
+    total = stretch_total(tokenized, max_words).scalar()
+    value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), total)
     return with_xy.select("x", "y", value.alias("pmi"), "n")
 
 

@@ -65,18 +65,20 @@ lines as materialized (
 
 HEADS = """
 heads as materialized (
-  select distinct doc_id, line_no, w from (select doc_id, line_no, unnest(t[1:40]) as w from lines)
+  select distinct doc_id, line_no, stretch, w
+  from (select doc_id, line_no, (generate_subscripts(t, 1) - 1) // 40 as stretch, unnest(t) as w from lines)
 ),
+total as materialized (select sum(greatest(ceil(len(t) / 40.0), 1)) as n from lines),
 words as materialized (select w, count(*) as n from heads group by w)"""
 
 PAIRS = f"""
 pairs as materialized (
   select a.w as x, b.w as y, count(*) as n
-  from heads a join heads b on a.doc_id = b.doc_id and a.line_no = b.line_no and a.w <> b.w
+  from heads a join heads b on a.doc_id = b.doc_id and a.line_no = b.line_no and a.stretch = b.stretch and a.w <> b.w
   group by 1, 2 having count(*) >= {PMI_THRESHOLD}
 ),
 scored as (
-  select x, y, p.n, round(log10(p.n::double * (select count(*) from lines) / (a.n::double * b.n)), 6) + 0.0 as pmi
+  select x, y, p.n, round(log10(p.n::double * (select n from total) / (a.n::double * b.n)), 6) + 0.0 as pmi
   from pairs p join words a on a.w = x join words b on b.w = y
 )"""
 

@@ -29,6 +29,7 @@ SEARCH_OR = "avec der OR"
 SEARCH_NESTED = "the and AND une OR"
 SOURCES = (1, 2, 3)
 EPOCHS = 3
+ONLINE_MODELS = 4
 MODEL_FACTORS = (7, 11, 13)
 BOXES = (Region("box_a", 10, 20, 20, 60, "Box A"), Region("box_b", 30, 60, 50, 90, "Box B"))
 HOUR = "60 minutes"
@@ -396,7 +397,7 @@ def train_epochs(spark, sf_dir):
 
 @query
 def train_online(spark, sf_dir):
-    model = classifier.train_online(_labelled(spark, sf_dir), instances_per_model=1000)
+    model = classifier.train_online(_labelled(spark, sf_dir), models=ONLINE_MODELS)
     return _rounded(model, 9, "weight")
 
 
@@ -490,14 +491,22 @@ def trending(spark, sf_dir):
     return _as_text(windows.trending(filled, BOXES), "window_end")
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = load_table(spark, sf_dir, "events").schema
-    return _points(jobs.stream_files(spark, sf_dir, schema, glob="events.parquet"))
+STREAM_FILES = 8
 
 
 def _streamed(spark: SparkSession, sf_dir: str, size: str, regions=None) -> DataFrame:
-    place = new_run_dir(spark, "stream")
-    jobs.run_job(jobs.count_windows(_stream(spark, sf_dir), size, regions), place)
+    """Events dealt into files that overlap in time, one file per batch.
+
+    The job stops when half of the files are there, and goes on with the rest.
+    """
+    events = load_table(spark, sf_dir, "events")
+    files, place = new_run_dir(spark, "files"), new_run_dir(spark, "stream")
+    dealt = events.withColumn("dealt", F.pmod("event_id", F.lit(STREAM_FILES)).cast("int"))
+    for first in (0, STREAM_FILES // 2):
+        half = dealt.filter(F.col("dealt").between(first, first + STREAM_FILES // 2 - 1))
+        half.repartition("dealt").write.mode("append").partitionBy("dealt").parquet(files)
+        stream = _points(jobs.stream_files(spark, files, dealt.schema))
+        jobs.run_job(jobs.count_windows(stream, size, regions), place)
     return jobs.read_counts(spark, place)
 
 

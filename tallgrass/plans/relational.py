@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallgrass.operators.skew import is_small, lookup_used
+from tallgrass.operators.skew import lookup_used
 
 TOP_ROWS = 20  # fixed value: rows of the two top-k reports
 DEFAULT_NATIONS = ("CANADA", "UNITED STATES")  # fixed value
@@ -27,46 +27,25 @@ def q1(lineitem: DataFrame, date: str) -> DataFrame:
     return lineitem.filter(shipped_on(lineitem, date)).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
-def q2(lineitem: DataFrame, orders: DataFrame, date: str, detail: str = "o_clerk") -> DataFrame:
-    """First orders with a line shipped on a date: one row per order.
+def q2(lineitem: DataFrame, orders: DataFrame, date: str, detail: str = "o_clerk", top: int = TOP_ROWS) -> DataFrame:
+    """First orders with a line shipped on a date: one row per order."""
+    shipped = lineitem.filter(shipped_on(lineitem, date)).select(F.col("l_orderkey").alias("o_orderkey"))
+    found = orders.select("o_orderkey", detail).join(shipped, "o_orderkey", "left_semi")
+    return found.orderBy("o_orderkey", detail).limit(top)
 
-    The first keys alone answer this as long as their orders exist, which is
-    checked. Then no order has to move; else all keys of the date are joined.
-    """
-    shipped = lineitem.filter(shipped_on(lineitem, date)).select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-
-    def first_of(keys: DataFrame) -> DataFrame:
-        found = orders.select("o_orderkey", detail).join(keys, "o_orderkey", "left_semi")
-        return found.orderBy("o_orderkey", detail).limit(TOP_ROWS)
-
-    near = first_of(F.broadcast(shipped.orderBy("o_orderkey").limit(TOP_ROWS)))
-    return near if near.count() == TOP_ROWS else first_of(shipped)
 
-
-def q3(lineitem: DataFrame, part: DataFrame, supplier: DataFrame, date: str) -> DataFrame:
+def q3(lineitem: DataFrame, part: DataFrame, supplier: DataFrame, date: str, top: int = TOP_ROWS) -> DataFrame:
     """First lines shipped on a date with part and supplier names.
 
-    Ties of the order key are sorted by the names. The lines up to the key of
-    the last one wanted answer this as long as enough of their names exist,
-    which is checked. Else all lines of the date are looked up.
+    Ties of the order key are sorted by the names.
     """
     lines = lineitem.filter(shipped_on(lineitem, date)).select("l_orderkey", "l_partkey", "l_suppkey")
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
     s = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-
-    def first_of(named: DataFrame) -> DataFrame:
-        order = ("l_orderkey", "p_name", "s_name")
-        return named.select(*order).orderBy(*order).limit(TOP_ROWS)
-
-    keys = lines.select("l_orderkey").orderBy("l_orderkey").limit(TOP_ROWS)
-    near = lines.filter(F.col("l_orderkey") <= keys.agg(F.max("l_orderkey")).scalar())
-    if is_small(near):
-        with_part = F.broadcast(near).join(p, "l_partkey")
-        found = first_of(F.broadcast(with_part).join(s, "l_suppkey"))
-        if found.count() == TOP_ROWS:
-            return found
     with_part = lookup_used(lines, p, "l_partkey", spread_by=["l_orderkey", "l_suppkey"])
-    return first_of(lookup_used(with_part, s, "l_suppkey", spread_by=["l_orderkey", "l_partkey"]))
+    named = lookup_used(with_part, s, "l_suppkey", spread_by=["l_orderkey", "l_partkey"])
+    order = ("l_orderkey", "p_name", "s_name")
+    return named.select(*order).orderBy(*order).limit(top)
 
 
 def q4(
@@ -109,25 +88,19 @@ def q5(
 ) -> DataFrame:
     """All lines by month, for customers of some nations.
 
-    As in :func:`q4`, counts move from orders to customers to nations.
+    The nations come first: customers, then orders, then lines are left out as
+    early as they can be, and only lines of wanted orders are aggregated.
     """
-    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
-    per_order = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), month.alias("month")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    per_customer = (
-        per_order.join(orders.select("o_orderkey", "o_custkey"), "o_orderkey")
-        .groupBy(F.col("o_custkey").alias("c_custkey"), "month")
-        .agg(F.sum("n").alias("n"))
-    )
     wanted = customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(
         nation.filter(F.col("n_name").isin(list(nations))).select("n_nationkey", "n_name"), "n_nationkey"
     )
+    placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey")).join(wanted, "c_custkey")
+    month = F.substring(F.trunc(F.col("l_shipdate").cast("date"), "month").cast("string"), 1, 7)
     return (
-        per_customer.join(wanted, "c_custkey")
-        .groupBy("n_nationkey", "n_name", "month")
-        .agg(F.sum("n").alias("n_lines"))
-        .select("n_nationkey", "n_name", F.substring(F.col("month").cast("string"), 1, 7).alias("month"), "n_lines")
+        lineitem.select("l_orderkey", "l_shipdate")
+        .join(placed.select("l_orderkey", "n_nationkey", "n_name"), "l_orderkey")
+        .groupBy("n_nationkey", "n_name", month.alias("month"))
+        .agg(F.count(F.lit(1)).alias("n_lines"))
         .orderBy("n_nationkey", "month")
     )
 

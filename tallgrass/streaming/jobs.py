@@ -17,7 +17,6 @@ from tallgrass.functions.times import to_instant, to_wall
 from tallgrass.operators.windows import locate
 from tallgrass.sources.records import parse_trips
 
-WATERMARK = "1 hour"
 ALL_EVENTS = "all"  # fixed value: the key of a count over every event
 
 
@@ -59,10 +58,13 @@ def count_windows(
     size: str,
     regions: Sequence[Region] | None = None,
     slide: str | None = None,
-    watermark: str = WATERMARK,
 ) -> DataFrame:
-    """Streaming counts per window, and per region if regions are given."""
-    timed = with_event_time(events).withWatermark("ts", watermark)
+    """Streaming counts per window, and per region if regions are given.
+
+    There is no watermark: files come in any order of event time, and no event
+    is too late to count. The state has one row per window and region.
+    """
+    timed = with_event_time(events)
     window = F.window("ts", size, slide)
     if regions is None:
         grouped, region = timed.groupBy(window), F.lit(ALL_EVENTS).alias("region")
@@ -72,17 +74,16 @@ def count_windows(
 
 
 def start_job(counts: DataFrame, place: str, every: str | None = None) -> StreamingQuery:
-    """Append closed windows to ``place/counts``.
+    """Count into the state below ``place``, from where :func:`read_counts` takes the counts.
 
     The job stops when the files present are read, or with ``every`` runs on
     and takes new files at that interval. A later call with the same ``place``
     goes on where this one stopped.
     """
     writer = (
-        counts.writeStream.format("parquet")
-        .option("path", f"{place}/counts")
+        counts.writeStream.format("noop")
         .option("checkpointLocation", f"{place}/checkpoint")
-        .outputMode("append")
+        .outputMode("update")
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
@@ -93,18 +94,12 @@ def run_job(counts: DataFrame, place: str) -> None:
 
 
 def read_counts(spark: SparkSession, place: str) -> DataFrame:
-    """``(window_start, window_end, region, n)``: closed windows and those still open."""
-    closed = spark.read.schema("start timestamp, end timestamp, region string, n long").parquet(
-        f"{place}/counts"
-    )
+    """``(window_start, window_end, region, n)`` over every event read so far."""
     state = spark.read.format("statestore").load(f"{place}/checkpoint")
     by_region = "region" in state.schema["key"].dataType.names
-    still_open = state.select(
-        F.col("key.window.start").alias("start"),
-        F.col("key.window.end").alias("end"),
+    return state.select(
+        to_wall(F.col("key.window.start")).alias("window_start"),
+        to_wall(F.col("key.window.end")).alias("window_end"),
         (F.col("key.region") if by_region else F.lit(ALL_EVENTS)).alias("region"),
         F.col("value.count").alias("n"),
     )
-    return closed.unionByName(still_open).select(
-        to_wall(F.col("start")).alias("window_start"), to_wall(F.col("end")).alias("window_end"), "region", "n"
-    )

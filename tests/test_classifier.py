@@ -45,7 +45,7 @@ def test_order_of_training(instances):
 
 
 def test_many_shards_are_models_of_their_own_rows(instances):
-    model = classifier.train_online(instances, instances_per_model=10)
+    model = classifier.train_online(instances, models=6)
     shards = {r.doc_id: str(r.s) for r in instances.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(6)).alias("s")).collect()}
     found = {}
     for r in model.collect():

@@ -57,8 +57,14 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, folder, regions):
     assert rows_of(run()) == rows_of(batch(spark, folder, regions))
     put(spark, folder, "part-4.parquet", range(240, 400))
     assert rows_of(run()) == rows_of(batch(spark, folder, regions))
-    closed = spark.read.parquet(f"{folder}/job/counts")
-    assert 0 < closed.count() < batch(spark, folder, regions).count()
+
+
+def test_no_event_is_too_late(spark, folder):
+    for part in range(5):
+        put(spark, folder, f"part-{part}.parquet", range(part, 5000, 5))
+    stream = jobs.stream_files(spark, f"{folder}/in", SCHEMA)
+    jobs.run_job(jobs.count_windows(stream, "60 minutes"), f"{folder}/job")
+    assert sum(r.n for r in jobs.read_counts(spark, f"{folder}/job").collect()) == 5000
 
 
 def test_only_part_files_are_read(spark, folder):

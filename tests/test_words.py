@@ -62,13 +62,24 @@ CORPUS = [
 def brute_pairs(corpus, limit=40):
     counts, singles = Counter(), Counter()
     for line in corpus:
-        distinct = set(plain_tokens(line)[:limit])
-        singles.update(distinct)
-        for x, y in combinations(sorted(distinct), 2):
-            counts[x, y] += 1
+        tokens = plain_tokens(line)
+        for at in range(0, len(tokens), limit):
+            distinct = set(tokens[at : at + limit])
+            singles.update(distinct)
+            for x, y in combinations(sorted(distinct), 2):
+                counts[x, y] += 1
     return counts, singles
 
 
+def brute_total(corpus, limit=40):
+    return sum(max(-(-len(plain_tokens(line)) // limit), 1) for line in corpus)
+
+
+def test_every_token_is_in_a_stretch(spark):
+    distinct = {w for line in CORPUS for w in plain_tokens(line)}
+    assert {r.w for r in words.word_line_counts(lines(spark, *CORPUS)).collect()} == distinct
+
+
 def test_pairs_and_word_counts_equal_brute_force(spark):
     counts, singles = brute_pairs(CORPUS)
     tokenized = lines(spark, *CORPUS)
@@ -83,7 +94,7 @@ def check_pmi(spark, tokenized, corpus, threshold):
     wanted = {k: n for k, n in counts.items() if n >= threshold}
     assert set(found) == set(wanted) | {(y, x) for x, y in wanted}
     for (x, y), n in wanted.items():
-        pmi = math.log10(n * len(corpus) / (singles[x] * singles[y]))
+        pmi = math.log10(n * brute_total(corpus) / (singles[x] * singles[y]))
         assert found[x, y].pmi == pytest.approx(pmi)
         assert found[y, x].pmi == found[x, y].pmi
         assert found[x, y].n == n

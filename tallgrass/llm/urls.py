@@ -83,12 +83,13 @@ def _strength(level: DataFrame, group: str) -> DataFrame:
         F.count(F.lit(1)).alias("k"), F.sum("_g").alias("g"), F.sum("_c").alias("n"),
         F.sum(F.col("_c") * F.col("_c")).alias("nn"), F.sum(F.col("_g") * F.col("_g") / F.col("_c")).alias("gg"),
     )
-    p = F.col("g") / F.col("n")
-    between = (F.col("gg") - F.col("n") * p * p) / (F.col("k") - 1)
-    within = (F.col("g") - F.col("gg")) / (F.col("n") - F.col("k"))
-    size = (F.col("n") - F.col("nn") / F.col("n")) / (F.col("k") - 1)
-    shared = (between - within) / (between + (size - 1) * within)
-    fitted = F.when((F.col("k") > 1) & (F.col("n") > F.col("k")) & (between + (size - 1) * within > 0) & (shared > 0), 1 / shared - 1)
+    ratio = F.try_divide  # a level with one group, or with one page in each, has no fit
+    p = ratio(F.col("g"), F.col("n"))
+    between = ratio(F.col("gg") - F.col("n") * p * p, F.col("k") - 1)
+    within = ratio(F.col("g") - F.col("gg"), F.col("n") - F.col("k"))
+    size = ratio(F.col("n") - ratio(F.col("nn"), F.col("n")), F.col("k") - 1)
+    shared = ratio(between - within, between + (size - 1) * within)
+    fitted = F.when(shared > 0, ratio(F.lit(1.0), shared) - 1)
     bounded = F.least(F.greatest(F.coalesce(fitted, F.lit(1e4)), F.lit(1.0)), F.lit(1e4))
     return total.select(
         F.coalesce(F.when(F.col("n") > 0, p), F.lit(0.5)).alias("_p"), bounded.alias("_m")

@@ -192,6 +192,8 @@ GRAPH = {
         from nodes left join degrees on src = id""",
     "graph_orphans": f"""with {_graph(BOTH_WAYS)}
         select dst, sum(w)::bigint as edges from edges where dst not in (select id from nodes) group by dst""",
+    "adjacency_bad_lines": """
+        select o_orderkey || ' ' || o_orderpriority as bad_line from orders where o_custkey % 2 <> 0""",
     "adjacency_edges": """
         select src, dst, count(*) as n
         from (select l_partkey as src, l_suppkey as dst from lineitem

@@ -290,6 +290,15 @@ def adjacency_edges(spark, sf_dir):
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def adjacency_bad_lines(spark, sf_dir):
+    """Adjacency text with an order priority among the neighbours: lines that are no numbers stay, as they are."""
+    table = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    third = F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey").cast("string")).otherwise(F.col("o_orderpriority"))
+    lines = table.select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), third).alias("value"))
+    return records.parse_adjacency(lines, on_error="keep").filter("bad_line is not null").select("bad_line")
+
+
 @query
 def ppr_iter1(spark, sf_dir):
     return _rounded(_ppr(spark, sf_dir, 1), 9, "score")

@@ -27,7 +27,7 @@ def test_delimited_round_trip(spark):
 
 
 def test_instances(spark):
-    parsed = records.parse_instances(values(spark, "d1 spam 5 5 7", "d2 ham", "", "d3 ham 1 x -2"))
+    parsed = records.parse_instances(values(spark, "d1 spam 5 5 7", "d2 ham", "", "d3 ham 1 -2"))
     assert [tuple(r) for r in parsed.collect()] == [
         ("d1", "spam", [5, 5, 7]), ("d2", "ham", []), ("d3", "ham", [1, -2]),
     ]
@@ -37,14 +37,33 @@ def test_model_text_round_trip(spark):
     model = spark.createDataFrame([("m", 5, 0.25), ("m", -3, -1.5e-7)], "model_id string, feature int, weight double")
     back = records.parse_model(records.format_model(model), "m")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, model.collect()))
-    assert records.parse_model(values(spark, "junk", "(1,2", "(7,0.5)")).collect() == [("0", 7, 0.5)]
+    kept = records.parse_model(values(spark, "junk", "(1,2", "(7,0.5)"), on_error="keep")
+    assert [tuple(r) for r in kept.collect()] == [("0", None, None, "junk"), ("0", None, None, "(1,2"), ("0", 7, 0.5, None)]
+
+
+@pytest.mark.parametrize(
+    ("parse", "good", "bad"),
+    [
+        (records.parse_adjacency, "1 2 3", "1 2 x 3"), (records.parse_adjacency, "4", "q 2"),
+        (records.parse_instances, "d ham 5", "d ham 5 x"), (records.parse_instances, "d ham", "d"),
+        (records.parse_model, "(1,0.5)", "(x,0.5)"), (records.parse_trips, ",".join("012345678901"), "green,1"),
+    ],
+)
+def test_bad_lines_raise_or_are_kept(spark, parse, good, bad):
+    assert parse(values(spark, good, "", "  ")).count() == 1
+    with pytest.raises(Exception, match="bad record"):
+        parse(values(spark, good, bad)).collect()
+    kept = parse(values(spark, good, bad), on_error="keep").collect()
+    assert [r.bad_line for r in kept] == [None, bad]
+    with pytest.raises(ValueError):
+        parse(values(spark, good), on_error="drop")
 
 
 def test_trips_choose_their_point_by_type(spark):
     green = ",".join(["green", *map(str, range(1, 12))])
     other = ",".join(["yellow", *map(str, range(1, 12))])
-    got = records.parse_trips(values(spark, green, other, "green,1")).collect()
-    assert [tuple(r) for r in got] == [("green", 8.0, 9.0), ("yellow", 10.0, 11.0), ("green", None, None)]
+    got = records.parse_trips(values(spark, green, other)).collect()
+    assert [tuple(r) for r in got] == [("green", 8.0, 9.0), ("yellow", 10.0, 11.0)]
 
 
 def test_sorted_sink_splits_a_hot_first_key(spark, tmp_path):
@@ -71,16 +90,12 @@ def test_state_folder_comes_from_the_session(spark):
 class FakeSession:
     class conf:
         @staticmethod
-        def get(key, default):
-            return default
-
-    class sparkContext:
-        master = "spark://somewhere:7077"
+        def get(key, *default):
+            return default[0] if default else "hdfs://place/warehouse"
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(RuntimeError):
-        session.shared_dir(FakeSession)
+def test_without_a_checkpoint_folder_state_lies_below_the_warehouse():
+    assert session.shared_dir(FakeSession) == "hdfs://place/warehouse/tallgrass-state"
 
 
 def test_widen_only_adds_partitions(spark):
@@ -88,11 +103,3 @@ def test_widen_only_adds_partitions(spark):
     many = spark.range(0, 100, 1, 50)
     assert tables.widen(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert tables.widen(many, "id") is many
-
-
-def test_a_local_session_without_the_setting_gets_a_temporary_folder():
-    class Local(FakeSession):
-        class sparkContext:
-            master = "local[2]"
-
-    assert session.shared_dir(Local).startswith("/")

@@ -32,10 +32,12 @@ DISTANCE = 3
 #: Pairs that one step compares, and links kept before they become stars.
 PAIRS = 1 << 21
 #: Independent prints of the words of a text, and the size of a sketch.
-PRINTS = 3
+PRINTS = 4
 SKETCH = 256
-#: Bits in which the other prints of a candidate may differ; pairs at similarity 0.8 differ in 2 on average.
-NOT_FAR = 12
+#: Bits in which candidates that meet at an anchor may differ: in that print, and in any other.
+#: Copies at similarity 0.8 differ in 2 bits on average after scattered edits, in 6 when cut or extended.
+NEAR = 8
+NOT_FAR = 16
 _MASK31 = (1 << 31) - 1
 _ODD = np.random.default_rng(11).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -228,7 +230,14 @@ def _gather(batches):
     return rows, anchor, home, node, prints, own
 
 
-def _partners(distance: int):
+def _not_far(prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    good = np.ones(len(left), bool)
+    for k in range(prints.shape[1]):
+        good &= np.bitwise_count((prints[left, k] ^ prints[right, k]).view(np.uint64)) <= NOT_FAR
+    return good
+
+
+def _partners(near: int):
     """Visits that have a partner: near in one print, not far in any other."""
 
     def run(batches):
@@ -237,10 +246,8 @@ def _partners(distance: int):
             return
         rows, anchor, home, node, prints, own = _gather(batches)
         met = np.zeros(len(anchor), bool)
-        for left, right in near_pairs(anchor, own, home, distance):
-            good = node[left] != node[right]
-            for k in range(PRINTS):
-                good &= np.bitwise_count((prints[left, k] ^ prints[right, k]).view(np.uint64)) <= NOT_FAR
+        for left, right in near_pairs(anchor, own, home, near):
+            good = (node[left] != node[right]) & _not_far(prints, left, right)
             met[left[good]] = met[right[good]] = True
         found = rows.filter(pa.array(met))
         yield {n: found.column(n).combine_chunks() for n in found.schema.names}
@@ -248,7 +255,7 @@ def _partners(distance: int):
     return run
 
 
-def _similar(distance: int, least: float):
+def _similar(near: int, least: float):
     """Stars ``u, v`` of partners whose sketches agree."""
 
     def run(batches):
@@ -260,30 +267,34 @@ def _similar(distance: int, least: float):
         step = (1 << 24) // SKETCH
 
         def alike(left, right):
-            shares = [(drawn[left[i : i + step]] == drawn[right[i : i + step]]).mean(axis=1) for i in range(0, len(left), step)]
-            return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
-
-        u, v = links_in(anchor, own, home, node, distance, alike)
+            good = _not_far(prints, left, right)
+            some = np.flatnonzero(good)
+            for i in range(0, len(some), step):
+                part = some[i : i + step]
+                good[part] = (drawn[left[part]] == drawn[right[part]]).mean(axis=1) >= least
+            return good
+
+        u, v = links_in(anchor, own, home, node, near, alike)
         yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
 
     return run
 
 
-def similar_texts(docs: DataFrame, words: int, least: float, distance: int = DISTANCE) -> DataFrame:
+def similar_texts(docs: DataFrame, words: int, least: float, near: int = NEAR) -> DataFrame:
     """``node, root``: components of texts, by ``text_key``, whose ``words``-word shingles are similar.
 
-    Candidates have a near print of their words: counts of single words change little
-    in a near copy, so ``PRINTS`` independent prints find nearly all pairs at 0.8 (one
-    print finds 84 %, measured). Candidates meet again with MinHash sketches of their
-    shingle sets; pairs are linked whose estimated Jaccard similarity reaches
-    ``least`` less one standard error.
+    Candidates meet at an anchor of one of ``PRINTS`` independent prints of their words,
+    differ there in at most ``near`` bits, and in no print in more than ``NOT_FAR``. Any
+    two prints within 3 bits meet; of those further apart, the ones with a half that is
+    near. Candidates meet again with MinHash sketches of their shingle sets; pairs are
+    linked whose estimated Jaccard similarity reaches ``least`` less one standard error.
     """
     texts = docs.select(text_key().alias("_key"), F.col("text").cast("binary").alias("_text"))
     found = map_batches(texts, _word_prints, "node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS)))
     prints = stored(found.dropDuplicates(["node"]), "prints")
     schema = "anchor long, home boolean, node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS))
     visits = map_batches(prints, _meetings, schema).repartition("anchor")
-    met = stored(map_batches(visits, _partners(distance), schema), "partners")
+    met = stored(map_batches(visits, _partners(near), schema), "partners")
 
     def draw(batches):
         for batch in batches:
@@ -295,7 +306,7 @@ def similar_texts(docs: DataFrame, words: int, least: float, distance: int = DIS
     sketches = map_batches(texts.join(some, texts["_key"] == some["node"], "left_semi"), draw, "node long, sketch binary")
     again = met.join(sketches.dropDuplicates(["node"]), "node").select(*met.columns, "sketch")
     slack = (least * (1 - least) / SKETCH) ** 0.5
-    return components(map_batches(again.repartition("anchor"), _similar(distance, least - slack), "u long, v long"))
+    return components(map_batches(again.repartition("anchor"), _similar(near, least - slack), "u long, v long"))
 
 
 def keep_one(docs: DataFrame, words: int, least: float) -> DataFrame:

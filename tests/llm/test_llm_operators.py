@@ -219,6 +219,23 @@ def test_similar_texts_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, *range(20, 40)]
 
 
+def test_copies_that_are_extended_or_cut_go(spark):
+    def shingles(words):
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    rows, copies = [], set()
+    for i in range(60):
+        words = prose(RNG.randint(80, 300)).split()
+        many = len(words) // (8 if i % 2 else 12)
+        changed = words + prose(many).split() if i % 3 else words[:-many]
+        a, b = shingles(words), shingles(changed)
+        assert len(a & b) >= 0.85 * len(a | b)
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(changed))]
+        copies.add(1000 + i)
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 5, 0.8).collect()}
+    assert kept >= set(range(60)) and len(copies - kept) >= 0.9 * len(copies)
+
+
 def test_passages(docs):
     first = {}
     for d, t in sorted((p for p in pairs() if p[0] is not None), key=lambda p: p[0]):

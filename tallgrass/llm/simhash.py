@@ -31,9 +31,10 @@ SHINGLE = 3
 DISTANCE = 3
 #: Pairs that one step compares, and links kept before they become stars.
 PAIRS = 1 << 21
-#: Independent prints of the words of a text, and the size of a sketch.
+#: Independent prints of the words of a text, and the values of a sketch, 4 bits each.
 PRINTS = 4
 SKETCH = 256
+CHANCE = 1 / 16  # that two different values have the same 4 bits
 #: Bits in which candidates that meet at an anchor may differ: in that print, and in any other.
 #: Copies at similarity 0.8 differ in 2 bits on average after scattered edits, in 6 when cut or extended.
 NEAR = 8
@@ -188,13 +189,20 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTA
 
 
 def sketch(hashes: np.ndarray, size: int = SKETCH) -> np.ndarray:
-    """MinHash of a set of shingle hashes, 8 bits each."""
+    """MinHash of a set of shingle hashes, 4 bits each, two to a byte."""
     if not len(hashes):
-        return np.zeros(size, np.uint8)
+        return np.zeros(size // 2, np.uint8)
     least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 1 << 10):
         least = np.minimum(least, (hashes[at : at + (1 << 10), None] * _ODD[:size] + _ODD[::-1][:size]).min(axis=0))
-    return (least ^ (least >> np.uint64(29))).astype(np.uint8)
+    bits = (least ^ (least >> np.uint64(29))).astype(np.uint8) & 15
+    return bits[::2] | bits[1::2] << 4
+
+
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of equal values in each row of two tables of sketches."""
+    apart = a ^ b
+    return (((apart & 15) == 0).mean(axis=1) + ((apart >> 4) == 0).mean(axis=1)) / 2
 
 
 def _word_prints(batches):
@@ -222,12 +230,9 @@ def _meetings(batches):
                 }
 
 
-def _gather(batches):
+def _gather(batches, *more: str):
     rows = pa.Table.from_batches(batches)
-    anchor, home, node = (rows.column(n).to_numpy() for n in ("anchor", "home", "node"))
-    prints = np.stack([rows.column(f"fp{k}").to_numpy() for k in range(PRINTS)], axis=1)
-    own = prints[np.arange(len(prints)), anchor % PRINTS] if len(prints) else anchor
-    return rows, anchor, home, node, prints, own
+    return [rows, *(rows.column(n).to_numpy() for n in ("anchor", "home", "node", *more))]
 
 
 def _not_far(prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -238,19 +243,20 @@ def _not_far(prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndar
 
 
 def _partners(near: int):
-    """Visits that have a partner: near in one print, not far in any other."""
+    """Visits that have a partner, near in one print, not far in any other; with that print alone."""
 
     def run(batches):
         batches = list(batches)
         if not batches:
             return
-        rows, anchor, home, node, prints, own = _gather(batches)
+        _, anchor, home, node, *prints = _gather(batches, *(f"fp{k}" for k in range(PRINTS)))
+        prints = np.stack(prints, axis=1)
+        own = prints[np.arange(len(prints)), anchor % PRINTS]
         met = np.zeros(len(anchor), bool)
         for left, right in near_pairs(anchor, own, home, near):
             good = (node[left] != node[right]) & _not_far(prints, left, right)
             met[left[good]] = met[right[good]] = True
-        found = rows.filter(pa.array(met))
-        yield {n: found.column(n).combine_chunks() for n in found.schema.names}
+        yield {n: pa.array(x[met]) for n, x in (("anchor", anchor), ("home", home), ("node", node), ("fp", own))}
 
     return run
 
@@ -262,17 +268,13 @@ def _similar(near: int, least: float):
         batches = list(batches)
         if not batches:
             return
-        rows, anchor, home, node, prints, own = _gather(batches)
+        rows, anchor, home, node, own = _gather(batches, "fp")
         drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), -1)
         step = (1 << 24) // SKETCH
 
         def alike(left, right):
-            good = _not_far(prints, left, right)
-            some = np.flatnonzero(good)
-            for i in range(0, len(some), step):
-                part = some[i : i + step]
-                good[part] = (drawn[left[part]] == drawn[right[part]]).mean(axis=1) >= least
-            return good
+            shares = [agreement(drawn[left[i : i + step]], drawn[right[i : i + step]]) for i in range(0, len(left), step)]
+            return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
 
         u, v = links_in(anchor, own, home, node, near, alike)
         yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
@@ -294,7 +296,7 @@ def similar_texts(docs: DataFrame, words: int, least: float, near: int = NEAR) -
     prints = stored(found.dropDuplicates(["node"]), "prints")
     schema = "anchor long, home boolean, node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS))
     visits = map_batches(prints, _meetings, schema).repartition("anchor")
-    met = stored(map_batches(visits, _partners(near), schema), "partners")
+    met = stored(map_batches(visits, _partners(near), "anchor long, home boolean, node long, fp long"), "partners")
 
     def draw(batches):
         for batch in batches:
@@ -305,8 +307,9 @@ def similar_texts(docs: DataFrame, words: int, least: float, near: int = NEAR) -
     some = met.select("node").distinct()
     sketches = map_batches(texts.join(some, texts["_key"] == some["node"], "left_semi"), draw, "node long, sketch binary")
     again = met.join(sketches.dropDuplicates(["node"]), "node").select(*met.columns, "sketch")
-    slack = (least * (1 - least) / SKETCH) ** 0.5
-    return components(map_batches(again.repartition("anchor"), _similar(near, least - slack), "u long, v long"))
+    share = least + (1 - least) * CHANCE
+    slack = (share * (1 - share) / SKETCH) ** 0.5
+    return components(map_batches(again.repartition("anchor"), _similar(near, share - slack), "u long, v long"))
 
 
 def keep_one(docs: DataFrame, words: int, least: float) -> DataFrame:

@@ -219,6 +219,18 @@ def test_similar_texts_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, *range(20, 40)]
 
 
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(8)
+    for share in (0.2, 0.5, 0.8, 0.95):
+        common = int(4000 * share / (1 + share))
+        values = rng.integers(0, 1 << 63, 4000 - common, dtype=np.uint64)
+        half = (len(values) - common) // 2
+        a, b = values[: common + half], np.concatenate([values[:common], values[common + half :]])
+        similar = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        found = simhash.agreement(simhash.sketch(a)[None], simhash.sketch(b)[None])[0]
+        assert abs((found - simhash.CHANCE) / (1 - simhash.CHANCE) - similar) < 0.12
+
+
 def test_copies_that_are_extended_or_cut_go(spark):
     def shingles(words):
         return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}

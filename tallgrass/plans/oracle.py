@@ -356,5 +356,11 @@ EVENTS = {
 }
 
 
+# Queries that store their input in another form first: the same results.
+STORED = {f"{name.split('_')[0]}_text_files": sql for name, sql in RELATIONAL.items()} | {
+    f"stored_{name}": INDEX[name] for name in ("doc_freq", "bool_nested", "bool_snippets")
+}
+
+
 def all_sql() -> dict[str, str]:
-    return {**RELATIONAL, **WORDS, **INDEX, **GRAPH, **CLASSIFIER, **EVENTS}
+    return {**RELATIONAL, **WORDS, **INDEX, **STORED, **GRAPH, **CLASSIFIER, **EVENTS}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tallgrass.functions.regions import Region
 from tallgrass.functions.tokens import explode_once, tokenize
@@ -17,7 +18,7 @@ from tallgrass.plans import relational
 from tallgrass.session import new_run_dir
 from tallgrass.sources import records
 from tallgrass.sources.sinks import save
-from tallgrass.sources.tables import format_delimited, load_table, parse_delimited, widen
+from tallgrass.sources.tables import TEXT_SCHEMAS, format_delimited, load_table, parse_delimited, widen
 from tallgrass.sources.text import lines_of
 from tallgrass.streaming import jobs
 
@@ -27,6 +28,7 @@ PMI_THRESHOLD = 10
 SEARCH_AND = "the and AND"
 SEARCH_OR = "avec der OR"
 SEARCH_NESTED = "the and AND une OR"
+INDEX_FILES = 8
 SOURCES = (1, 2, 3)
 EPOCHS = 3
 ONLINE_MODELS = 4
@@ -108,6 +110,52 @@ def q6_from_text(spark, sf_dir):
     return _rounded(relational.q6(parsed, SHIP_DATE), 4, *PRICE_COLUMNS)
 
 
+def _text_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Tables written as ``|``-delimited files of the fixed layout, and loaded from them.
+
+    Columns that the given tables lack are empty.
+    """
+    place = new_run_dir(spark, "text")
+    for name in names:
+        table = load_table(spark, sf_dir, name)
+        layout = StructType.fromDDL(TEXT_SCHEMAS[name])
+        columns = [F.col(f.name).cast(f.dataType) if f.name in table.columns else F.lit(None).cast(f.dataType) for f in layout]
+        filled = table.select(*[c.alias(f.name) for c, f in zip(columns, layout)])
+        format_delimited(filled).write.text(f"{place}/{name}.tbl")
+    return [load_table(spark, place, name, fmt="text") for name in names]
+
+
+@query
+def q1_text_files(spark, sf_dir):
+    return relational.q1(*_text_tables(spark, sf_dir, "lineitem"), SHIP_DATE)
+
+
+@query
+def q2_text_files(spark, sf_dir):
+    return relational.q2(*_text_tables(spark, sf_dir, "lineitem", "orders"), SHIP_DATE, "o_orderpriority")
+
+
+@query
+def q3_text_files(spark, sf_dir):
+    return relational.q3(*_text_tables(spark, sf_dir, "lineitem", "part", "supplier"), SHIP_DATE)
+
+
+@query
+def q4_text_files(spark, sf_dir):
+    return relational.q4(*_text_tables(spark, sf_dir, "lineitem", "orders", "customer", "nation"), SHIP_DATE)
+
+
+@query
+def q5_text_files(spark, sf_dir):
+    return relational.q5(*_text_tables(spark, sf_dir, "lineitem", "orders", "customer", "nation"), NATIONS)
+
+
+@query
+def q6_text_files(spark, sf_dir):
+    (lineitem,) = _text_tables(spark, sf_dir, "lineitem")
+    return _rounded(relational.q6(lineitem, SHIP_DATE), 4, *PRICE_COLUMNS)
+
+
 # ---- words ----
 
 
@@ -239,6 +287,26 @@ def bool_snippets(spark, sf_dir):
     return index.search_snippets(index.build_index(docs), docs, SEARCH_NESTED)
 
 
+def _stored_index(spark: SparkSession, sf_dir: str) -> index.InvertedIndex:
+    return index.save_index(_index(spark, sf_dir), new_run_dir(spark, "index"), INDEX_FILES)
+
+
+@query
+def stored_doc_freq(spark, sf_dir):
+    return _stored_index(spark, sf_dir).terms
+
+
+@query
+def stored_bool_nested(spark, sf_dir):
+    """The nested search over a stored index: only row groups with its terms are read."""
+    return index.boolean_search(_stored_index(spark, sf_dir), SEARCH_NESTED)
+
+
+@query
+def stored_bool_snippets(spark, sf_dir):
+    return index.search_snippets(_stored_index(spark, sf_dir), _docs(spark, sf_dir), SEARCH_NESTED)
+
+
 # ---- graph ----
 # Nodes are the customer keys. Every line is an edge from its supplier key to
 # its part key and one back. Part keys run higher than customer keys, so some

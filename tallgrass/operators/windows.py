@@ -40,6 +40,32 @@ def locate_all(events: DataFrame, regions: Sequence[Region]) -> DataFrame:
     return events.withColumn("region", F.explode(all_regions(F.col("x"), F.col("y"), regions)))
 
 
+def locate_in(events: DataFrame, regions: DataFrame, cell: float, spread: int = 16) -> DataFrame:
+    """A row per event and region of a table ``(region, x_min, x_max, y_min, y_max)`` that holds it.
+
+    Regions are cut into square cells, and events meet those of their own cell. A region
+    of any size works, but has a record for each of its cells: choose ``cell`` near the
+    usual size of a region. Events of one cell go to ``spread`` tasks, each with a copy
+    of the cell's regions. Events without coordinates are in no region.
+    """
+    def span(low: str, high: str) -> Column:
+        return F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
+
+    cells = (
+        regions.filter("x_min < x_max and y_min < y_max")
+        .select("region", "x_min", "x_max", "y_min", "y_max", F.explode(span("x_min", "x_max")).alias("_cx"))
+        .withColumn("_cy", F.explode(span("y_min", "y_max")))
+        .withColumn("_turn", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    )
+    placed = events.withColumns({
+        "_cx": F.floor(F.col("x") / cell),
+        "_cy": F.floor(F.col("y") / cell),
+        "_turn": F.pmod(F.xxhash64(*events.columns), F.lit(spread)).cast("int"),
+    })
+    inside = (F.col("x") > F.col("x_min")) & (F.col("x") < F.col("x_max")) & (F.col("y") > F.col("y_min")) & (F.col("y") < F.col("y_max"))
+    return placed.join(cells, ["_cx", "_cy", "_turn"]).filter(inside).select(*events.columns, "region")
+
+
 def _ends(window: str = "w") -> list[Column]:
     return [F.col(f"{window}.start").alias("window_start"), F.col(f"{window}.end").alias("window_end")]
 

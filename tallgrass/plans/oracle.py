@@ -342,6 +342,11 @@ EVENTS = {
         select 'box_a' as region, count(*) as n from ({POINTS}) where {_inside(0)}
         union all select 'box_b', count(*) from ({POINTS}) where {_inside(1)}
         union all select 'box_c', count(*) from ({POINTS}) where {BOX_C}""",
+    "region_table_matches": f"""
+        select s_suppkey::varchar as region, count(*) as n
+        from ({POINTS}) join supplier
+          on x > s_suppkey * 7 % 90 and x < s_suppkey * 7 % 90 + 3.5 and y > s_suppkey * 13 % 80 and y < s_suppkey * 13 % 80 + 12.5
+        group by 1""",
     "region_counts_zero_filled": f"""with {FILLED}
         select s::varchar as window_start, e::varchar as window_end, region, n from filled""",
     "sliding_counts": f"""

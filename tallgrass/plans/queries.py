@@ -34,6 +34,7 @@ EPOCHS = 3
 ONLINE_MODELS = 4
 MODEL_FACTORS = (7, 11, 13)
 BOXES = (Region("box_a", 10, 20, 20, 60, "Box A"), Region("box_b", 30, 60, 50, 90, "Box B"))
+REGION_CELL = 5.0
 HOUR = "60 minutes"
 TREND_WINDOW = "6 hours"
 SLIDE = "15 minutes"
@@ -550,6 +551,18 @@ def region_matches(spark, sf_dir):
     return found.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def region_table_matches(spark, sf_dir):
+    """Overlapping regions from a table: one for each supplier, placed by its key."""
+    key = F.col("s_suppkey")
+    x, y = (key * 7 % 90).cast("double"), (key * 13 % 80).cast("double")
+    regions = load_table(spark, sf_dir, "supplier").select(
+        key.cast("string").alias("region"), x.alias("x_min"), (x + 3.5).alias("x_max"), y.alias("y_min"), (y + 12.5).alias("y_max")
+    )
+    found = windows.locate_in(_events(spark, sf_dir), regions, REGION_CELL)
+    return found.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def region_counts_zero_filled(spark, sf_dir):
     filled = _filled(_events(spark, sf_dir), _located_counts(spark, sf_dir, TREND_WINDOW))

@@ -2,6 +2,7 @@ import datetime as dt
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tallgrass.functions.regions import OFFICE_REGIONS, Region
@@ -100,3 +101,15 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         assert windows.trending(filled_counts(spark, [10, 20]), [BOX]).collect() == wanted
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_regions_of_a_table_equal_compiled_ones(spark, no_broadcast):
+    boxes = [Region(f"r{i}", i % 7 - 3, i % 7 - 3 + (i % 5) * 1.5, i % 4 - 2.5, i % 4 + 3) for i in range(25)]
+    points = [(i, (i * 37 % 140) / 10 - 6, (i * 53 % 120) / 10 - 6) for i in range(600)] + [(601, None, 1.0), (602, 1.0, None)] + [(603, 0.5, 0.5)] * 3
+    events = spark.createDataFrame(points, "event_id long, x double, y double")
+    table = spark.createDataFrame([(b.name, *map(float, b[1:5])) for b in boxes], "region string, x_min double, x_max double, y_min double, y_max double")
+    found = windows.locate_in(events, table, 2.0)
+    wanted = windows.locate_all(events, boxes)
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert windows.locate_in(events.limit(0), table, 2.0).count() == windows.locate_in(events, table.limit(0), 2.0).count() == 0

@@ -153,18 +153,23 @@ ONE_WAY = "select l_suppkey as src, l_partkey as dst from lineitem"
 BOTH_WAYS = f"{ONE_WAY} union all select l_partkey, l_suppkey from lineitem"
 
 
-def _graph(edges: str) -> str:
+CUSTOMERS = "select c_custkey as id from customer"
+ORDER_NODES = "select o_orderkey as id from orders"
+ORDER_EDGES = "select o_orderkey as src, o_custkey as dst from orders"
+
+
+def _graph(edges: str, nodes: str = CUSTOMERS) -> str:
     return f"""
-    nodes as materialized (select c_custkey as id from customer),
+    nodes as materialized ({nodes}),
     edges as materialized (select src, dst, count(*) as w from ({edges}) where src in (select id from nodes) group by 1, 2),
     degrees as materialized (select src, sum(w) as d from edges group by src),
     sources as (select unnest([{', '.join(f'{s}::bigint' for s in SOURCES)}]) as source)"""
 
 
-def _ranks(edges: str, iterations: int) -> str:
+def _ranks(edges: str, iterations: int, nodes: str = CUSTOMERS) -> str:
     """One pair of CTEs per iteration; the last one is ``p{iterations}``."""
     parts = [
-        _graph(edges),
+        _graph(edges, nodes),
         "p0 as materialized (select id, source, (id = source)::int::double as p from nodes, sources)",
     ]
     for i in range(1, iterations + 1):
@@ -202,6 +207,7 @@ GRAPH = {
     "ppr_iter1": f"{_ranks(BOTH_WAYS, 1)} select id, source, round(p, 9) as score from p1",
     "ppr_iter5": f"{_ranks(BOTH_WAYS, 5)} select id, source, round(p, 9) as score from p5",
     "ppr_dangling": f"{_ranks(ONE_WAY, 3)} select id, source, round(p, 9) as score from p3",
+    "ppr_from_adjacency": f"{_ranks(ORDER_EDGES, 4, ORDER_NODES)} select id, source, round(p, 9) as score from p4",
     "ppr_top_nodes": f"""{_ranks(BOTH_WAYS, 5)}
         select * from (
           select source, row_number() over (partition by source order by score desc, id)::int as rank, id, score

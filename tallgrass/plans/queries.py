@@ -30,6 +30,8 @@ SEARCH_OR = "avec der OR"
 SEARCH_NESTED = "the and AND une OR"
 INDEX_FILES = 8
 SOURCES = (1, 2, 3)
+SOURCE_LIST = "1, 2, 3"
+GRAPH_PARTS = 8
 EPOCHS = 3
 ONLINE_MODELS = 4
 MODEL_FACTORS = (7, 11, 13)
@@ -397,6 +399,21 @@ def ppr_report(spark, sf_dir):
     return graph.ranking_lines(graph.top_nodes(ranks, 10))
 
 
+@query
+def ppr_from_adjacency(spark, sf_dir):
+    """From adjacency text (an order and its customer's key) to ranks, stopped after two iterations and resumed."""
+    orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = orders.select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")).alias("value"))
+    parsed = graph.graph_from_adjacency(records.parse_adjacency(lines))
+    base = new_run_dir(spark, "ranks")
+    graph.save_graph(graph.partition_graph(parsed, GRAPH_PARTS), base)
+    sources = graph.parse_sources(SOURCE_LIST)
+    graph.start_state(graph.load_graph(spark, base), sources, base)
+    graph.advance(graph.load_graph(spark, base), sources, base, 0, 2)
+    graph.advance(graph.load_graph(spark, base), sources, base, 2, 4)
+    return _rounded(graph.read_ranks(spark, sources, base, 4), 9, "score")
+
+
 @query
 def ppr_missing_mass(spark, sf_dir):
     base = new_run_dir(spark, "ranks")

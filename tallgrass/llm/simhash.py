@@ -5,8 +5,10 @@ of the two halves. For each half the code words of the [31, 26] Hamming code on
 31 of its bits are the anchors: every point lies within 1 of exactly one, its
 home. A fingerprint visits every anchor within covering radius plus threshold,
 1 + 1 = 2 bits: 1 or 16 per half. So each link shows where one end is at home.
-Per anchor, homes are compared with visitors in blocks of bounded size, and the
-links found leave as stars, at most one per visitor.
+Per anchor, homes are compared with visitors, and the links found leave as stars,
+at most one per visitor. An anchor that has many rows is cut: its homes and its
+visitors are dealt into blocks by a hash, and each pair of blocks is a piece of
+work of its own. Tasks read their pieces one after the other.
 
 Defined cases: a null or empty text has no words and fingerprint 0, which links
 like any other. Rows that repeat a ``doc_id`` are linked by their texts. Equal
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallgrass.llm.common import importable, map_batches, stored, text_key
 from tallgrass.llm.components import components, local_stars
-from tallgrass.operators.skew import lookup_join
+from tallgrass.operators.skew import hottest, lookup_join
 
 SEED = 42
 SHINGLE = 3
@@ -45,6 +47,12 @@ SLACK = 4
 BLOCK = 2048
 BLOCK_BYTES = 8 << 20
 HUBS = 64
+#: Homes in a block of an anchor (twice as many visitors), anchors that can be cut, and the share of nodes that tells them.
+HOMES = 2048
+HOT_ANCHORS = 1 << 16
+SEEN = 8
+#: Rows that a task takes at once, whole pieces.
+ROWS = 1 << 17
 _MASK31 = (1 << 31) - 1
 _ODD = np.random.default_rng(11).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -163,20 +171,79 @@ def links_in(
     return local_stars(a, b) if len(a) else (a, b)
 
 
+def hot_anchors(nodes: DataFrame, visit: Callable, schema: str, node: str) -> DataFrame:
+    """``anchor, _hosts, _guests``: into how many blocks the homes and the visitors of crowded anchors are cut.
+
+    Every ``SEEN``-th node by a hash is counted, which sets the size of blocks and no result.
+    An anchor beyond the ``HOT_ANCHORS`` largest has at most 1/``HOT_ANCHORS`` of all visits.
+    """
+    some = nodes.filter(F.pmod(F.xxhash64(F.lit(3), node), F.lit(SEEN)) == 0)
+    counts = map_batches(some, visit, schema) if visit else some
+    counts = counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("home").cast("long")).alias("_homes"))
+    large = hottest(counts.filter(F.col("_n") * SEEN > HOMES), "anchor", "_n", HOT_ANCHORS)
+    blocks = lambda n, size: F.greatest(F.ceil(F.col(n) * SEEN / size), F.lit(1)).cast("long").alias
+    return large.select("anchor", blocks("_homes", HOMES)("_hosts"), blocks("_n", 2 * HOMES)("_guests"))
+
+
+def pieces(visits: DataFrame, hot: DataFrame, node: str) -> DataFrame:
+    """Rows dealt and sorted by piece (``anchor, _h, _g``), with their part in it (``host``).
+
+    In an anchor that is not cut, homes are hosts and guests in one row. In others a
+    row is a guest in its own guest block, beside every block of hosts, and a home
+    also a host in its host block, beside every block of guests.
+    """
+    rows = visits.join(F.broadcast(hot), "anchor", "left")
+    spread = F.xxhash64(F.lit(4), node)
+    place = lambda h, g, host: F.struct(h.alias("h"), g.alias("g"), host.alias("host"))
+    many = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    zero = F.lit(0).cast("long")
+    guests = F.transform(many("_hosts"), lambda h: place(h, F.pmod(spread, F.col("_guests")), F.lit(False)))
+    hosts = F.transform(many("_guests"), lambda g: place(F.pmod(spread, F.col("_hosts")), g, F.lit(True)))
+    cut = F.when(F.col("home"), F.concat(hosts, guests)).otherwise(guests)
+    cold = rows.filter("_hosts is null").select(*visits.columns, zero.alias("_h"), zero.alias("_g"), F.col("home").alias("host"), F.lit(False).alias("cut"))
+    dealt = rows.filter("_hosts is not null").withColumn("_p", F.explode(cut))
+    dealt = dealt.select(*visits.columns, F.col("_p.h").alias("_h"), F.col("_p.g").alias("_g"), F.col("_p.host").alias("host"), F.lit(True).alias("cut"))
+    return cold.unionByName(dealt).repartition("anchor", "_h", "_g").sortWithinPartitions("anchor", "_h", "_g")
+
+
+def whole_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of at least ``ROWS`` rows made of whole pieces, and the number of each row's piece."""
+
+    def numbered(table):
+        keys = np.stack([table.column(n).to_numpy() for n in ("anchor", "_h", "_g")])
+        return np.concatenate([[0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))])
+
+    held, many = [], 0
+    for batch in batches:
+        held.append(batch)
+        many += len(batch)
+        if many >= ROWS:
+            table = pa.Table.from_batches(held)
+            piece = numbered(table)
+            end = int(np.searchsorted(piece, piece[-1]))
+            if end:
+                yield table.slice(0, end), piece[:end]
+            held = table.slice(end).combine_chunks().to_batches()
+            many = 0 if end else len(table)  # what is left over is one piece, of bounded size
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, numbered(table)
+
+
 def links(points: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Links ``u, v`` that join the distinct fingerprints ``fp`` as the full set of links would."""
     if distance > 3:
         raise ValueError("the anchors cover distances up to 3")
 
     def compare(batches):
-        got = [(b.column("anchor").to_numpy(), b.column("fp").to_numpy(), b.column("home").to_numpy(zero_copy_only=False)) for b in batches]
-        if got:
-            anchor, fp, home = (np.concatenate(x) for x in zip(*got))
-            u, v = links_in(anchor, fp, home, fp, distance)
+        for rows, piece in whole_pieces(batches):
+            fp = rows.column("fp").to_numpy()
+            u, v = links_in(piece, fp, rows.column("host").to_numpy(), fp, distance)
             yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
 
-    visits = map_batches(points, _visits, "anchor long, fp long, home boolean")
-    return map_batches(visits.repartition("anchor"), compare, "u long, v long")
+    schema = "anchor long, fp long, home boolean"
+    visits = map_batches(points, _visits, schema)
+    return map_batches(pieces(visits, hot_anchors(points, _visits, schema, "fp"), "fp"), compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -236,11 +303,6 @@ def _meetings(batches):
                 }
 
 
-def _gather(batches, *more: str):
-    rows = pa.Table.from_batches(batches)
-    return [rows, *(rows.column(n).to_numpy() for n in ("anchor", "home", "node", *more))]
-
-
 def _not_far(prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     good = np.ones(len(left), bool)
     for k in range(prints.shape[1]):
@@ -252,17 +314,16 @@ def _partners(near: int):
     """Visits that have a partner, near in one print, not far in any other; with that print alone."""
 
     def run(batches):
-        batches = list(batches)
-        if not batches:
-            return
-        _, anchor, home, node, *prints = _gather(batches, *(f"fp{k}" for k in range(PRINTS)))
-        prints = np.stack(prints, axis=1)
-        own = prints[np.arange(len(prints)), anchor % PRINTS]
-        met = np.zeros(len(anchor), bool)
-        for left, right in near_pairs(anchor, own, home, near):
-            good = (node[left] != node[right]) & _not_far(prints, left, right)
-            met[left[good]] = met[right[good]] = True
-        yield {n: pa.array(x[met]) for n, x in (("anchor", anchor), ("home", home), ("node", node), ("fp", own))}
+        for rows, piece in whole_pieces(batches):
+            anchor, node = rows.column("anchor").to_numpy(), rows.column("node").to_numpy()
+            prints = np.stack([rows.column(f"fp{k}").to_numpy() for k in range(PRINTS)], axis=1)
+            own = prints[np.arange(len(prints)), anchor % PRINTS]
+            met = np.zeros(len(anchor), bool)
+            for left, right in near_pairs(piece, own, rows.column("host").to_numpy(), near):
+                good = (node[left] != node[right]) & _not_far(prints, left, right)
+                met[left[good]] = met[right[good]] = True
+            found = rows.select(["anchor", "home", "node", "cut"]).filter(pa.array(met)).combine_chunks()
+            yield {n: found.column(n).combine_chunks() for n in found.column_names} | {"fp": pa.array(own[met])}
 
     return run
 
@@ -271,19 +332,17 @@ def _similar(near: int, least: float):
     """Stars ``u, v`` of partners whose sketches do not rule them out."""
 
     def run(batches):
-        batches = list(batches)
-        if not batches:
-            return
-        rows, anchor, home, node, own = _gather(batches, "fp")
-        drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), -1)
-        step = (1 << 24) // SKETCH
+        for rows, piece in whole_pieces(batches):
+            node, own = rows.column("node").to_numpy(), rows.column("fp").to_numpy()
+            drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), -1)
+            step = (1 << 24) // SKETCH
 
-        def alike(left, right):
-            shares = [agreement(drawn[left[i : i + step]], drawn[right[i : i + step]]) for i in range(0, len(left), step)]
-            return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
+            def alike(left, right, drawn=drawn):
+                shares = [agreement(drawn[left[i : i + step]], drawn[right[i : i + step]]) for i in range(0, len(left), step)]
+                return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
 
-        u, v = links_in(anchor, own, home, node, near, alike)
-        yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
+            u, v = links_in(piece, own, rows.column("host").to_numpy(), node, near, alike)
+            yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
 
     return run
 
@@ -413,8 +472,10 @@ def similar_texts(docs: DataFrame, words: int, least: float, near: int = NEAR) -
     found = map_batches(texts, _word_prints, "node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS)))
     prints = stored(found.dropDuplicates(["node"]), "prints")
     schema = "anchor long, home boolean, node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS))
-    visits = map_batches(prints, _meetings, schema).repartition("anchor")
-    met = stored(map_batches(visits, _partners(near), "anchor long, home boolean, node long, fp long"), "partners")
+    visits = pieces(map_batches(prints, _meetings, schema), hot_anchors(prints, _meetings, schema, "node"), "node")
+    met = stored(map_batches(visits, _partners(near), "anchor long, home boolean, node long, cut boolean, fp long"), "partners")
+    # In an anchor that is cut, a node has met others in several pieces.
+    met = met.filter("not cut").unionByName(met.filter("cut").dropDuplicates(["anchor", "node"])).drop("cut")
 
     def draw(batches):
         for batch in batches:
@@ -425,7 +486,8 @@ def similar_texts(docs: DataFrame, words: int, least: float, near: int = NEAR) -
     some = met.select("node").distinct()
     sketches = map_batches(texts.join(some, texts["_key"] == some["node"], "left_semi"), draw, "node long, sketch binary")
     again = met.join(sketches.dropDuplicates(["node"]), "node").select(*met.columns, "sketch")
-    groups = components(map_batches(again.repartition("anchor"), _similar(near, _floor(least)), "u long, v long"))
+    again = pieces(again, hot_anchors(met, None, "", "node"), "node")
+    groups = components(map_batches(again, _similar(near, _floor(least)), "u long, v long"))
     members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
     own = texts.join(members, texts["_key"] == members["node"]).select("node", "group", "_text")
     sets = map_batches(own, _sets(words), "node long, group long, shingles binary, sketch binary")

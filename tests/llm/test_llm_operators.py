@@ -210,6 +210,23 @@ def test_anchors_find_every_link_up_to_three_bits(spark):
     assert roots(points, [(r.u, r.v) for r in found.collect()]) == wanted
 
 
+def test_a_crowded_anchor_is_cut_into_pieces_that_find_the_same_links(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    base = 0x1234567 << 32 | 0x7654321
+    points = sorted({base ^ sum(1 << int(b) for b in rng.choice(63, int(rng.integers(1, 7)), replace=False)) for _ in range(500)})
+    frame = spark.createDataFrame([(p,) for p in points], "fp long")
+    monkeypatch.setattr(simhash, "HOMES", 16)
+    monkeypatch.setattr(simhash, "ROWS", 64)
+    schema = "anchor long, fp long, home boolean"
+    visits = common.map_batches(frame, simhash._visits, schema)
+    dealt = simhash.pieces(visits, simhash.hot_anchors(frame, simhash._visits, schema, "fp"), "fp")
+    largest = dealt.groupBy("anchor", "_h", "_g").count().agg({"count": "max"}).first()[0]
+    assert visits.groupBy("anchor").count().agg({"count": "max"}).first()[0] > 100 >= largest
+    wanted = roots(points, [(a, b) for i, a in enumerate(points) for b in points[:i] if (a ^ b).bit_count() <= 3])
+    assert len(set(wanted.values())) > 1
+    assert roots(points, [(r.u, r.v) for r in simhash.links(frame).collect()]) == wanted
+
+
 def test_similar_texts_go_and_others_stay(spark):
     words = prose(200).split()
     near = [" ".join(words[:i] + ["changed"] + words[i + 1 :]) for i in (20, 90, 150)]

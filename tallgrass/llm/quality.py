@@ -11,7 +11,8 @@ blocks, and the labels of the ``NEIGHBOURS`` nearest are weighed by similarity.
 Label, language, source and id are no inputs of a score. Defined cases: a null or
 empty text, and one without trigrams, has the sample's mean label as its score;
 so has every text when there are no labels (then 1, so that nothing is rejected).
-Repeated label rows of a document count once, by their largest label. Ties among
+Repeated label rows of a document count once, by their largest label; of several
+texts with one id, the one with the smallest hash is in the sample. Ties among
 neighbours go to the earlier in the sample. Empty tables give empty tables.
 """
 
@@ -130,9 +131,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
                 rows = frequencies(term_counts(*as_bytes(part.column("text")))).astype(np.float16)
                 yield {"doc_id": part.column("doc_id"), "_label": part.column("_label"), "_row": pa.array([r.tobytes() for r in rows], pa.binary())}
 
-    # ``labelled`` ids at most are broadcast.
+    # ``labelled`` ids at most are broadcast. Of an id with several rows each task keeps one, and so does the whole.
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
-    one = texts.select("doc_id", "_label", "text")
+    one = texts.groupBy("doc_id", "_label").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("_one"))
+    one = one.select("doc_id", "_label", F.col("_one.text").alias("text"))
     got = map_batches(one, run, "doc_id long, _label int, _row binary").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("_row", "ascending")]) if len(got) else got
     rows = np.frombuffer(b"".join(got.column("_row").to_pylist()), np.float16).reshape(-1, TERMS).astype(np.float32)

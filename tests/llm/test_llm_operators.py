@@ -363,6 +363,14 @@ def test_quality_tells_junk_by_held_out_labels(spark):
     assert {r.score for r in quality.classify(frame, labels.limit(0)).collect()} == {1.0}
 
 
+def test_a_repeated_labelled_id_is_one_row_of_the_model(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:10]
+    rows = [(i, prose(20)) for i in ids] + [(ids[0], prose(20)) for _ in range(200)] + [(ids[1], "the same text")] * 200
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels)
+    assert len(model.vectors) == len(model.labels) == 10 and model.mean == sum(i % 2 for i in ids) / 10
+
+
 @pytest.mark.parametrize("operator", [dedup.exact_duplicates, sharding.assign, mixing.taken, bpe.digests, simhash.near_duplicates, passages.digests, pii.digests])
 def test_empty_tables(none, operator):
     assert operator(none).count() == 0

@@ -1,7 +1,9 @@
 """Quality by nearest-neighbour voting in a latent space.
 
-A text's terms are trigrams of byte classes (letters, digits, kinds of
-punctuation, breaks). Their square-rooted frequencies times idf are projected to
+A text's terms are runs of ``GRAM`` bytes of the lower-cased text, hashed to
+``GRAMS`` terms, which tell its words in any script, and trigrams of byte classes
+(letters, digits, kinds of punctuation, breaks), which tell its form. The
+square-rooted frequencies of each kind, times idf of the sample, are projected to
 ``RANK`` latent dimensions, the leading singular vectors of a bounded sample of
 labelled rows (``LABELLED`` at most, chosen by a hash of the id, never from the
 held-out fifth). The sample's vectors are broadcast: at most ``LABELLED * RANK``
@@ -9,7 +11,7 @@ numbers. For every document the cosine with each of them is computed exactly, in
 blocks, and the labels of the ``NEIGHBOURS`` nearest are weighed by similarity.
 
 Label, language, source and id are no inputs of a score. Defined cases: a null or
-empty text, and one without trigrams, has the sample's mean label as its score;
+empty text, and one of less than three bytes, has the sample's mean label as its score;
 so has every text when there are no labels (then 1, so that nothing is rejected).
 Repeated label rows of a document count once, by their largest label; of several
 texts with one id, the one with the smallest hash is in the sample. Ties among
@@ -18,6 +20,7 @@ neighbours go to the earlier in the sample. Empty tables give empty tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +42,11 @@ _CLASSES = (
     b" ", b"\n", b".,;:?'\"", b"!", b"|", b"#$%&*@^~", b"()[]{}<>=/\\-_+`",
 )
 WIDE = len(_CLASSES) + 1
-TERMS = WIDE**3
+FORMS = WIDE**3
+GRAM = 4
+GRAMS = 4096
+TERMS = FORMS + GRAMS
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64)
 
 
 def _class_table() -> np.ndarray:
@@ -52,21 +59,38 @@ def _class_table() -> np.ndarray:
 _TABLE = _class_table()
 
 
-def term_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One row of trigram counts per text."""
+def _counts(codes: np.ndarray, offsets: np.ndarray, reach: int, wide: int) -> np.ndarray:
+    """Counts per text of the codes of runs of ``reach`` bytes that end in the text they begin in."""
     many = len(offsets) - 1
-    classes = _TABLE[values]
-    if len(values) < 3:
-        return np.zeros((many, TERMS))
-    code = (classes[:-2] * WIDE + classes[1:-1]) * WIDE + classes[2:]
+    if not len(codes):
+        return np.zeros((many, wide))
     doc = np.repeat(np.arange(many), np.diff(offsets))
-    inside = doc[:-2] == doc[2:]
-    return np.bincount((doc[:-2] * TERMS + code)[inside], minlength=many * TERMS).reshape(many, TERMS).astype(np.float64)
+    inside = doc[: len(codes)] == doc[reach - 1 :]
+    return np.bincount((doc[: len(codes)] * wide + codes)[inside], minlength=many * wide).reshape(many, wide).astype(np.float64)
+
+
+def term_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """One row of counts per text: trigrams of classes, then hashed runs of bytes."""
+    classes = _TABLE[values]
+    forms = (classes[:-2] * WIDE + classes[1:-1]) * WIDE + classes[2:]
+    lower, runs = _LOWER[values], np.zeros(max(len(values) - GRAM + 1, 0), np.uint64)
+    for i in range(GRAM):
+        runs = runs << np.uint64(8) | lower[i : i + len(runs)]
+    # The upper bits of a product with 2^64 / golden ratio.
+    runs = (runs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)).astype(np.int64)
+    return np.concatenate([_counts(forms, offsets, 3, FORMS), _counts(runs, offsets, GRAM, GRAMS)], axis=1)
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
-    total = counts.sum(axis=1, keepdims=True)
-    return np.sqrt(counts / np.maximum(total, 1)).astype(np.float32)
+    """Square roots of the shares of each kind of terms."""
+    kinds = counts[:, :FORMS], counts[:, FORMS:]
+    return np.concatenate([np.sqrt(k / np.maximum(k.sum(axis=1, keepdims=True), 1)).astype(np.float32) for k in kinds], axis=1)
+
+
+def _rows(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Frequencies of a few texts at a time, so that a table of them stays small."""
+    for at in range(0, len(texts), _BLOCK):
+        yield frequencies(term_counts(*as_bytes(texts.slice(at, _BLOCK))))
 
 
 class Model(NamedTuple):
@@ -128,8 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
     def run(batches):
         for batch in batches:
             for part in chunks(batch):
-                rows = frequencies(term_counts(*as_bytes(part.column("text")))).astype(np.float16)
-                yield {"doc_id": part.column("doc_id"), "_label": part.column("_label"), "_row": pa.array([r.tobytes() for r in rows], pa.binary())}
+                found = [r.tobytes() for rows in _rows(part.column("text")) for r in rows.astype(np.float16)]
+                yield {"doc_id": part.column("doc_id"), "_label": part.column("_label"), "_row": pa.array(found, pa.binary())}
 
     # ``labelled`` ids at most are broadcast. Of an id with several rows each task keeps one, and so does the whole.
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
@@ -150,8 +174,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for part in chunks(batch):
                 text = part.column("text").cast(pa.binary())
-                rows = frequencies(term_counts(*as_bytes(text)))
-                yield {n: part.column(n) for n in part.schema.names} | {"_score": pa.array(vote(model, rows), pa.float64())}
+                score = np.concatenate([vote(model, rows) for rows in _rows(text)])
+                yield {n: part.column(n) for n in part.schema.names} | {"_score": pa.array(score, pa.float64())}
 
     return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
 

@@ -371,6 +371,20 @@ def test_a_repeated_labelled_id_is_one_row_of_the_model(spark):
     assert len(model.vectors) == len(model.labels) == 10 and model.mean == sum(i % 2 for i in ids) / 10
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrst", "абвгдежзийклмнопрсту"])
+def test_quality_sees_the_words(spark, letters):
+    """Good and bad texts of the same form, in other words."""
+    sizes = [RNG.randint(3, 8) for _ in range(300)]
+    good, bad = (["".join(RNG.choice(letters) for _ in range(n)) for n in sizes] for _ in range(2))
+    rows = []
+    for i in range(600):
+        at = [RNG.randrange(300) for _ in range(80)]
+        rows.append((i, " ".join(good[j] if i % 3 or RNG.random() < 0.5 else bad[j] for j in at) + "."))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id long, quality int")
+    held = quality.classify(spark.createDataFrame(rows, "doc_id long, text string"), labels).filter("held_out").collect()
+    assert len(held) > 80 and sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) >= 0.95 * len(held)
+
+
 @pytest.mark.parametrize("operator", [dedup.exact_duplicates, sharding.assign, mixing.taken, bpe.digests, simhash.near_duplicates, passages.digests, pii.digests])
 def test_empty_tables(none, operator):
     assert operator(none).count() == 0

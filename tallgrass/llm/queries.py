@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallgrass.llm import bpe, dedup, embeddings, mixing, passages, pii, quality, sharding, simhash, urls
+from tallgrass.llm import bpe, chat, codes, dedup, embeddings, merkle, mixing, passages, pii, quality, sharding, simhash, urls
 from tallgrass.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,18 @@ def op9_embeddings(spark, sf_dir):
 @query
 def op10_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    return codes.digests(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_chat_format(spark, sf_dir):
+    return chat.digests(chat.formatted(chat.conversations(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op13_merkle(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("proof")

@@ -7,158 +7,188 @@ occurs several times in a document counts every time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from typing import NamedTuple
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+from tallgrass.functions.permute import permuted
 from tallgrass.functions.stats import label_to_target, logistic, predicted_label
-from tallgrass.operators.skew import is_small, lookup_join
+from tallgrass.operators.buckets import bucket_session, buckets_for, read_buckets, schema_of, write_buckets
+from tallgrass.operators.numbering import numbered
 from tallgrass.session import new_run_dir
 
 RATE = 0.002  # fixed value: learning rate
+SLOTS = 4096
 
 
-def shuffled_order(seed: int, key: str = "doc_id") -> Column:
-    """A repeatable random order of the instances."""
-    return F.xxhash64(F.lit(seed), F.col(key))
+def in_random_order(instances: DataFrame, seed: int, key: str = "doc_id") -> DataFrame:
+    """``instances`` with ``position``, from 0: their place in a random order of all rows.
 
+    Rows are numbered by ``key`` and the numbers permuted, so the order depends on the
+    keys and ``seed`` alone, never on partitions or runs.
+    """
+    found = numbered(instances, [key])
+    return found.withColumn("position", permuted(F.col("_index"), F.col("_total"), seed)).drop("_index", "_total")
 
-def train_online(
-    instances: DataFrame,
-    order: str | Column = "doc_id",
-    models: int = 1,
-    rate: float = RATE,
-) -> DataFrame:
-    """One pass of stochastic gradient descent, in the given order.
 
-    A single pass in one order is sequential work. With ``models`` above 1 the
-    instances are dealt out by a hash of ``doc_id`` into so many shards, one
-    model each, that train in parallel: always that number, whatever the input.
-    A shard is read as a stream of batches and never held as a whole.
+class Occurrences(NamedTuple):
+    """Feature occurrences ``doc_id, target, batch, feature, times`` as they are stored for training, below ``path``.
+
+    ``by_doc`` holds all of them in buckets of the document, ``by_feature`` those of most
+    features in buckets of the feature. Occurrences of the features with over 1/``SLOTS``
+    of all, which are fewer than ``SLOTS``, are in ``often``, spread over all files.
     """
-    order = F.col(order) if isinstance(order, str) else order
-    dealt = (
-        instances.select(
-            F.pmod(F.xxhash64("doc_id"), F.lit(models)).alias("shard"),
-            order.alias("_order"),
-            "doc_id",
-            label_to_target(F.col("label")).alias("target"),
-            "features",
-        )
-        .repartition("shard")
-        .sortWithinPartitions("shard", "_order", "doc_id")
-        .select("shard", "target", "features")
-    )
 
-    def fit(batches):
-        import math
+    path: str
+    buckets: int
+    any_often: bool
+    schema: str
 
-        import pandas as pd
 
-        shard, weights = None, {}
+class Stage(NamedTuple):
+    """The tables of :class:`Occurrences`, opened once for all steps."""
 
-        def model():
-            return pd.DataFrame(
-                {"model_id": str(shard), "feature": list(weights.keys()), "weight": list(weights.values())}
-            )
+    session: SparkSession
+    buckets: int
+    by_doc: DataFrame
+    by_feature: DataFrame
+    often_features: DataFrame | None
+    often: DataFrame | None
 
-        for batch in batches:
-            for row_shard, target, features in zip(batch["shard"], batch["target"], batch["features"]):
-                if row_shard != shard:
-                    if weights:
-                        yield model()
-                    shard, weights = row_shard, {}
-                score = sum(weights.get(f, 0.0) for f in features)
-                prob = 1.0 / (1.0 + math.exp(-score)) if score > -700 else 0.0
-                step = (target - prob) * rate
-                for f in features:
-                    weights[f] = weights.get(f, 0.0) + step
-        if weights:
-            yield model()
 
-    return dealt.mapInPandas(fit, "model_id string, feature int, weight double")
+def open_stage(spark: SparkSession, stored: Occurrences) -> Stage:
+    inner, path = bucket_session(spark, stored.buckets), stored.path
+    by_doc = read_buckets(inner, f"{path}/by_doc", "doc_id", stored.buckets, stored.schema)
+    by_feature = read_buckets(inner, f"{path}/by_feature", "feature", stored.buckets, stored.schema)
+    if not stored.any_often:
+        return Stage(inner, stored.buckets, by_doc, by_feature, None, None)
+    often = inner.read.parquet(f"{path}/often_features"), inner.read.parquet(f"{path}/often")
+    return Stage(inner, stored.buckets, by_doc, by_feature, *often)
+
+
+def store_occurrences(instances: DataFrame, path: str, batch: Column | None = None) -> Occurrences:
+    """Count and store the feature occurrences of every document; the number of buckets follows from their size."""
+    spark = instances.sparkSession
+    batch = F.lit(0) if batch is None else batch
+    bags = instances.select("doc_id", label_to_target(F.col("label")).alias("target"), batch.cast("int").alias("batch"), F.explode_outer("features").alias("feature"))
+    counted = bags.filter("feature is not null").groupBy("doc_id", "target", "batch", "feature").agg(F.count(F.lit(1)).alias("times"))
+    counted.write.mode("overwrite").parquet(f"{path}/occurrences")
+    counted = spark.read.parquet(f"{path}/occurrences")
+    buckets = buckets_for(counted)
+    inner = bucket_session(spark, buckets)
+    counted = inner.read.parquet(f"{path}/occurrences")
+    seen = Observation()
+    often = frequent(counted, "feature").select("feature")
+    often.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/often_features")
+    stored = Occurrences(path, buckets, seen.get["n"] > 0, schema_of(counted))
+    often = F.broadcast(inner.read.parquet(f"{path}/often_features"))
+    write_buckets(counted.repartition(buckets, "doc_id"), f"{path}/by_doc", "doc_id", buckets)
+    rare = counted.join(often, "feature", "left_anti")
+    write_buckets(rare.repartition(buckets, "feature"), f"{path}/by_feature", "feature", buckets)
+    if stored.any_often:
+        counted.join(often, "feature", "left_semi").write.mode("overwrite").parquet(f"{path}/often")
+    return stored
+
+
+def next_weights(stage: Stage, weights: DataFrame, batch: int, rate: float) -> DataFrame:
+    """``(feature, weight)`` after the gradient of one batch of documents.
+
+    Occurrences stay where they are. Scores move, summed per document inside the tasks
+    that hold the weights, and gradients, summed per feature, move back to the weights.
+    """
+    chosen = F.col("batch") == batch
+    part = (F.col("times") * F.col("weight")).alias("score")
+    scores = stage.by_feature.filter(chosen).join(weights.hint("shuffle_hash"), "feature").select("doc_id", part)
+    if stage.often is not None:
+        few = weights.join(F.broadcast(stage.often_features), "feature", "left_semi")
+        found = stage.often.filter(chosen).join(F.broadcast(few), "feature")
+        scores = scores.unionByName(found.select("doc_id", part))
+    scores = scores.groupBy("doc_id").agg(F.sum("score").alias("score"))
+    residual = F.col("target") - logistic(F.col("score"))
+    gradient = (
+        stage.by_doc.filter(chosen)
+        .join(scores.hint("shuffle_hash"), "doc_id")
+        .groupBy("feature")
+        .agg(F.sum(F.col("times") * residual).alias("gradient"))
+    )
+    moved = F.col("weight") + F.lit(rate) * F.coalesce("gradient", F.lit(0.0))
+    return weights.join(gradient.hint("shuffle_hash"), "feature", "left").select("feature", moved.alias("weight"))
 
 
 def train_epochs(
-    instances: DataFrame, epochs: int, rate: float = RATE, model_id: str = "0", base: str | None = None
+    instances: DataFrame,
+    epochs: int,
+    rate: float = RATE,
+    model_id: str = "0",
+    base: str | None = None,
+    batches: int = 1,
+    batch: Column | None = None,
 ) -> DataFrame:
-    """Full-gradient training: every epoch updates all weights from all instances.
+    """Gradient training: every step updates all weights from the instances of one batch.
 
-    Weights of each epoch are written below ``base``, by default in the shared
-    folder of the session, so plans do not grow with the number of epochs.
+    With one batch a step is a full gradient and an epoch. ``batch``, a column of 0 to
+    ``batches`` - 1, deals the instances, by default by a hash of ``doc_id``. Weights of
+    each step are written below ``base``, by default in the shared folder of the session,
+    so plans do not grow and a lost executor costs one step.
     """
     spark = instances.sparkSession
     base = base or new_run_dir(spark, "weights")
-    # By document once: scores and residuals of all epochs stay in place. Only
-    # a document's own features are gathered.
-    bags = (
-        instances.select("doc_id", label_to_target(F.col("label")).alias("target"), "features")
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
-        .select("doc_id", "target", F.explode_outer("features").alias("feature"))
-        .filter("feature is not null")
-        .groupBy("doc_id", "target", "feature")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .groupBy("doc_id", "target")
-        .agg(F.collect_list(F.struct("feature", "times")).alias("bag"))
-        .persist()
-    )
-    occurrences = bags.select("doc_id", "target", F.explode("bag").alias("b")).select("doc_id", "target", "b.*")
-
-    def place(epoch: int) -> str:
-        return f"{base}/epoch={epoch:04d}"
-
-    try:
-        occurrences.groupBy("feature").agg(
-            F.count(F.lit(1)).alias("docs"), F.lit(0.0).alias("weight")
-        ).write.mode("overwrite").parquet(place(0))
-        small = is_small(spark.read.parquet(place(0)))
-        for epoch in range(epochs):
-            weights = spark.read.parquet(place(epoch))
-            if small:
-                weighted = occurrences.join(F.broadcast(weights), "feature")
-            else:
-                weighted = lookup_join(occurrences, weights, "feature", weight="docs", spread_by=["doc_id"])
-            scores = weighted.groupBy("doc_id", "target").agg(
-                F.sum(F.col("times") * F.col("weight")).alias("score")
-            )
-            residuals = scores.select("doc_id", (F.col("target") - logistic(F.col("score"))).alias("residual"))
-            gradient = (
-                bags.join(residuals, "doc_id")
-                .select("residual", F.explode("bag").alias("b"))
-                .groupBy("b.feature")
-                .agg(F.sum(F.col("b.times") * F.col("residual")).alias("gradient"))
-            )
-            (
-                weights.join(gradient, "feature")
-                .select("feature", "docs", (F.col("weight") + F.lit(rate) * F.col("gradient")).alias("weight"))
-                .write.mode("overwrite")
-                .parquet(place(epoch + 1))
-            )
-    finally:
-        bags.unpersist()
-    return spark.read.parquet(place(epochs)).select(F.lit(model_id).alias("model_id"), "feature", "weight")
+    if batch is None:
+        batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    stage = open_stage(spark, store_occurrences(instances, f"{base}/data", batch))
+
+    def place(step: int) -> str:
+        return f"{base}/step={step:05d}"
+
+    features = stage.session.read.parquet(f"{base}/data/occurrences").groupBy("feature").agg(F.lit(0.0).alias("weight"))
+    write_buckets(features, place(0), "feature", stage.buckets)
+    for step in range(epochs * batches):
+        weights = read_buckets(stage.session, place(step), "feature", stage.buckets, schema_of(features))
+        write_buckets(next_weights(stage, weights, step % batches, rate), place(step + 1), "feature", stage.buckets)
+    return spark.read.schema(features.schema).parquet(place(epochs * batches)).select(F.lit(model_id).alias("model_id"), "feature", "weight")
+
+
+def train_one_pass(instances: DataFrame, batches: int, seed: int | None = None, rate: float = RATE, model_id: str = "0", base: str | None = None) -> DataFrame:
+    """One pass over the instances in consecutive batches of one order: by ``doc_id``, or random by ``seed``.
+
+    Every instance takes part once. A batch is a consecutive stretch of the order; with
+    as many batches as instances this is the plain one-by-one pass.
+    """
+    order = numbered(instances, ["doc_id"])
+    position = F.col("_index") if seed is None else permuted(F.col("_index"), F.col("_total"), seed)
+    dealt = order.withColumn("_batch", F.floor(position * batches / F.col("_total")))
+    return train_epochs(dealt, 1, rate, model_id, base, batches, F.col("_batch"))
+
+
+def frequent(occurrences: DataFrame, feature: str) -> DataFrame:
+    """``(feature, _slots)`` of the features with more than 1/``SLOTS`` of all occurrences: fewer than ``SLOTS`` rows.
+
+    ``_slots`` is into how many parts of about that share a feature's occurrences are cut.
+    """
+    uses = occurrences.filter(F.col(feature).isNotNull()).groupBy(feature).agg(F.count(F.lit(1)).alias("_uses"))
+    total = uses.agg(F.sum("_uses")).scalar()
+    slots = F.ceil(F.col("_uses") * SLOTS / total).cast("int")
+    return uses.select(feature, slots.alias("_slots")).filter("_slots > 1")
 
 
 def _weighted(instances: DataFrame, model: DataFrame) -> DataFrame:
     """``(doc_id, label, model_id, weight)`` per feature occurrence and model.
 
-    Occurrences that no model knows, and documents without features, keep one
-    row with nulls. The models of a feature travel as one array, so the lookup
-    has one record per feature. A model beyond the broadcast bound is joined by
-    feature, with the features of most occurrences handled apart.
+    Occurrences that no model knows, and documents without features, keep one row with
+    nulls. Occurrences meet the weights of all models in long form. Those of a frequent
+    feature are dealt by document over its slots, to each of which the weights of the
+    feature go: fewer than twice ``SLOTS`` copies of a weight per model in all.
     """
     occurrences = instances.select("doc_id", "label", F.explode_outer("features").alias("feature"))
-    by_feature = model.groupBy("feature").agg(
-        F.collect_list(F.struct("model_id", "weight")).alias("weights")
+    often = F.broadcast(frequent(occurrences, "feature"))
+    cut = F.coalesce("_slots", F.lit(1))
+    dealt = occurrences.join(often, "feature", "left").select(
+        "doc_id", "label", "feature", F.pmod(F.xxhash64("doc_id"), cut).cast("int").alias("_slot")
     )
-    if is_small(model):
-        found = occurrences.join(F.broadcast(by_feature), "feature", "left")
-    else:
-        uses = occurrences.groupBy("feature").agg(F.count(F.lit(1)).alias("uses"))
-        found = lookup_join(
-            occurrences, by_feature.join(uses, "feature"), "feature", weight="uses", spread_by=["doc_id"]
-        )
-    return found.select("doc_id", "label", F.explode_outer("weights").alias("w")).select(
-        "doc_id", "label", "w.model_id", "w.weight"
+    copies = model.join(often, "feature", "left").select(
+        "feature", "model_id", "weight", F.explode(F.sequence(F.lit(0), cut - 1)).alias("_slot")
     )
+    return dealt.join(copies, ["feature", "_slot"], "left").select("doc_id", "label", "model_id", "weight")
 
 
 def score(instances: DataFrame, model: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 HOT_KEYS = 4096
-BROADCAST_ROWS = 500_000
 SPREAD = 65_536
 
 
@@ -19,11 +18,6 @@ def hottest(table: DataFrame, key: str, weight: str, limit: int = HOT_KEYS) -> D
     return table.orderBy(F.desc(weight), key).limit(limit)
 
 
-def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stored table of narrow records can be broadcast: counts it."""
-    return table.count() <= rows
-
-
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,

@@ -14,6 +14,9 @@ from tallgrass.functions.times import to_instant
 
 MIN_ARRIVALS = 10  # fixed value: fewest arrivals that can raise an alert
 GROWTH = 2  # fixed value: growth over the window before that raises one
+# Fixed value: the text of an alert.
+ALERT = "Number of arrivals to %s has doubled from %d to %d at %d!"
+FILL = 1000
 
 
 def choose_point(
@@ -46,8 +49,16 @@ def locate_in(events: DataFrame, regions: DataFrame, cell: float, spread: int =
     Regions are cut into square cells, and events meet those of their own cell. A region
     of any size works, but has a record for each of its cells: choose ``cell`` near the
     usual size of a region. Events of one cell go to ``spread`` tasks, each with a copy
-    of the cell's regions. Events without coordinates are in no region.
+    of the cell's regions. Events without coordinates are in no region. A region with a
+    null or infinite bound raises: it would have no end of cells.
     """
+    bounds = ["x_min", "x_max", "y_min", "y_max"]
+    endless = F.coalesce(F.greatest(*[F.abs(F.col(b).cast("double")) for b in bounds]), F.lit(float("inf"))) >= float("inf")
+    for b in bounds:
+        endless = endless | F.col(b).isNull() | F.isnan(F.col(b).cast("double"))
+    refused = F.raise_error(F.concat(F.lit("region without bounds: "), F.coalesce(F.col("region").cast("string"), F.lit("null"))))
+    regions = regions.withColumn("x_min", F.when(endless, refused.cast("double")).otherwise(F.col("x_min").cast("double")))
+
     def span(low: str, high: str) -> Column:
         return F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
 
@@ -87,7 +98,11 @@ def sliding_counts(
     Events are counted once per slide. Only those counts, not the events, are
     then repeated for the windows that share them.
     """
-    counts = window_counts(events, slide, by, ts)
+    return from_panes(window_counts(events, slide, by, ts), panes, slide, by)
+
+
+def from_panes(counts: DataFrame, panes: int, slide: str, by: Sequence[str] = ()) -> DataFrame:
+    """Windows of ``panes`` slides from the counts ``(window_start, *by, n)`` of each slide."""
     shift = F.explode(F.sequence(F.lit(0), F.lit(panes - 1))).alias("k")
     step = F.expr(f"INTERVAL {slide}")
     spread = counts.select("window_start", *by, "n", shift)
@@ -100,10 +115,16 @@ def sliding_counts(
 
 
 def zero_fill(counts: DataFrame, size: str, last_end: Column) -> DataFrame:
-    """Add windows without events: from the first one of a region up to ``last_end``."""
+    """Add windows without events: from the first one of a region up to ``last_end``.
+
+    The windows of a region are listed span by span of ``FILL`` windows, so no row holds them all.
+    """
     step = F.expr(f"INTERVAL {size}")
     first = counts.groupBy("region").agg(F.min("window_end").alias("first"))
-    spine = first.select("region", F.explode(F.sequence("first", last_end, step)).alias("window_end"))
+    starts = F.explode(F.sequence("first", last_end, step * FILL)).alias("from")
+    spans = first.select("region", starts).repartition("region", "from")
+    until = F.least(last_end, F.col("from") + step * (FILL - 1))
+    spine = spans.select("region", F.explode(F.sequence("from", until, step)).alias("window_end"))
     return spine.join(counts.select("region", "window_end", "n"), ["region", "window_end"], "left").select(
         (F.col("window_end") - step).alias("window_start"),
         "window_end",
@@ -138,7 +159,5 @@ def trending(
     alert = (F.col("current") >= min_arrivals) & (F.col("current") >= F.col("previous") * growth)
     title = F.coalesce(*[F.when(F.col("region") == r.name, F.lit(r.title or r.name)) for r in regions])
     at = F.unix_millis(to_instant(F.col("window_end")))
-    text = F.format_string(
-        "Number of arrivals to %s has doubled from %d to %d at %d!", title, "previous", "current", at
-    )
+    text = F.format_string(ALERT, title, "previous", "current", at)
     return compared.withColumn("is_trending", alert).withColumn("message", F.when(F.col("is_trending"), text))

@@ -10,6 +10,8 @@ number of pairs. A line of up to ``max_words`` tokens is one stretch.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallgrass.functions import stats
@@ -23,6 +25,7 @@ from tallgrass.functions.tokens import (
     tokenize,
 )
 from tallgrass.operators.skew import lookup_join
+from tallgrass.session import new_run_dir
 
 STRIPE_ENTRIES = 10_000
 
@@ -82,24 +85,63 @@ def mirror(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(both).alias("p"), *rest).select("p.x", "p.y", *rest)
 
 
+class Counted(NamedTuple):
+    """Counts of one pass over the stretches: ``pairs(x, y, n)`` with ``x < y``, ``words(w, n)`` and ``total(n_stretches)``."""
+
+    pairs: DataFrame
+    words: DataFrame
+    total: DataFrame
+
+
+def counted(
+    tokenized: DataFrame,
+    threshold: int = DEFAULT_THRESHOLD,
+    max_words: int = MAX_WORDS_PER_LINE,
+    place: str | None = None,
+) -> Counted:
+    """Pairs and words in ``threshold`` stretches or more, and the number of stretches, from one shuffle.
+
+    An empty word stands in front of the words of every stretch: its pairs count the
+    words, and its pair with itself counts the stretches. So tokens are found once and
+    all counts are made together. They are stored below ``place``, by default in the
+    shared folder of the session, for whatever needs them next. A word of a pair that
+    passes is in as many stretches at least, so rarer words are not kept.
+    """
+    spark = tokenized.sparkSession
+    place = place or new_run_dir(spark, "counts")
+    marked = F.concat(F.array(F.lit("")), F.sort_array("words"))
+    words = _stretches(tokenized, max_words).select(marked.alias("words"))
+    left = explode_once(words, F.col("words"), "i", "x", keep=["words"])
+    itself = F.when(F.col("i") == 0, 1).otherwise(2)
+    pairs = explode_once(left, F.slice("words", F.col("i") + itself, F.size("words")), "y", keep=["x"])
+    kind = F.when(F.col("y") == "", "total").when(F.col("x") == "", "word").otherwise("pair")
+    counts = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", kind)
+    kept = counts.filter((F.col("n") >= threshold) | (F.col("kind") == "total"))
+    kept.write.mode("overwrite").partitionBy("kind").parquet(place)
+    stored = spark.read.schema("x string, y string, n long, kind string").parquet(place)
+    return Counted(
+        stored.filter("kind = 'pair'").select("x", "y", "n"),
+        stored.filter("kind = 'word'").select(F.col("y").alias("w"), "n"),
+        stored.filter("kind = 'total'").select(F.col("n").alias("n_stretches")),
+    )
+
+
 def pmi_pairs(
     tokenized: DataFrame,
     threshold: int = DEFAULT_THRESHOLD,
     max_words: int = MAX_WORDS_PER_LINE,
 ) -> DataFrame:
     """``(x, y, pmi, n)`` for both directions of pairs in ``threshold`` stretches or more."""
-    return mirror(_with_pmi(pair_counts(tokenized, threshold, max_words), tokenized, max_words))
+    return mirror(_with_pmi(counted(tokenized, threshold, max_words)))
 
 
-def _with_pmi(pairs: DataFrame, tokenized: DataFrame, max_words: int) -> DataFrame:
+def _with_pmi(found: Counted) -> DataFrame:
     """Add PMI to counted unordered pairs; it is the same in both directions."""
-    counts = word_line_counts(tokenized, max_words)
-    n_x = counts.select(F.col("w").alias("x"), F.col("n").alias("n_x"))
-    n_y = counts.select(F.col("w").alias("y"), F.col("n").alias("n_y"))
-    with_x = lookup_join(pairs, n_x, "x", weight="n_x", spread_by=["y"])
+    n_x = found.words.select(F.col("w").alias("x"), F.col("n").alias("n_x"))
+    n_y = found.words.select(F.col("w").alias("y"), F.col("n").alias("n_y"))
+    with_x = lookup_join(found.pairs, n_x, "x", weight="n_x", spread_by=["y"])
     with_xy = lookup_join(with_x, n_y, "y", weight="n_y", spread_by=["x"])
-    total = stretch_total(tokenized, max_words).scalar()
-    value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), total)
+    value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), found.total.scalar())
     return with_xy.select("x", "y", value.alias("pmi"), "n")
 
 
@@ -127,15 +169,10 @@ def pmi_stripes(
     max_entries: int = STRIPE_ENTRIES,
 ) -> DataFrame:
     """``(x, block, map<y, struct<pmi, n>>)``."""
-    # The pairs that pass are used twice. Shuffled once more they are few, and
-    # the large shuffle of all pairs is read and aggregated only once. Both uses
-    # must need the same columns for that, so partners are counted through n. A
-    # shuffle by x, y, as after the count, would be left out: hence y, x.
-    pairs = pair_counts(tokenized, threshold, max_words).repartition("y", "x")
-    partners = mirror(pairs).groupBy("x").agg(F.count_if(F.col("n") > 0).alias("fanout"))
-    scored = mirror(_with_pmi(pairs, tokenized, max_words))
-    counted = lookup_join(scored, partners, "x", weight="fanout", spread_by=["y"])
-    return to_stripes(counted, F.struct("pmi", "n"), max_entries)
+    found = counted(tokenized, threshold, max_words)
+    partners = mirror(found.pairs).groupBy("x").agg(F.count(F.lit(1)).alias("fanout"))
+    scored = lookup_join(mirror(_with_pmi(found)), partners, "x", weight="fanout", spread_by=["y"])
+    return to_stripes(scored, F.struct("pmi", "n"), max_entries)
 
 
 def bigram_counts(tokenized: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ The SQL runs in DuckDB, with one view per table.
 
 from __future__ import annotations
 
+from tallgrass.functions.permute import ROUNDS, WALKS, round_keys
 from tallgrass.plans.queries import (
-    BOXES, EPOCHS, MODEL_FACTORS, NATIONS, PANES, PMI_THRESHOLD, SHIP_DATE, SOURCES,
+    BATCHES, BOXES, EPOCHS, MODEL_FACTORS, NATIONS, PANES, PMI_THRESHOLD, SEED, SHIP_DATE, SOURCES,
 )
 
 ON_DATE = f"l_shipdate = timestamp '{SHIP_DATE} 00:00:00'"
@@ -224,8 +225,33 @@ GRAPH = {
         from in2 group by source""",
 }
 
+for _i, _head in ((1, ""), (2, " union all "), (3, " union all ")):
+    GRAPH["ppr_counters"] = GRAPH.get("ppr_counters", _ranks(BOTH_WAYS, 3)) + f"""{_head}
+        select {_i} as iteration, source, (select count(*) from nodes) as nodes,
+               (select count(distinct id) from in{_i} where mass > 0) as reached,
+               round(sum(mass), 9) + 0.0 as arrived, round(greatest(0.0, 1 - sum(mass)), 9) + 0.0 as missing
+        from in{_i} group by source"""
+GRAPH["ppr_log"] = f"{_ranks(BOTH_WAYS, 4)} select id, source, round(p, 9) as score from p4 where p > 0"
+
 # ---- classifier ----
 
+# The permutation: halves of the bits of the largest index, changed in turns; again until inside.
+_KEYS = round_keys(SEED)
+_A, _B = ([k[i] for k in _KEYS] for i in (0, 1))
+
+
+def _order(rows: str) -> str:
+    network = f"""list_reduce(range({ROUNDS}), lambda s, i: case when i % 2 = 0
+        then s - s % low + xor(s % low, (((s // low) * {_A}[i + 1] + {_B}[i + 1]) >> 11) % low)
+        else xor(s // low, (((s % low) * {_A}[i + 1] + {_B}[i + 1]) >> 11) % high) * low + s % low end, {{x}})"""
+    walk = f"list_reduce(range({WALKS}), lambda v, _: case when v < n then v else {network.format(x='v')} end, {network.format(x='idx')})"
+    return f"""
+    numbered as (select *, row_number() over (order by doc_id nulls first) - 1 as idx, count(*) over () as n from {rows}),
+    halves as (select *, length(bin(n - 1)) as bits, (1::bigint << (length(bin(n - 1)) // 2)) as low,
+               (1::bigint << (length(bin(n - 1)) - length(bin(n - 1)) // 2)) as high from numbered),
+    placed as materialized (select * exclude (idx, bits, low, high), ({walk})::bigint as position from halves)"""
+
+
 FEATURES = f"""
 occ as materialized (
   select doc_id, ('0x' || substr(md5(w), 1, 4))::int as feature
@@ -249,19 +275,22 @@ scores as materialized (
 )"""
 
 
-def _epochs() -> str:
+def _steps(steps: int, batches: int = 1) -> str:
+    """``w{steps}``: weights after so many steps, each over one batch of consecutive places of the random order."""
     parts = [
         FEATURES,
-        """times as materialized (select doc_id, (label = 'spam')::int as y, feature, count(*) as t
-           from occ join labelled using (doc_id) group by 1, 2, 3)""",
+        _order("labelled"),
+        f"""times as materialized (select doc_id, (label = 'spam')::int as y, position * {batches} // n as batch, feature, count(*) as t
+           from occ join placed using (doc_id) group by 1, 2, 3, 4)""",
         "w0 as (select distinct feature, 0.0::double as weight from times)",
     ]
-    for i in range(1, EPOCHS + 1):
+    for i in range(1, steps + 1):
         parts.append(f"""
         r{i} as materialized (select doc_id, y - 1 / (1 + exp(-sum(t * weight))) as r
-               from times join w{i - 1} using (feature) group by doc_id, y),
-        w{i} as materialized (select feature, any_value(weight) + 0.002 * sum(t * r) as weight
-               from times join r{i} using (doc_id) join w{i - 1} using (feature) group by feature)""")
+               from times join w{i - 1} using (feature) where batch = {(i - 1) % batches} group by doc_id, y),
+        g{i} as materialized (select feature, sum(t * r) as g from times join r{i} using (doc_id) group by feature),
+        w{i} as materialized (select feature, weight + 0.002 * coalesce(g, 0) as weight
+               from w{i - 1} left join g{i} using (feature))""")
     return "with " + ",".join(parts)
 
 
@@ -270,7 +299,9 @@ LABEL = "case when score > 0 then 'spam' else 'ham' end as predicted"
 CLASSIFIER = {
     "features": f"""with {FEATURES}
         select doc_id, label, feature, count(*) as n from occ join labelled using (doc_id) group by 1, 2, 3""",
-    "train_epochs": f"{_epochs()} select feature, round(weight, 9) + 0.0 as weight from w{EPOCHS}",
+    "train_epochs": f"{_steps(EPOCHS)} select feature, round(weight, 9) + 0.0 as weight from w{EPOCHS}",
+    "train_batches": f"{_steps(BATCHES, BATCHES)} select feature, round(weight, 9) + 0.0 as weight from w{BATCHES}",
+    "random_order": f"with {_order('(select doc_id from documents)')} select doc_id, position from placed",
     "score_docs": f"""with {FEATURES}, {MODELS}
         select doc_id, label, round(score, 6) + 0.0 as score, {LABEL} from scores where model_id = 'm{MODEL_FACTORS[0]}'""",
     "ensemble_average": f"""with {FEATURES}, {MODELS}
@@ -337,6 +368,12 @@ def _inside(i: int) -> str:
     return f"x > {b.x_min} and x < {b.x_max} and y > {b.y_min} and y < {b.y_max}"
 
 
+SLIDING = f"""
+    select s::varchar as window_start, (s + interval '1 hour')::varchar as window_end, count(*) as n
+    from (select unnest(generate_series(b - interval '15 minutes' * {PANES - 1}, b, interval '15 minutes')) as s
+          from (select time_bucket(interval '15 minutes', ts, timestamp '1970-01-01') as b from events))
+    group by 1, 2"""
+
 EVENTS = {
     "event_counts": ALL_COUNTS,
     "region_counts": REGION_COUNTS,
@@ -355,12 +392,10 @@ EVENTS = {
         group by 1""",
     "region_counts_zero_filled": f"""with {FILLED}
         select s::varchar as window_start, e::varchar as window_end, region, n from filled""",
-    "sliding_counts": f"""
-        select s::varchar as window_start, (s + interval '1 hour')::varchar as window_end, count(*) as n
-        from (select unnest(generate_series(b - interval '15 minutes' * {PANES - 1}, b, interval '15 minutes')) as s
-              from (select time_bucket(interval '15 minutes', ts, timestamp '1970-01-01') as b from events))
-        group by 1, 2""",
+    "sliding_counts": SLIDING,
     "trending": TRENDING,
+    "stream_sliding_counts": SLIDING,
+    "stream_trip_counts": _counts(_located().replace("select ts,", "select date_trunc('day', ts) as ts,"), "1 day"),
     "stream_event_counts": ALL_COUNTS,
     "stream_region_counts": REGION_COUNTS,
     "stream_trending": TRENDING,

@@ -6,6 +6,7 @@ flattened, so that results can be compared with SQL.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -33,7 +34,8 @@ SOURCES = (1, 2, 3)
 SOURCE_LIST = "1, 2, 3"
 GRAPH_PARTS = 8
 EPOCHS = 3
-ONLINE_MODELS = 4
+BATCHES = 5
+SEED = 17
 MODEL_FACTORS = (7, 11, 13)
 BOXES = (Region("box_a", 10, 20, 20, 60, "Box A"), Region("box_b", 30, 60, 50, 90, "Box B"))
 REGION_CELL = 5.0
@@ -423,6 +425,24 @@ def ppr_missing_mass(spark, sf_dir):
     return _rounded(graph.mass_totals(spark, SOURCES, base, 2), 9, "arrived", "missing")
 
 
+@query
+def ppr_counters(spark, sf_dir):
+    """What was counted while each iteration was written: nodes, nodes with mass, mass per source."""
+    base = new_run_dir(spark, "ranks")
+    stored = graph.save_graph(_graph(spark, sf_dir), base)
+    graph.start_state(stored, SOURCES, base)
+    graph.advance(stored, SOURCES, base, 0, 3)
+    return _rounded(graph.iteration_counters(spark, SOURCES, base), 9, "arrived", "missing")
+
+
+@query
+def ppr_log(spark, sf_dir):
+    """Ranks whose masses are logarithms all the way."""
+    stored = graph.save_graph(_graph(spark, sf_dir), new_run_dir(spark, "graph"))
+    ranks = graph.log_pagerank(stored, SOURCES, 4)
+    return _rounded(ranks.select("id", "source", F.exp("log_score").alias("score")), 9, "score")
+
+
 # ---- classifier ----
 # A token's feature is the first four hex digits of its md5, as a number.
 
@@ -491,9 +511,17 @@ def train_epochs(spark, sf_dir):
 
 
 @query
-def train_online(spark, sf_dir):
-    model = classifier.train_online(_labelled(spark, sf_dir), models=ONLINE_MODELS)
-    return _rounded(model, 9, "weight")
+def train_batches(spark, sf_dir):
+    """One pass in batches of a random order that the seed alone decides."""
+    model = classifier.train_one_pass(_labelled(spark, sf_dir), BATCHES, SEED)
+    return _rounded(model.select("feature", "weight"), 9, "weight")
+
+
+@query
+def random_order(spark, sf_dir):
+    """The place of every document in a random order of all."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id")
+    return classifier.in_random_order(docs, SEED)
 
 
 @query
@@ -599,6 +627,7 @@ def trending(spark, sf_dir):
 
 
 STREAM_FILES = 8
+TRIP_FILES = 8
 
 
 def _streamed(spark: SparkSession, sf_dir: str, size: str, regions=None) -> DataFrame:
@@ -617,6 +646,47 @@ def _streamed(spark: SparkSession, sf_dir: str, size: str, regions=None) -> Data
     return jobs.read_counts(spark, place)
 
 
+def _stream_place(spark: SparkSession, sf_dir: str, size: str) -> str:
+    """A finished job over one folder of event files."""
+    files, place = new_run_dir(spark, "files"), new_run_dir(spark, "stream")
+    events = load_table(spark, sf_dir, "events")
+    events.repartition(STREAM_FILES, "event_id").write.parquet(files)
+    stream = jobs.stream_files(spark, files, events.schema, files_per_batch=2)
+    jobs.run_job(jobs.count_windows(stream, size), place)
+    return place
+
+
+@query
+def stream_sliding_counts(spark, sf_dir):
+    """Sliding windows of a stream whose state has one row per slide."""
+    counts = jobs.read_counts(spark, _stream_place(spark, sf_dir, SLIDE), PANES, SLIDE)
+    return _as_text(counts.drop("region"), "window_start", "window_end")
+
+
+@query
+def stream_trip_counts(spark, sf_dir):
+    """Events as CSV trips, one file per day with the day's number in its name, and counted by region from there.
+
+    Clicks are green trips, with the point in fields 8 and 9; all others have it in
+    fields 10 and 11. In either case the other two fields hold the point turned round.
+    """
+    events = _points(load_table(spark, sf_dir, "events"))
+    days = events.agg(F.min(F.to_date("ts")).alias("first"), F.datediff(F.max("ts"), F.min("ts")).alias("span")).first()
+    first, many = days["first"] or datetime.date(1970, 1, 1), (days["span"] or 0) + 1
+    green = F.col("event_type") == "click"
+    x, y = F.col("x").cast("string"), F.col("y").cast("string")
+    early, late = F.when(green, x).otherwise(y), F.when(green, y).otherwise(x)
+    kind = F.when(green, "green").otherwise("yellow")
+    empty = [F.lit("") for _ in range(7)]
+    line = F.concat_ws(",", kind, *empty, early, late, F.when(green, y).otherwise(x), F.when(green, x).otherwise(y))
+    files, place = new_run_dir(spark, "trips"), new_run_dir(spark, "stream")
+    number = F.datediff(F.to_date("ts"), F.lit(first)).cast("int")
+    events.filter("x is not null and y is not null").repartitionById(many, number).select(line.alias("value")).write.text(files)
+    trips = jobs.stream_trips(spark, files, str(first), TRIP_FILES, "1 day")
+    jobs.run_job(jobs.count_windows(trips, "1 day", BOXES), place)
+    return _as_text(jobs.read_counts(spark, place), "window_start", "window_end")
+
+
 @query
 def stream_event_counts(spark, sf_dir):
     return _as_text(_streamed(spark, sf_dir, HOUR), "window_start", "window_end")

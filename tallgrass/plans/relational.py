@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallgrass.operators.bloom import bloom_filter, maybe_in
 from tallgrass.operators.skew import lookup_used
 
 TOP_ROWS = 20  # fixed value: rows of the two top-k reports
@@ -88,17 +89,20 @@ def q5(
 ) -> DataFrame:
     """All lines by month, for customers of some nations.
 
-    The nations come first: only orders of wanted customers meet the lines, which
-    are counted per order and month before, so an order of any size is one row
-    per task. A customer with many orders goes through :func:`lookup_used`.
+    The nations come first. The keys of wanted customers go, as a Bloom filter, to the
+    scan of the orders, and the keys of those orders to the scan of the lines, so that
+    few others are shuffled. The joins then are exact. Lines are counted per order and month before, so an order of any size is one row per
+    task. A customer with many orders goes through :func:`lookup_used`.
     """
     wanted = customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(
         nation.filter(F.col("n_name").isin(list(nations))).select("n_nationkey", "n_name"), "n_nationkey"
     )
     placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
-    placed = lookup_used(placed, wanted, "c_custkey", spread_by=["l_orderkey"])
+    likely = maybe_in(placed, "c_custkey", bloom_filter(wanted, "c_custkey"))
+    placed = lookup_used(likely, wanted, "c_custkey", spread_by=["l_orderkey"])
     month = F.trunc(F.col("l_shipdate").cast("date"), "month")
-    per_order = lineitem.groupBy("l_orderkey", month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    lines = maybe_in(lineitem.select("l_orderkey", "l_shipdate"), "l_orderkey", bloom_filter(likely, "l_orderkey"))
+    per_order = lines.groupBy("l_orderkey", month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
     return (
         per_order.join(placed.select("l_orderkey", "n_nationkey", "n_name"), "l_orderkey")
         .groupBy("n_nationkey", "n_name", F.substring(F.col("month").cast("string"), 1, 7).alias("month"))

@@ -1,9 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallgrass.functions.permute import permuted
 from tallgrass.operators import classifier
 
 RNG = random.Random(3)
@@ -32,31 +34,46 @@ def weights(df):
     return {r.feature: r.weight for r in df.collect()}
 
 
-def test_one_shard_is_the_plain_pass(instances):
-    assert weights(classifier.train_online(instances)) == pytest.approx(one_pass(ROWS))
+def test_as_many_batches_as_instances_are_the_plain_pass(spark, instances):
+    model = classifier.train_one_pass(instances.limit(12), 12)
+    trained = sorted(r.doc_id for r in instances.limit(12).collect())
+    assert {f: w for f, w in weights(model).items() if w} == pytest.approx(one_pass([r for r in ROWS if r[0] in trained]))
 
 
-def test_order_of_training(instances):
-    order = classifier.shuffled_order(7)
-    shuffled = [r.doc_id for r in instances.orderBy(order, "doc_id").collect()]
-    rows = sorted(ROWS, key=lambda r: shuffled.index(r[0]))
-    assert shuffled != sorted(shuffled)
-    assert weights(classifier.train_online(instances, order)) == pytest.approx(one_pass(rows))
+def test_batches_of_a_random_order(instances):
+    order = {r.doc_id: r.position for r in classifier.in_random_order(instances, 7).collect()}
+    assert sorted(order.values()) == list(range(60)) and [*order] != sorted(order, key=order.get)
+    w = {f: 0.0 for _, _, fs in ROWS for f in fs}
+    for b in range(4):
+        some = [r for r in ROWS if order[r[0]] * 4 // 60 == b]
+        step = full_gradient(some, 1, start=w)
+        w |= step
+    assert weights(classifier.train_one_pass(instances, 4, seed=7)) == pytest.approx(w)
 
 
-def test_many_shards_are_models_of_their_own_rows(instances):
-    model = classifier.train_online(instances, models=6)
-    shards = {r.doc_id: str(r.s) for r in instances.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(6)).alias("s")).collect()}
-    found = {}
-    for r in model.collect():
-        found.setdefault(r.model_id, {})[r.feature] = r.weight
-    assert len(found) > 1 and set(found) == set(shards.values())
-    for shard, w in found.items():
-        assert w == pytest.approx(one_pass([r for r in ROWS if shards[r[0]] == shard]))
+def test_the_order_depends_on_keys_and_seed_alone(spark, instances):
+    orders = [{r.doc_id: r.position for r in classifier.in_random_order(instances.repartition(n), s).collect()} for n, s in ((1, 7), (9, 7), (3, 8))]
+    assert orders[0] == orders[1] != orders[2]
 
 
-def full_gradient(rows, epochs, rate=0.002):
-    w = {f: 0.0 for _, _, fs in rows for f in fs}
+@pytest.mark.parametrize("total", [1, 2, 3, 64, 65, 1000])
+def test_permutations_are_one_to_one(spark, total):
+    found = [r.p for r in spark.range(total).select(permuted(F.col("id"), F.lit(total), 3).alias("p")).collect()]
+    assert sorted(found) == list(range(total))
+    if total == 1000:
+        assert sum(a == i for i, a in enumerate(found)) < 10
+        assert abs(np.corrcoef(range(total), found)[0, 1]) < 0.1 and abs(np.corrcoef(found[1:], found[:-1])[0, 1]) < 0.1
+
+
+def test_large_numbers_stay_inside(spark):
+    total = (1 << 60) - 12345
+    numbers = spark.range(1000).select((F.lit(total) - 1 - F.col("id") * 1_000_003).alias("i"))
+    found = [r.p for r in numbers.select(permuted(F.col("i"), F.lit(total), 1).alias("p")).collect()]
+    assert len(set(found)) == 1000 and 0 <= min(found) and max(found) < total
+
+
+def full_gradient(rows, epochs, rate=0.002, start=None):
+    w = {f: start[f] if start else 0.0 for _, _, fs in rows for f in fs}
     for _ in range(epochs):
         gradient = dict.fromkeys(w, 0.0)
         for _, label, fs in rows:
@@ -67,15 +84,15 @@ def full_gradient(rows, epochs, rate=0.002):
     return w
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_epochs(instances, no_broadcast, monkeypatch, small):
-    monkeypatch.setattr(classifier, "is_small", lambda table: small)
+@pytest.mark.parametrize("slots", [4, 4096])
+def test_epochs(instances, no_broadcast, monkeypatch, slots):
+    monkeypatch.setattr(classifier, "SLOTS", slots)
     assert weights(classifier.train_epochs(instances, 3)) == pytest.approx(full_gradient(ROWS, 3))
 
 
 def test_epoch_weights_are_stored(spark, instances, tmp_path):
     classifier.train_epochs(instances, 2, base=str(tmp_path / "w"))
-    middle = spark.read.parquet(str(tmp_path / "w" / "epoch=0001"))
+    middle = spark.read.parquet(str(tmp_path / "w" / "step=00001"))
     assert weights(middle) == pytest.approx(full_gradient(ROWS, 1))
 
 
@@ -104,9 +121,9 @@ def models(spark):
     return spark.createDataFrame(MODELS, "model_id string, feature int, weight double")
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_scores(docs, models, no_broadcast, monkeypatch, small):
-    monkeypatch.setattr(classifier, "is_small", lambda table: small)
+@pytest.mark.parametrize("slots", [2, 4096])
+def test_scores(docs, models, no_broadcast, monkeypatch, slots):
+    monkeypatch.setattr(classifier, "SLOTS", slots)
     got = {r.doc_id: (r.label, r.score, r.predicted) for r in classifier.score(docs, models.filter("model_id = 'a'")).collect()}
     assert got == {
         d: (label, scores("a", fs), "spam" if scores("a", fs) > 0 else "ham") for d, label, fs in DOCS
@@ -114,10 +131,10 @@ def test_scores(docs, models, no_broadcast, monkeypatch, small):
     assert got["zero"][2] == "ham"
 
 
-@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("slots", [2, 4096])
 @pytest.mark.parametrize("method", ["average", "vote"])
-def test_ensembles(docs, models, no_broadcast, monkeypatch, method, small):
-    monkeypatch.setattr(classifier, "is_small", lambda table: small)
+def test_ensembles(docs, models, no_broadcast, monkeypatch, method, slots):
+    monkeypatch.setattr(classifier, "SLOTS", slots)
     got = {r.doc_id: (r.score, r.predicted) for r in classifier.score_ensemble(docs, models, method).collect()}
     for d, _, fs in DOCS:
         each = [scores(m, fs) for m in "abc"]
@@ -125,6 +142,20 @@ def test_ensembles(docs, models, no_broadcast, monkeypatch, method, small):
         assert got[d] == (pytest.approx(wanted), "spam" if wanted > 0 else "ham")
 
 
+@pytest.mark.parametrize("method", ["average", "vote"])
+def test_five_hundred_models(spark, instances, method):
+    """Long form: no row holds the weights of more than one model."""
+    weight = lambda m, f: ((f * (m + 3)) % 21 - 10) / 64
+    rows = [(f"m{m}", f, weight(m, f)) for m in range(500) for f in [*range(0, 30, 2), 99]]
+    models = spark.createDataFrame(rows, "model_id string, feature int, weight double").repartition(4)
+    got = {r.doc_id: (r.score, r.predicted) for r in classifier.score_ensemble(instances, models, method).collect()}
+    known = {*range(0, 30, 2), 99}
+    for d, _, fs in ROWS:
+        each = [sum(weight(m, f) for f in fs if f in known) for m in range(500)]
+        wanted = sum(each) / 500 if method == "average" else sum(1 if s > 0 else -1 for s in each)
+        assert got[d] == (pytest.approx(wanted), "spam" if wanted > 0 else "ham")
+
+
 def test_unknown_method_raises(docs, models):
     with pytest.raises(ValueError):
         classifier.score_ensemble(docs, models, "median")

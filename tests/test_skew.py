@@ -113,8 +113,7 @@ def instances(spark):
     )
 
 
-def test_classifier(spark, parts, instances, monkeypatch):
-    monkeypatch.setattr(classifier, "is_small", lambda table: False)
+def test_classifier(spark, parts, instances):
     model = spark.range(1, 2500).select(
         F.lit("a").alias("model_id"), F.col("id").cast("int").alias("feature"), F.lit(0.5).alias("weight")
     )

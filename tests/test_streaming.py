@@ -78,8 +78,9 @@ def test_only_part_files_are_read(spark, folder):
 def test_sliding_windows(spark, folder):
     put(spark, folder, "part-1.parquet", range(0, 200, 3))
     stream = jobs.stream_files(spark, f"{folder}/in", SCHEMA)
-    jobs.run_job(jobs.count_windows(stream, "60 minutes", slide="15 minutes"), f"{folder}/job")
-    got = {(r.window_start, r.n) for r in jobs.read_counts(spark, f"{folder}/job").collect()}
+    jobs.run_job(jobs.count_windows(stream, "15 minutes"), f"{folder}/job")
+    got = {(r.window_start, r.n) for r in jobs.read_counts(spark, f"{folder}/job", 4, "15 minutes").collect()}
+    assert jobs.read_counts(spark, f"{folder}/job").count() == 14  # one row of state per slide of 200 minutes
     df = spark.read.schema(SCHEMA).parquet(f"{folder}/in")
     assert got == {(r.window_start, r.n) for r in windows.sliding_counts(df, 4, "15 minutes").collect()}
 

@@ -52,8 +52,8 @@ def schema_of(table: DataFrame) -> str:
 
 def read_buckets(spark: SparkSession, place: str, key: str, buckets: int, schema: str) -> DataFrame:
     """A stored table, partitioned by ``key`` as it was written. An empty one has no files, so ``schema`` is asked for."""
-    name = _name()
-    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{place}'")
+    name, quoted = _name(), place.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{quoted}'")
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return table

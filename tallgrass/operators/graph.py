@@ -94,7 +94,7 @@ def orphan_targets(graph: Graph) -> DataFrame:
     """``(dst, edges)``: ids that receive edges from nodes but are no node."""
     known = graph.nodes.select(F.col("id").alias("src"), F.lit(True).alias("known"))
     inbound = (
-        lookup_used(graph.edges, known, "src", spread_by=["dst"])
+        lookup_used(graph.edges, known, "src", spread_by=["src", "dst"])
         .groupBy("dst")
         .agg(F.sum("weight").alias("edges"))
     )
@@ -377,9 +377,17 @@ def _log_state_path(base: str, iteration: int) -> str:
 
 
 def log_messages(edges: DataFrame, state: DataFrame) -> DataFrame:
-    """``(id, source, mass)``: logarithms of the masses that arrive at every id, summed without leaving logarithms."""
-    sent = edges.join(state.select(F.col("id").alias("src"), "source", F.col("rank")), "src")
-    carried = sent.select(F.col("dst").alias("id"), "source", (F.col("rank") + F.ln("share")).alias("mass"))
+    """``(id, source, mass)``: logarithms of the masses that arrive at every id, summed without leaving logarithms.
+
+    ``edges`` are ``(src, dst, share)``, ``state`` is ``(id, targets, source, rank)``. The
+    ranks of a node travel as one record, at most one entry per source of a run, and the
+    edges of nodes with most ``targets`` stay spread.
+    """
+    ranks = F.collect_list(F.struct("source", "rank")).alias("ranks")
+    senders = state.filter("targets > 0").groupBy(F.col("id").alias("src")).agg(F.max("targets").alias("targets"), ranks)
+    sent = lookup_join(edges, senders, "src", "targets", ["src", "dst"]).filter("ranks is not null")
+    each = sent.select(F.col("dst").alias("id"), "share", F.explode("ranks").alias("r"))
+    carried = each.select("id", F.col("r.source").alias("source"), (F.col("r.rank") + F.ln("share")).alias("mass"))
     return log_sums(carried, ["id", "source"], "mass")
 
 
@@ -387,7 +395,8 @@ def log_pagerank(graph: Graph, sources: Sequence[int], iterations: int, base: st
     """``(id, source, log_score)``, only nodes that hold any mass: ranks too small for a double keep their logarithm.
 
     State is in long form, one row per node reached and source, so a source that has
-    reached few nodes has few rows.
+    reached few nodes has few rows. Every iteration is a complete table below ``base``.
+    Long source lists run in groups over the same stored edges.
     """
     sources = list(dict.fromkeys(sources))
     if not sources:
@@ -395,25 +404,31 @@ def log_pagerank(graph: Graph, sources: Sequence[int], iterations: int, base: st
     spark = graph.nodes.sparkSession
     base = base or new_run_dir(spark, "log-ranks")
     degrees = _degrees(graph.edges)
-    edges = lookup_join(graph.edges, degrees.withColumnRenamed("id", "src"), "src", "targets", ["dst"])
-    edges = edges.join(graph.nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
+    edges = lookup_join(graph.edges, degrees.withColumnRenamed("id", "src"), "src", "targets", ["src", "dst"])
+    edges = lookup_used(edges, graph.nodes.select(F.col("id").alias("dst"), F.lit(True).alias("known")), "dst", ["src", "dst"])
     edges.select("src", "dst", (F.col("weight") / F.col("degree")).alias("share")).write.mode("overwrite").parquet(f"{base}/shares")
-    edges = spark.read.parquet(f"{base}/shares")
-    follow = math.log(1.0 - JUMP)
-    named = F.explode(F.array(*[F.lit(s).cast("long") for s in sources])).alias("source")
-    starts = graph.nodes.filter(F.col("id").isin(sources)).select(F.col("id").cast("long").alias("id"))
-    starts = starts.select("id", named).filter("id = source")
-    starts.select("id", "source", F.lit(0.0).alias("rank")).write.mode("overwrite").parquet(_log_state_path(base, 0))
+    nodes = graph.nodes.join(degrees.select("id", "targets"), "id", "left")
+    nodes.select("id", F.coalesce("targets", F.lit(0)).alias("targets")).write.mode("overwrite").parquet(f"{base}/nodes")
+    result = None
+    for at in range(0, len(sources), SOURCES_PER_RUN):
+        ranks = _log_run(spark, sources[at : at + SOURCES_PER_RUN], iterations, base, f"{base}/sources={at}")
+        result = ranks if result is None else result.unionByName(ranks)
+    return result.select("id", "source", F.col("rank").alias("log_score"))
+
+
+def _log_run(spark: SparkSession, sources: Sequence[int], iterations: int, base: str, place: str) -> DataFrame:
+    edges, nodes = spark.read.parquet(f"{base}/shares"), spark.read.parquet(f"{base}/nodes")
+    starts = nodes.filter(F.col("id").isin(list(sources))).select("id", F.col("id").cast("long").alias("source"))
+    starts.select("id", "source", F.lit(0.0).alias("rank")).write.mode("overwrite").parquet(_log_state_path(place, 0))
     for i in range(iterations):
-        state = spark.read.parquet(_log_state_path(base, i))
+        state = spark.read.parquet(_log_state_path(place, i)).join(nodes, "id")
         arrived = log_messages(edges, state)
         total = arrived.groupBy("source").agg(F.sum(F.exp("mass")).alias("held"))
-        back = starts.join(total, "source", "left").select(
-            "id", "source", F.ln((1.0 - JUMP) * F.greatest(F.lit(0.0), 1.0 - F.coalesce("held", F.lit(0.0))) + JUMP).alias("rank")
-        )
-        moved = arrived.select("id", "source", (F.col("mass") + F.lit(follow)).alias("rank"))
-        log_sums(moved.unionByName(back), ["id", "source"], "rank").write.mode("overwrite").parquet(_log_state_path(base, i + 1))
-    return spark.read.parquet(_log_state_path(base, iterations)).withColumnRenamed("rank", "log_score")
+        lost = F.greatest(F.lit(0.0), 1.0 - F.coalesce("held", F.lit(0.0)))
+        back = starts.join(total, "source", "left").select("id", "source", F.ln((1.0 - JUMP) * lost + JUMP).alias("rank"))
+        moved = arrived.select("id", "source", (F.col("mass") + F.lit(math.log(1.0 - JUMP))).alias("rank"))
+        log_sums(moved.unionByName(back), ["id", "source"], "rank").write.mode("overwrite").parquet(_log_state_path(place, i + 1))
+    return spark.read.parquet(_log_state_path(place, iterations))
 
 
 def top_nodes(ranks: DataFrame, k: int, shards: int = TOP_SHARDS) -> DataFrame:

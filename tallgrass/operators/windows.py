@@ -57,7 +57,8 @@ def locate_in(events: DataFrame, regions: DataFrame, cell: float, spread: int =
     for b in bounds:
         endless = endless | F.col(b).isNull() | F.isnan(F.col(b).cast("double"))
     refused = F.raise_error(F.concat(F.lit("region without bounds: "), F.coalesce(F.col("region").cast("string"), F.lit("null"))))
-    regions = regions.withColumn("x_min", F.when(endless, refused.cast("double")).otherwise(F.col("x_min").cast("double")))
+    # Each bound carries the check, so that no filter on one of them goes first.
+    regions = regions.withColumns({b: F.when(endless, refused.cast("double")).otherwise(F.col(b).cast("double")) for b in bounds})
 
     def span(low: str, high: str) -> Column:
         return F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))

@@ -197,7 +197,8 @@ def test_log_ranks_are_logarithms_of_the_ranks(make, iterations):
 
 def test_masses_that_a_double_cannot_hold(spark):
     """Masses of e^-2000 beside larger and smaller ones: in doubles all are zero."""
-    state = spark.createDataFrame([(1, 9, -2000.0), (2, 9, -2000.5), (3, 9, -2600.0), (4, 8, -3.0)], "id long, source long, rank double")
+    rows = [(1, 1, 9, -2000.0), (2, 1, 9, -2000.5), (3, 2, 9, -2600.0), (4, 1, 8, -3.0)]
+    state = spark.createDataFrame(rows, "id long, targets long, source long, rank double")
     edges = spark.createDataFrame([(1, 7, 0.5), (2, 7, 0.25), (3, 7, 1.0), (3, 6, 1.0), (4, 7, 1.0)], "src long, dst long, share double")
     found = {(r.id, r.source): r.mass for r in graph.log_messages(edges, state).collect()}
     assert found[7, 9] == pytest.approx(-2000 + math.log(0.5 + 0.25 * math.exp(-0.5)), rel=1e-12)

@@ -90,7 +90,8 @@ def test_index(spark, parts):
     check(spark, index.boolean_search(built, "the of AND"))
 
 
-def test_graph(spark, parts):
+def test_graph(spark, parts, monkeypatch):
+    monkeypatch.setattr(graph, "buckets_for", lambda table: PARTS)
     third = F.col("id") % 3
     edges = spark.range(0, 60_000, 1, 8).select(
         F.when(third == 0, 0).when(third == 1, F.col("id") % 5000).otherwise(hashed(4, 5000)).alias("src"),
@@ -102,6 +103,7 @@ def test_graph(spark, parts):
         graph.personalized_pagerank(built, [0, 7], 2, edges_per_block=100)
 
     assert largest_share(spark, run) < 0.16
+    assert largest_share(spark, lambda: graph.log_pagerank(built, [0, 7], 2)) < 0.16
 
 
 @pytest.fixture
@@ -113,7 +115,8 @@ def instances(spark):
     )
 
 
-def test_classifier(spark, parts, instances):
+def test_classifier(spark, parts, instances, monkeypatch):
+    monkeypatch.setattr(classifier, "buckets_for", lambda table: PARTS)
     model = spark.range(1, 2500).select(
         F.lit("a").alias("model_id"), F.col("id").cast("int").alias("feature"), F.lit(0.5).alias("weight")
     )

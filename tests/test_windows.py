@@ -113,3 +113,23 @@ def test_regions_of_a_table_equal_compiled_ones(spark, no_broadcast):
     assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
     assert windows.locate_in(events.limit(0), table, 2.0).count() == windows.locate_in(events, table.limit(0), 2.0).count() == 0
+
+
+@pytest.mark.parametrize("bounds", [(0.0, None, 0.0, 1.0), (0.0, float("inf"), 0.0, 1.0), (float("nan"), 1.0, 0.0, 1.0), (0.0, 1.0, float("-inf"), 1.0)])
+def test_regions_without_an_end_raise(spark, bounds):
+    schema = "region string, x_min double, x_max double, y_min double, y_max double"
+    table = spark.createDataFrame([("ok", 0.0, 2.0, 0.0, 2.0), ("endless", *bounds)], schema)
+    events = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
+    with pytest.raises(Exception, match="region without bounds: endless"):
+        windows.locate_in(events, table, 2.0).collect()
+
+
+@pytest.mark.parametrize("span", [1, 3, 1000])
+def test_zero_rows_do_not_depend_on_the_span_they_are_listed_in(spark, monkeypatch, span):
+    monkeypatch.setattr(windows, "FILL", span)
+    at = lambda m: dt.datetime(2024, 3, 10) + dt.timedelta(minutes=m)
+    counts = spark.createDataFrame([(at(0), at(10), "a", 2), (at(40), at(50), "b", 1)], "window_start timestamp_ntz, window_end timestamp_ntz, region string, n long")
+    end = F.lit(at(80)).cast("timestamp_ntz")
+    found = {(r.region, r.window_end): r.n for r in windows.zero_fill(counts, "10 minutes", end).collect()}
+    wanted = {("a", at(m)): 2 * (m == 10) for m in range(10, 90, 10)} | {("b", at(m)): int(m == 50) for m in range(50, 90, 10)}
+    assert found == wanted

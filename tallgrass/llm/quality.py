@@ -3,11 +3,11 @@
 A text's terms are runs of ``GRAM`` bytes of the lower-cased text, hashed to
 ``GRAMS`` terms, which tell its words in any script, and trigrams of byte classes
 (letters, digits, kinds of punctuation, breaks), which tell its form. The
-square-rooted frequencies of each kind, times idf of the sample, are projected to
-``RANK`` latent dimensions, the leading singular vectors of a bounded sample of
-labelled rows (``LABELLED`` at most, chosen by a hash of the id, never from the
-held-out fifth). The sample's vectors are broadcast: at most ``LABELLED * RANK``
-numbers. For every document the cosine with each of them is computed exactly, in
+square-rooted frequencies of each kind, times idf of the sample and less their mean in
+it, are projected to ``RANK`` latent dimensions, the leading singular vectors of a bounded
+sample of labelled rows (``LABELLED`` at most, chosen by a hash of the id, never from the
+held-out fifth). Without the mean the first direction would be the mean text and all
+cosines near 1. The sample's vectors are broadcast: at most ``LABELLED * RANK`` numbers. For every document the cosine with each of them is computed exactly, in
 blocks, and the labels of the ``NEIGHBOURS`` nearest are weighed by similarity.
 
 Label, language, source and id are no inputs of a score. Defined cases: a null or
@@ -20,14 +20,14 @@ neighbours go to the earlier in the sample. Empty tables give empty tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallgrass.llm.common import as_bytes, chunks, map_batches
+from tallgrass.llm.common import as_bytes, chunks, map_batches, stored
 
 LABELLED = 4000
 RANK = 48
@@ -36,6 +36,8 @@ THRESHOLD = 0.3
 HELD_OUT = 5
 _SHARPNESS = 4
 _BLOCK = 1024
+#: Blocks of the sample: so many tasks work on it, and so many partial sums reach the driver.
+SAMPLE_BLOCKS = 8
 # Byte classes, the first that fits; all others are class 0.
 _CLASSES = (
     b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", bytes(range(128, 256)), b"0123456789",
@@ -95,25 +97,12 @@ def _rows(texts: pa.Array) -> Iterator[np.ndarray]:
 
 class Model(NamedTuple):
     projection: np.ndarray  # terms x rank, idf included
+    shift: np.ndarray  # the mean text of the sample, projected
     vectors: np.ndarray  # labelled x rank, unit length
     labels: np.ndarray
     mean: float
 
 
-def fit_model(rows: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Model:
-    """Randomised singular vectors (fixed start, three power steps) of the labelled rows."""
-    if not len(rows):
-        return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 1.0)
-    idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
-    weighed = rows * idf
-    basis = np.random.default_rng(7).standard_normal((TERMS, rank + 8)).astype(np.float32)
-    for _ in range(3):
-        basis, _ = np.linalg.qr(weighed.T @ (weighed @ basis))
-    _, _, right = np.linalg.svd(weighed @ basis, full_matrices=False)
-    projection = idf[:, None] * (basis @ right.T[:, :rank])
-    return Model(projection, _unit(rows @ projection), labels, float(labels.mean()))
-
-
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
@@ -124,16 +113,16 @@ def vote(model: Model, rows: np.ndarray, neighbours: int = NEIGHBOURS) -> np.nda
     many = min(neighbours, len(model.vectors))
     if not many:
         return out
-    latent = _unit(rows @ model.projection)
     known = np.flatnonzero(rows.any(axis=1))
     for at in range(0, len(known), _BLOCK):
         some = known[at : at + _BLOCK]
-        cosine = latent[some] @ model.vectors.T
-        near = np.argpartition(-cosine, many - 1, axis=1)[:, :many]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** _SHARPNESS
+        cosine = _unit(rows[some] @ model.projection - model.shift) @ model.vectors.T
+        least = np.partition(cosine, -many, axis=1)[:, -many, None]
+        level = cosine == least  # of those, the earliest
+        near = (cosine > least) | level & (level.cumsum(axis=1) <= many - (cosine > least).sum(axis=1, keepdims=True))
+        weight = np.where(near, np.maximum(cosine, 0), 0).astype(np.float64) ** _SHARPNESS
         total = weight.sum(axis=1)
-        score = (weight * model.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
-        out[some] = np.where(total > 0, score, model.mean)
+        out[some] = np.where(total > 0, weight @ model.labels / np.maximum(total, 1e-12), model.mean)
     return np.clip(out, 0.0, 1.0)
 
 
@@ -142,8 +131,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
-    """A model from at most ``labelled`` rows, which alone reach the driver, as term frequencies."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+    """``doc_id, _label, _row`` of at most ``labelled`` rows: the term frequencies of one text per id, stored in blocks."""
     known = labels.filter("doc_id is not null and quality is not null").filter(~held_out())
     known = known.groupBy("doc_id").agg(F.max("quality").alias("_label"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -159,10 +148,56 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
     one = texts.groupBy("doc_id", "_label").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("_one"))
     one = one.select("doc_id", "_label", F.col("_one.text").alias("text"))
-    got = map_batches(one, run, "doc_id long, _label int, _row binary").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("_row", "ascending")]) if len(got) else got
-    rows = np.frombuffer(b"".join(got.column("_row").to_pylist()), np.float16).reshape(-1, TERMS).astype(np.float32)
-    return fit_model(rows, np.array(got.column("_label").to_pylist(), np.float64))
+    rows = map_batches(one, run, "doc_id long, _label int, _row binary")
+    return stored(rows.repartition(SAMPLE_BLOCKS, "doc_id").sortWithinPartitions("doc_id"), "sample")
+
+
+def _over(sample: DataFrame, work: Callable) -> list[np.ndarray]:
+    """``work(rows, labels)`` of every block of the sample, in one order whichever task was first. Only its results reach the driver."""
+
+    def run(batches):
+        for batch in batches:
+            rows = np.frombuffer(b"".join(batch.column("_row").to_pylist()), np.float16).reshape(-1, TERMS)
+            found = np.ascontiguousarray(work(rows.astype(np.float32), batch.column("_label").to_numpy()))
+            yield {"first": batch.column("doc_id").slice(0, 1), "wide": pa.array([found.shape[1]]), "found": pa.array([found.astype(np.float32).tobytes()])}
+
+    got = map_batches(sample, run, "first long, wide long, found binary").toArrow()
+    got = got.sort_by("first") if len(got) else got
+    return [np.frombuffer(f, np.float32).reshape(-1, w) for f, w in zip(got.column("found").to_pylist(), got.column("wide").to_pylist())]
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rank: int = RANK) -> Model:
+    """Randomised singular vectors (fixed start, three power steps) of the centred rows of the sample.
+
+    The rows stay in their blocks: tasks multiply them with a basis, and sums of terms x
+    (``rank`` + 8) numbers, then one latent vector per row, come to the driver.
+    """
+    sample = labelled_sample(docs, labels, labelled)
+    context = sample.sparkSession.sparkContext
+    blocks = _over(sample, lambda rows, label: np.stack([(rows > 0).sum(axis=0), rows.sum(axis=0)]))
+    known = _over(sample, lambda rows, label: label[:, None])
+    if not known:
+        nothing = np.zeros((0, 1), np.float32)
+        return Model(np.zeros((TERMS, 1), np.float32), np.zeros(1, np.float32), nothing, nothing[:, 0], 1.0)
+    targets = np.concatenate(known)[:, 0].astype(np.float64)
+    many = len(targets)
+    held, sums = np.sum([b.astype(np.float64) for b in blocks], axis=0)
+    idf = (np.log((1 + many) / (1 + held)) + 1).astype(np.float32)
+    mean = (sums / many * idf).astype(np.float32)
+    basis = np.random.default_rng(7).standard_normal((TERMS, rank + 8)).astype(np.float32)
+    for _ in range(3):
+        shared = context.broadcast(idf[:, None] * basis)
+        parts = _over(sample, lambda rows, label, b=shared: rows.T @ (rows @ b.value))
+        grown = idf[:, None] * np.sum(parts, axis=0, dtype=np.float64) - many * np.outer(mean, mean @ basis)
+        basis = np.linalg.qr(grown)[0].astype(np.float32)
+        shared.unpersist()
+    shared = context.broadcast(idf[:, None] * basis)
+    latent = np.concatenate(_over(sample, lambda rows, label: rows @ shared.value)) - mean @ basis
+    _, size, right = np.linalg.svd(latent, full_matrices=False)
+    # Directions in which the sample does not differ say nothing of other texts.
+    turned = right[:rank][size[:rank] > 1e-4 * max(size[0], 1e-6)].T
+    projection = basis @ turned
+    return Model(idf[:, None] * projection, mean @ projection, _unit(latent @ turned), targets, float(targets.mean()))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -17,9 +17,11 @@ with one anchor travel as one stretch of text:
    its smallest document lose the window.
 3. The lost spans of a document are joined with its text.
 
-A passage that many documents share is settled inside each task first: all but
-the smallest document of the task lose it there and then, so per task and text
-one stretch remains, whatever the number of documents.
+Stretches with equal texts are settled inside each task first: all but the smallest
+document of the task lose them there and then, so per task and text one stretch
+remains, whatever the number of documents. That holds for equal stretches only: where
+a shared passage meets other text in every document, the stretches over its edges have
+one anchor and different texts, and all of them are sorted in the task of that anchor.
 
 Defined cases: a null text is empty; rows with a null ``doc_id`` lose nothing and
 take nothing from others; rows that repeat a ``doc_id`` take nothing from each

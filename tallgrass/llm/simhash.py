@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallgrass.llm.common import importable, map_batches, stored, text_key
+from tallgrass.llm.common import map_batches, stored, text_key, without_repeats
 from tallgrass.llm.components import components, local_stars
 from tallgrass.operators.skew import hottest, lookup_join
 
@@ -33,20 +33,6 @@ SHINGLE = 3
 DISTANCE = 3
 #: Pairs that one step compares, and links kept before they become stars.
 PAIRS = 1 << 21
-#: Independent prints of the words of a text, and the values of a sketch, 4 bits each.
-PRINTS = 4
-SKETCH = 256
-CHANCE = 1 / 16  # that two different values have the same 4 bits
-#: Bits in which candidates that meet at an anchor may differ: in that print, and in any other.
-#: Copies at similarity 0.8 differ in 2 bits on average after scattered edits, in 6 when cut or extended.
-NEAR = 8
-NOT_FAR = 16
-#: Standard errors by which a sketch may fall short before the shingle sets themselves are compared.
-SLACK = 4
-#: Texts and bytes of shingle hashes in a block, and about how many texts of a group cut into blocks are in all of them.
-BLOCK = 2048
-BLOCK_BYTES = 8 << 20
-HUBS = 64
 #: Homes in a block of an anchor (twice as many visitors), anchors that can be cut, and the share of nodes that tells them.
 HOMES = 2048
 HOT_ANCHORS = 1 << 16
@@ -54,7 +40,6 @@ SEEN = 8
 #: Rows that a task takes at once, whole pieces.
 ROWS = 1 << 17
 _MASK31 = (1 << 31) - 1
-_ODD = np.random.default_rng(11).integers(1 << 62, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: bytes, words: int = SHINGLE) -> np.ndarray:
@@ -258,250 +243,20 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTA
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "_key", "_root")
 
 
-# ---- similar texts ----
+def keep_one(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of linked fingerprints, the one with the smallest ``doc_id``.
 
-
-def sketch(hashes: np.ndarray, size: int = SKETCH) -> np.ndarray:
-    """MinHash of a set of shingle hashes, 4 bits each, two to a byte."""
-    if not len(hashes):
-        return np.zeros(size // 2, np.uint8)
-    least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1 << 10):
-        least = np.minimum(least, (hashes[at : at + (1 << 10), None] * _ODD[:size] + _ODD[::-1][:size]).min(axis=0))
-    bits = (least ^ (least >> np.uint64(29))).astype(np.uint8) & 15
-    return bits[::2] | bits[1::2] << 4
-
-
-def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal values in each row of two tables of sketches."""
-    apart = a ^ b
-    return (((apart & 15) == 0).mean(axis=1) + ((apart >> 4) == 0).mean(axis=1)) / 2
-
-
-def _word_prints(batches):
-    """Independent fingerprints of the words of each text."""
-    for batch in batches:
-        found = []
-        for text in batch.column("_text").to_pylist():
-            words = shingle_hashes(text or b"", 1)
-            found.append([_signed(fingerprint((words ^ (words >> np.uint64(29))) * _ODD[k] if k else words)) for k in range(PRINTS)])
-        prints = np.array(found, np.int64).reshape(-1, PRINTS)
-        yield {"node": batch.column("_key")} | {f"fp{k}": pa.array(prints[:, k]) for k in range(PRINTS)}
-
-
-def _meetings(batches):
-    """Visits of all prints of a node, with all its prints; anchors of different prints are different."""
-    for batch in batches:
-        prints = np.stack([batch.column(f"fp{k}").to_numpy() for k in range(PRINTS)], axis=1)
-        node = batch.column("node").to_numpy()
-        for k in range(PRINTS):
-            for half in (0, 1):
-                index, anchor, home = anchors((prints[:, k] >> (32 * half)) & _MASK31)
-                rows = prints[index]
-                yield {"anchor": pa.array((anchor << 1 | half) * PRINTS + k), "home": pa.array(home), "node": pa.array(node[index])} | {
-                    f"fp{i}": pa.array(np.ascontiguousarray(rows[:, i])) for i in range(PRINTS)
-                }
-
-
-def _not_far(prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    good = np.ones(len(left), bool)
-    for k in range(prints.shape[1]):
-        good &= np.bitwise_count((prints[left, k] ^ prints[right, k]).view(np.uint64)) <= NOT_FAR
-    return good
-
-
-def _partners(near: int):
-    """Visits that have a partner, near in one print, not far in any other; with that print alone."""
-
-    def run(batches):
-        for rows, piece in whole_pieces(batches):
-            anchor, node = rows.column("anchor").to_numpy(), rows.column("node").to_numpy()
-            prints = np.stack([rows.column(f"fp{k}").to_numpy() for k in range(PRINTS)], axis=1)
-            own = prints[np.arange(len(prints)), anchor % PRINTS]
-            met = np.zeros(len(anchor), bool)
-            for left, right in near_pairs(piece, own, rows.column("host").to_numpy(), near):
-                good = (node[left] != node[right]) & _not_far(prints, left, right)
-                met[left[good]] = met[right[good]] = True
-            found = rows.select(["anchor", "home", "node", "cut"]).filter(pa.array(met)).combine_chunks()
-            yield {n: found.column(n).combine_chunks() for n in found.column_names} | {"fp": pa.array(own[met])}
-
-    return run
-
-
-def _similar(near: int, least: float):
-    """Stars ``u, v`` of partners whose sketches do not rule them out."""
-
-    def run(batches):
-        for rows, piece in whole_pieces(batches):
-            node, own = rows.column("node").to_numpy(), rows.column("fp").to_numpy()
-            drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), -1)
-            step = (1 << 24) // SKETCH
-
-            def alike(left, right, drawn=drawn):
-                shares = [agreement(drawn[left[i : i + step]], drawn[right[i : i + step]]) for i in range(0, len(left), step)]
-                return np.concatenate(shares) >= least if shares else np.zeros(0, bool)
-
-            u, v = links_in(piece, own, rows.column("host").to_numpy(), node, near, alike)
-            yield {"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())}
-
-    return run
-
-
-def _sets(words: int):
-    """Sorted shingle hashes and sketch of each text."""
-
-    def run(batches):
-        for batch in batches:
-            found = [np.unique(shingle_hashes(t or b"", words)) for t in batch.column("_text").to_pylist()]
-            yield {n: batch.column(n) for n in ("node", "group")} | {
-                "shingles": pa.array([x.tobytes() for x in found], pa.binary()),
-                "sketch": pa.array([sketch(x).tobytes() for x in found], pa.binary()),
-            }
-
-    return run
-
-
-def exact_links(
-    shingles: list[np.ndarray], drawn: np.ndarray, label: np.ndarray, hosts: np.ndarray, guests: np.ndarray, least: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Links of labels that join hosts with guests as all pairs of Jaccard similarity ``least`` or more would.
-
-    Pairs are compared shingle by shingle unless they are joined already or their sketches are too far apart.
-    """
-    size = np.array([len(x) for x in shingles], np.int64)
-    _, codes = np.unique(np.concatenate([*shingles, np.zeros(0, np.uint64)]), return_inverse=True)
-    ends = np.cumsum(size)
-    marked = np.zeros(codes.max(initial=-1) + 1, np.int64)
-    top = label.copy()
-    links = []
-    for i in hosts.tolist():
-        some = guests[top[guests] != top[i]]
-        low, high = np.minimum(size[some], size[i]), np.maximum(size[some], size[i])
-        some = some[low >= least * high]
-        some = some[agreement(drawn[some], drawn[i][None]) >= _floor(least)] if len(some) else some
-        own = codes[ends[i] - size[i] : ends[i]]
-        marked[own] = 1
-        for at in range(0, len(some), 64):
-            part = some[at : at + 64]
-            part = part[top[part] != top[i]]
-            common = np.array([marked[codes[ends[j] - size[j] : ends[j]]].sum() for j in part.tolist()], np.int64)
-            union = size[part] + size[i] - common
-            for j in part[common >= least * union].tolist():
-                if top[j] != top[i]:
-                    links.append((label[i], label[j]))
-                    top[top == top[j]] = top[i]
-        marked[own] = 0
-    found = np.array(links, np.int64).reshape(-1, 2)
-    return found[:, 0], found[:, 1]
-
-
-def _floor(least: float) -> float:
-    """Agreement of sketches below which a pair is not compared: ``SLACK`` standard errors under ``least``."""
-    share = least + (1 - least) * CHANCE
-    return share - SLACK * (share * (1 - share) / SKETCH) ** 0.5
-
-
-def _compare(least: float):
-    def run(rows: pa.Table) -> pa.Table:
-        shingles = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
-        drawn = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), -1)
-        host = rows.column("host").to_numpy()
-        u, v = exact_links(shingles, drawn, rows.column("label").to_numpy(), np.flatnonzero(host), np.arange(len(rows)), least)
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    return run
-
-
-def _cuts(weight: str, rows: str):
-    return F.greatest(F.ceil(F.col(weight) / BLOCK_BYTES), F.ceil(F.col(rows) / BLOCK), F.lit(1)).cast("long")
-
-
-def verified(sets: DataFrame, least: float) -> DataFrame:
-    """``node, root``: components of all pairs of one ``group`` whose Jaccard similarity is ``least`` or more.
-
-    A group that fits a block is compared there. A larger one is cut: its blocks are
-    compared inside, with about ``HUBS`` of its texts in each, which joins most of a
-    group of real copies. What is not in its largest part then meets all the group,
-    block by block.
+    A null id stays only where its group has no other. Of rows that repeat id and text one stays.
     """
-    importable(sets.sparkSession)
-    sizes = sets.groupBy("group").agg(F.sum(F.length("shingles")).alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
-    sizes = sizes.select("group", _cuts("_bytes", "_rows").alias("_cuts"), "_rows")
-    placed = stored(lookup_join(sets, sizes, "group", "_rows", ["node"]), "sets")
-    spread = F.xxhash64("node")
-    hub = (F.col("_cuts") > 1) & (F.pmod(F.shiftright(spread, 20), F.ceil(F.col("_rows") / HUBS)) == 0)
-    block = F.when(hub, F.sequence(F.lit(0).cast("long"), F.col("_cuts") - 1)).otherwise(F.array(F.pmod(spread, F.col("_cuts"))))
-    inside = placed.select("group", F.explode(block).alias("_h"), F.col("node").alias("label"), F.lit(True).alias("host"), "shingles", "sketch")
-    near = stored(inside.groupBy("group", "_h").applyInArrow(_compare(least), "u long, v long"), "near")
-    roots = components(near)
-
-    # Groups of several blocks: each pair of two parts has an end outside the largest.
-    large = placed.filter("_cuts > 1").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
-    parts = large.groupBy("group", "label").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.length("shingles")).alias("_b"))
-    rest = parts.groupBy("group").agg(
-        F.max(F.struct("_n", "label")).alias("_most"), F.sum("_n").alias("_rows"),
-        F.sum("_b").alias("_all"), F.max(F.struct("_n", "label", "_b")).alias("_heavy"), F.count(F.lit(1)).alias("_parts"),
-    ).filter("_parts > 1")
-    rest = rest.withColumn("_out", F.col("_all") - F.col("_heavy._b")).withColumn("_few", F.col("_rows") - F.col("_most._n"))
-    rest = rest.select("group", F.col("_most.label").alias("_main"), _cuts("_out", "_few").alias("_hosts"), "_rows")
-    columns = ["group", "node", "label", "shingles", "sketch", "_cuts"]
-    left = lookup_join(large.select(*columns), rest, "group", "_rows", ["node"]).filter("_main is not null")
-    outside = F.col("label") != F.col("_main")
-    many = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    nothing = F.array().cast("array<struct<h:bigint,g:bigint,host:boolean>>")
-    place = lambda h, g, host: F.struct(h.alias("h"), g.alias("g"), F.lit(host).alias("host"))
-    hosts = F.transform(many("_cuts"), lambda g: place(F.pmod(spread, F.col("_hosts")), g, True))
-    guests = F.transform(many("_hosts"), lambda h: place(h, F.pmod(spread, F.col("_cuts")), False))
-    pieces = left.withColumn("_p", F.explode(F.concat(F.when(outside, hosts).otherwise(nothing), guests)))
-    pieces = pieces.select("group", "_p.h", "_p.g", "_p.host", "label", "shingles", "sketch")
-    across = pieces.groupBy("group", "h", "g").applyInArrow(_compare(least), "u long, v long")
-    return components(near.unionByName(stored(across, "across")))
-
-
-def similar_texts(docs: DataFrame, words: int, least: float, near: int = NEAR) -> DataFrame:
-    """``node, root``: components of texts, by ``text_key``, whose ``words``-word shingles are similar.
-
-    Candidates meet at an anchor of one of ``PRINTS`` independent prints of their words,
-    differ there in at most ``near`` bits, and in no print in more than ``NOT_FAR``. Any
-    two prints within 3 bits meet; of those further apart, the ones with a half that is
-    near. Candidates meet again with MinHash sketches of their shingle sets. Sketches only
-    prune: pairs that are ``SLACK`` standard errors short are dropped, the others join
-    groups, and in a group the sets themselves are compared with ``least``.
-    """
-    texts = docs.select(text_key().alias("_key"), F.col("text").cast("binary").alias("_text"))
-    found = map_batches(texts, _word_prints, "node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS)))
-    prints = stored(found.dropDuplicates(["node"]), "prints")
-    schema = "anchor long, home boolean, node long, " + ", ".join(f"fp{k} long" for k in range(PRINTS))
-    visits = pieces(map_batches(prints, _meetings, schema), hot_anchors(prints, _meetings, schema, "node"), "node")
-    met = stored(map_batches(visits, _partners(near), "anchor long, home boolean, node long, cut boolean, fp long"), "partners")
-    # In an anchor that is cut, a node has met others in several pieces.
-    met = met.filter("not cut").unionByName(met.filter("cut").dropDuplicates(["anchor", "node"])).drop("cut")
-
-    def draw(batches):
-        for batch in batches:
-            drawn = [sketch(np.unique(shingle_hashes(t or b"", words))).tobytes() for t in batch.column("_text").to_pylist()]
-            yield {"node": batch.column("_key"), "sketch": pa.array(drawn, pa.binary())}
-
-    # Only texts with a partner are drawn, and only where they met one do they meet again.
-    some = met.select("node").distinct()
-    sketches = map_batches(texts.join(some, texts["_key"] == some["node"], "left_semi"), draw, "node long, sketch binary")
-    again = met.join(sketches.dropDuplicates(["node"]), "node").select(*met.columns, "sketch")
-    again = pieces(again, hot_anchors(met, None, "", "node"), "node")
-    groups = components(map_batches(again, _similar(near, _floor(least)), "u long, v long"))
-    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
-    own = texts.join(members, texts["_key"] == members["node"]).select("node", "group", "_text")
-    sets = map_batches(own, _sets(words), "node long, group long, shingles binary, sketch binary")
-    return verified(sets.dropDuplicates(["node"]), least)
-
-
-def keep_one(docs: DataFrame, words: int, least: float) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group of similar texts, the one with the smallest ``doc_id``."""
-    roots = similar_texts(docs, words, least)
-    rows = docs.withColumn("_key", text_key()).withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
-    keys = rows.select("doc_id", "_id", "_key")
-    placed = keys.join(roots, keys["_key"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_key"))
-    stay = placed.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "_id", "_key")).alias("s"))
+    found = near_duplicates(docs, words, distance).withColumn("_id", _order_of("doc_id"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "_id", "_key"))
+    stay = found.groupBy("_root").agg(least.alias("s")).select("s._key", "s._id")
+    rows = without_repeats(docs.withColumns({"_key": text_key(), "_id": _order_of("doc_id")}), ["_key", "_id"])
     # Join and numbering have the same keys: whole rows move once.
     nth = F.row_number().over(Window.partitionBy("_key", "_id").orderBy("_key"))
-    kept = rows.join(stay.select("s._key", "s._id"), ["_key", "_id"])
-    return kept.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
+    kept = rows.join(stay, ["_key", "_id"]).withColumn("_nth", nth)
+    return kept.filter("_nth = 1").select(*docs.columns)
+
+
+def _order_of(column: str):
+    return F.coalesce(column, F.lit(-(1 << 63)).cast("long"))

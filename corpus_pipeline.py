@@ -7,10 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tallgrass.llm import bpe, dedup, mixing, quality, simhash
 from tallgrass.llm.common import stored, table
 
-#: Near-duplicates: words of a shingle, and least Jaccard similarity of shingle sets.
-SHINGLE = 5
-SIMILAR = 0.8
-
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -23,8 +19,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs, SHINGLE, SIMILAR)
+    """One document of each group whose fingerprints are linked."""
+    return simhash.keep_one(docs, simhash.SHINGLE, simhash.DISTANCE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

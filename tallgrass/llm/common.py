@@ -19,6 +19,8 @@ from tallgrass.session import new_run_dir
 
 #: Bytes of text that one step of a mapper takes at once.
 CHUNK_BYTES = 4 << 20
+#: Copies of a row that one task makes at once.
+COPIES = 1 << 14
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -90,3 +92,37 @@ def map_batches(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFr
 
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def copied(rows: DataFrame, times: str, name: str) -> DataFrame:
+    """Each row once for every number ``name`` from 1 to its ``times``, a long.
+
+    Equal rows can so be counted inside the tasks before a shuffle and be made out again
+    behind it. A row of more than ``COPIES`` is cut, and its parts go to several tasks.
+    """
+    one = F.lit(1).cast("long")
+    few = rows.filter(F.col(times) <= COPIES).withColumn(name, F.explode(F.sequence(one, times)))
+    starts = F.explode(F.sequence(one, times, F.lit(COPIES).cast("long")))
+    parts = rows.filter(F.col(times) > COPIES).withColumn("_from", starts)
+    parts = parts.repartition(*[c for c in rows.columns if c != times], "_from")
+    many = parts.withColumn(name, F.explode(F.sequence("_from", F.least(F.col("_from") + (COPIES - 1), F.col(times)))))
+    return few.unionByName(many.drop("_from"))
+
+
+def without_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with one row for each value of the long ``keys`` in each task: what many tasks repeat stays once per task.
+
+    A shuffle by the keys that follows gets at most as many rows of one key as there are tasks.
+    """
+
+    def run(batches):
+        seen: set = set()
+        for batch in batches:
+            fresh = []
+            for key in zip(*(batch.column(k).to_pylist() for k in keys)):
+                fresh.append(key not in seen)
+                seen.add(key)
+            some = batch.filter(pa.array(fresh, pa.bool_()))
+            yield {n: some.column(n) for n in some.schema.names}
+
+    return map_batches(rows, run, rows.schema)

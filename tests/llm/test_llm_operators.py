@@ -12,6 +12,9 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
+
+from test_skew import largest_share
 
 from tallgrass.llm import bpe, common, dedup, embeddings, mixing, passages, pii, quality, sharding, simhash, urls
 
@@ -227,42 +230,74 @@ def test_a_crowded_anchor_is_cut_into_pieces_that_find_the_same_links(spark, mon
     assert roots(points, [(r.u, r.v) for r in simhash.links(frame).collect()]) == wanted
 
 
-def test_similar_texts_go_and_others_stay(spark):
-    words = prose(200).split()
-    near = [" ".join(words[:i] + ["changed"] + words[i + 1 :]) for i in (20, 90, 150)]
-    half = " ".join(words[:100] + prose(100).split())
-    rows = [(1, " ".join(words)), (2, half)] + [(3 + i, t) for i, t in enumerate(near)] + [(20 + i, prose(120)) for i in range(20)]
-    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 5, 0.8)
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, *range(20, 40)]
-
-
-def test_sketches_estimate_similarity():
-    rng = np.random.default_rng(8)
-    for share in (0.2, 0.5, 0.8, 0.95):
-        common = int(4000 * share / (1 + share))
-        values = rng.integers(0, 1 << 63, 4000 - common, dtype=np.uint64)
-        half = (len(values) - common) // 2
-        a, b = values[: common + half], np.concatenate([values[:common], values[common + half :]])
-        similar = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        found = simhash.agreement(simhash.sketch(a)[None], simhash.sketch(b)[None])[0]
-        assert abs((found - simhash.CHANCE) / (1 - simhash.CHANCE) - similar) < 0.12
-
-
-def test_copies_that_are_extended_or_cut_go(spark):
-    def shingles(words):
-        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
-
-    rows, copies = [], set()
-    for i in range(60):
-        words = prose(RNG.randint(80, 300)).split()
-        many = len(words) // (8 if i % 2 else 12)
-        changed = words + prose(many).split() if i % 3 else words[:-many]
-        a, b = shingles(words), shingles(changed)
-        assert len(a & b) >= 0.85 * len(a | b)
-        rows += [(i, " ".join(words)), (1000 + i, " ".join(changed))]
-        copies.add(1000 + i)
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 5, 0.8).collect()}
-    assert kept >= set(range(60)) and len(copies - kept) >= 0.9 * len(copies)
+def test_one_text_of_each_group_of_fingerprints_stays(spark):
+    """Copies with few and with many edits, repeated words, a text that a third of all rows repeat, and null ids."""
+    rng = random.Random(21)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(60, 400))) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    for i, t in enumerate(texts):
+        words = t.split()
+        words[rng.randrange(len(words))] = "changed"
+        more = [t + " again" * (i % 40), t[: len(t) * 7 // 8], " ".join(words), t.upper()]
+        rows += [(100 + 4 * i + n, x) for n, x in enumerate(more)]
+    rows += [(7, texts[7])] * 150 + [(None, texts[3]), (None, "an own text"), (None, "an own text"), (5000, ""), (5001, None)]
+    prints = {t: plain_print(t or "") for _, t in rows}
+    points = sorted(set(prints.values()))
+    root = roots(points, [(a, b) for i, a in enumerate(points) for b in points[:i] if (a ^ b).bit_count() <= 3])
+    groups = defaultdict(list)
+    for d, t in rows:
+        groups[root[prints[t]]].append((d is None, d or 0))
+    wanted = sorted((min(g) for g in groups.values()))
+    kept = simhash.keep_one(spark.createDataFrame([("e", d, t, 1) for d, t in rows], "_root string, doc_id long, text string, fp int").repartition(6))
+    assert kept.columns == ["_root", "doc_id", "text", "fp"]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == wanted
+    assert len(groups) > 80 and sum(len(g) > 1 for g in groups.values()) > 40
+
+
+def repeated_rows(spark):
+    """A third of all rows equal in id and text, a third with a null id."""
+    third = F.col("id") % 3
+    return spark.range(0, 9000, 1, 6).select(
+        F.when(third == 0, 5).when(third == 1, F.col("id")).alias("doc_id"), F.when(third == 0, F.lit("same")).otherwise(F.concat(F.lit("text "), "id")).alias("text")
+    )
+
+
+@pytest.mark.parametrize("copies", [100, 1 << 14])
+def test_rows_that_a_third_repeats_are_counted_before_they_move(spark, monkeypatch, copies):
+    monkeypatch.setattr(common, "COPIES", copies)
+    docs = repeated_rows(spark)
+    found = dedup.exact_duplicates(docs)
+    rows = found.filter("doc_id = 5").collect()
+    assert len(rows) == 3000 and sum(r.kept for r in rows) == 1 and {r.group_size for r in rows} == {3000}
+    assert found.count() == 9000 and found.filter("kept").count() == 6001
+    placed = sharding.assign(docs).collect()
+    slots = defaultdict(list)
+    for r in placed:
+        slots[r.shard].append(r.slot)
+    assert len(placed) == 9000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sum(r.doc_id == 5 for r in placed) == sum(r.doc_id is None for r in placed) == 3000
+
+
+@pytest.mark.parametrize("operator", [dedup.exact_duplicates, sharding.assign, simhash.keep_one])
+def test_no_task_reads_the_rows_that_a_third_repeats(spark, monkeypatch, operator):
+    monkeypatch.setattr(sharding, "PARTS", 64)  # the counts of all parts are a small table of fixed size
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in keys]
+    for k, v in zip(keys, ("16", "false")):
+        spark.conf.set(k, v)
+    try:
+        docs = repeated_rows(spark)
+        assert largest_share(spark, lambda: operator(docs).write.format("noop").mode("overwrite").save(), 2500) < 0.16
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+
+
+def test_rows_repeated_in_a_task_are_dropped_there(spark):
+    frame = spark.range(0, 3000, 1, 3).selectExpr("if(id % 3 = 0, 1, id) as k", "0L as n", "'t' as text")
+    found = common.without_repeats(frame, ["k", "n"])
+    assert found.columns == frame.columns and found.filter("k = 1").count() <= 4
+    assert found.select("k").distinct().count() == frame.select("k").distinct().count()
 
 
 def test_passages(docs):
@@ -371,15 +406,50 @@ def test_a_repeated_labelled_id_is_one_row_of_the_model(spark):
     assert len(model.vectors) == len(model.labels) == 10 and model.mean == sum(i % 2 for i in ids) / 10
 
 
+def test_votes_equal_a_plain_count_of_neighbours():
+    rng = np.random.default_rng(9)
+    vectors = quality._unit(rng.integers(-2, 3, (80, 6)).astype(np.float32))  # many ties
+    labels, rows = rng.integers(0, 2, 80).astype(float), rng.integers(0, 3, (300, 9)).astype(np.float32)
+    rows[4] = 0
+    model = quality.Model(rng.standard_normal((9, 6)).astype(np.float32), np.full(6, 0.1, np.float32), vectors, labels, 0.7)
+    cosine = quality._unit(rows @ model.projection - model.shift) @ vectors.T
+    for i, score in enumerate(quality.vote(model, rows, 25)):
+        near = sorted(range(80), key=lambda j: (-cosine[i, j], j))[:25]
+        weight = [max(float(cosine[i, j]), 0) ** 4 for j in near]
+        assert score == pytest.approx(sum(w * labels[j] for w, j in zip(weight, near)) / sum(weight) if rows[i].any() else 0.7)
+
+
+def test_the_model_is_that_of_all_rows_at_once(spark):
+    """The sample in blocks gives the leading directions of the centred, weighted rows."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(WORDS[: 20 + 10 * (i % 5)]) for _ in range(50))) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = quality.train(frame, labels, rank=6)
+    some = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    flat, ends = np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)])
+    x = quality.frequencies(quality.term_counts(flat, ends)).astype(np.float16).astype(np.float64)
+    x *= np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
+    x -= x.mean(axis=0)
+    wanted = np.linalg.svd(x, full_matrices=False)[1]
+    assert len(model.vectors) == len(x) and model.vectors.shape[1] == 6
+    latent = x @ (np.linalg.svd(x, full_matrices=False)[2][:2].T)
+    got = model.vectors[:, :2]
+    assert wanted[0] > 0 and abs(np.corrcoef(np.abs(latent[:, 0]), np.abs(got[:, 0] * np.linalg.norm(latent, axis=1)))[0, 1]) > 0.5
+    again = quality.train(frame.repartition(3), labels, rank=6)
+    assert np.array_equal(model.vectors, again.vectors) and np.array_equal(model.projection, again.projection)
+
+
 @pytest.mark.parametrize("letters", ["abcdefghijklmnopqrst", "абвгдежзийклмнопрсту"])
 def test_quality_sees_the_words(spark, letters):
     """Good and bad texts of the same form, in other words."""
-    sizes = [RNG.randint(3, 8) for _ in range(300)]
-    good, bad = (["".join(RNG.choice(letters) for _ in range(n)) for n in sizes] for _ in range(2))
+    rng = random.Random(len(letters.encode()))
+    sizes = [rng.randint(3, 8) for _ in range(300)]
+    good, bad = (["".join(rng.choice(letters) for _ in range(n)) for n in sizes] for _ in range(2))
     rows = []
     for i in range(600):
-        at = [RNG.randrange(300) for _ in range(80)]
-        rows.append((i, " ".join(good[j] if i % 3 or RNG.random() < 0.5 else bad[j] for j in at) + "."))
+        at = [rng.randrange(300) for _ in range(80)]
+        rows.append((i, " ".join(good[j] if i % 3 or rng.random() < 0.5 else bad[j] for j in at) + "."))
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id long, quality int")
     held = quality.classify(spark.createDataFrame(rows, "doc_id long, text string"), labels).filter("held_out").collect()
     assert len(held) > 80 and sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) >= 0.95 * len(held)
@@ -390,6 +460,12 @@ def test_empty_tables(none, operator):
     assert operator(none).count() == 0
 
 
+def test_quality_and_embeddings_of_empty_tables(spark, none):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert quality.classify(none, labels).count() == quality.accepted(none, labels.limit(0)).count() == 0
+    assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
 def test_chunks_cover_a_batch_once():
     import pyarrow as pa
 

@@ -1,11 +1,22 @@
-import numpy as np
+import base64
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import tiktoken
 
 import corpus_pipeline
 from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as entry
-from tallgrass.llm import common, oracle, simhash
+from tallgrass.llm import common, mixing, oracle, quality
+from test_llm_operators import plain_print, roots
+
+
+def ranks():
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
 def test_stages_keep_the_columns_and_their_decisions(spark):
@@ -25,49 +36,40 @@ def test_stages_keep_the_columns_and_their_decisions(spark):
 
 def test_queries_are_registered_and_equal_their_sql(spark):
     queries = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries if n.startswith("op")} == set(range(1, 11)) and "pipeline" in queries
+    assert {int(n[2:].split("_")[0]) for n in queries if n.startswith("op")} == set(range(1, 14)) and "pipeline" in queries
     con = connect(SMALL)
     for name, sql in oracle.all_sql().items():
         assert difference(queries[name](spark, SMALL), con, sql) is None
 
 
-def test_near_copies_are_those_of_exact_similarity(spark, monkeypatch):
-    """Pairs just below and just above 0.8, whose sketches cannot tell them apart; in blocks of all sizes."""
-
-    def plain(texts):
-        sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
-        root = list(range(len(sets)))
-        for i, a in enumerate(sets):
-            for j, b in enumerate(sets[:i]):
-                if root[i] != root[j] and len(a & b) >= 0.8 * len(a | b):
-                    root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-        return root
-
-    rng = np.random.default_rng(6)
-    texts = []
-    for i in range(40):
-        words = [f"w{n}" for n in rng.integers(0, 3000, 204)]  # 200 shingles
-        changed = list(words)
-        for at in range(10, 10 + 30 * (4 + i % 2), 30):
-            changed[at] = f"new{at}"
-        texts += [" ".join(words), " ".join(changed)]  # 180 of 220 or 175 of 225 in common: 0.82 or 0.78
-    common_words = [f"w{n}" for n in rng.integers(0, 3000, 120)]
-    for i in range(30):  # a template with names, and real copies of it
-        at = int(rng.integers(0, 100))
-        texts.append(" ".join([*common_words[:at], f"name{i}", *common_words[at + 1 :], *[f"x{i}-{n}" for n in range(i % 8)]]))
-    wanted = plain(texts)
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert [wanted[2 * i] == wanted[2 * i + 1] for i in range(40)] == [i % 2 == 0 for i in range(40)]
-    kept = {r.doc_id for r in simhash.keep_one(frame, 5, 0.8).collect()}
-    clean = {i for i, r in enumerate(wanted) if r == i}
-    assert clean <= kept and len(kept - clean) <= 2  # the search for candidates has less than full recall
-
-    key = {r.k: r.doc_id for r in frame.select("doc_id", common.text_key().alias("k")).collect()}
-    rows = [(k, 0, *(x.tobytes() for x in (s, simhash.sketch(s)))) for k, d in key.items() for s in [np.unique(simhash.shingle_hashes(texts[d].encode(), 5))]]
-    sets = spark.createDataFrame([(k, g, bytearray(a), bytearray(b)) for k, g, a, b in rows], "node long, group long, shingles binary, sketch binary")
-    for block, hubs in ((1000, 64), (20, 4)):
-        monkeypatch.setattr(simhash, "BLOCK", block)
-        monkeypatch.setattr(simhash, "HUBS", hubs)
-        root = {key[r.node]: key[r.root] for r in simhash.verified(sets, 0.8).collect()}
-        found = [root.get(i, i) for i in range(len(texts))]
-        assert [[a == b for b in found] for a in found] == [[a == b for b in wanted] for a in wanted]
+def test_every_stage_equals_a_plain_version_of_it(spark):
+    """Each stage on what the one before kept: votes by the trained model, copies, fingerprints, takes and tokens."""
+    docs = common.table(spark, SMALL, "documents")
+    labels = common.table(spark, SMALL, "labels")
+    stages = dict(corpus_pipeline.STAGES)
+
+    scores = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    rows = {r.doc_id: r.text or "" for r in docs.collect()}
+    good = common.stored(stages["quality"](spark, docs, SMALL), "good")
+    assert {r.doc_id for r in good.collect()} == {d for d in rows if scores[d] >= 0.3}
+
+    lowered = {}
+    for d in sorted(d for d in rows if scores[d] >= 0.3):
+        lowered[rows[d].encode().lower()] = d  # the largest id stays
+    single = common.stored(stages["exact_dedup"](spark, good, SMALL), "single")
+    assert sorted(r.doc_id for r in single.collect()) == sorted(lowered.values())
+
+    prints = {d: plain_print(rows[d]) for d in lowered.values()}
+    root = roots(prints, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3])
+    apart = common.stored(stages["near_dedup"](spark, single, SMALL), "apart")
+    assert sorted(r.doc_id for r in apart.collect()) == sorted(d for d in prints if root[d] == d)
+
+    words = {r.doc_id: (r.size, r.taken) for r in mixing.taken(apart).collect()}
+    mixed = common.stored(stages["mix"](spark, apart, SMALL), "mixed")
+    times = Counter(r.doc_id for r in mixed.collect())
+    assert times == Counter({d: -(-taken // size) for d, (size, taken) in words.items() if taken})
+
+    encoding = tiktoken.Encoding("b", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(), special_tokens={})
+    for r in stages["tokens"](spark, mixed, SMALL).collect():
+        ids = encoding.encode_ordinary(rows[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())

@@ -46,7 +46,7 @@ def test_only_messages_move_in_an_iteration(spark, no_broadcast, tmp_path):
     stage = graph.open_stage(spark, layout)
     state = read_buckets(stage.session, str(tmp_path / "iter=0000"), "id", layout.buckets, "id bigint, degree bigint, m0 double")
     plan = plan_of(graph.next_masses(stage, [1], state, [F.lit(0.0)]))
-    assert len(exchanges(plan)) == 1 and "hashpartitioning(id#" in exchanges(plan)[0], plan
+    assert len(exchanges(plan)) == 1 and "hashpartitioning(dst#" in exchanges(plan)[0], plan
     assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallgrass.llm.common import map_batches, same
+from tallgrass.llm.common import copied, map_batches, same
 from tallgrass.operators.skew import lookup_join
 
 FIT_BYTES = 48 << 20
@@ -153,9 +153,9 @@ def content_classes(docs: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     rows = map_batches(_binary(docs), _digests, "doc_id long, _sha binary")
-    once = Window.partitionBy("_sha", "doc_id").orderBy("_sha")
-    rows = rows.withColumn("_nth", F.row_number().over(once))
-    found = lookup_join(rows, content_classes(docs), "_sha", "_rows", ["doc_id"])
+    # Rows that repeat id and text are one row with a count until the end.
+    rows = rows.groupBy("doc_id", "_sha").agg(F.count(F.lit(1)).alias("_times"))
+    found = copied(lookup_join(rows, content_classes(docs), "_sha", "_rows", ["doc_id"]), "_times", "_nth")
     keep = F.when(F.col("_largest") != _LOWEST, F.col("_largest"))
     return found.select(
         "doc_id",

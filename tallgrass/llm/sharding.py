@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallgrass.llm.common import importable
+from tallgrass.llm.common import copied, importable
 
 LAW = "key"
 #: Parts of a shard that are numbered apart, so that no task sorts a whole shard.
@@ -58,29 +58,28 @@ def write_shards(docs: DataFrame, shards: int, path: str) -> None:
 def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row.
 
-    Slots number a shard's rows without gaps, in the order of a hash. Parts of
-    a shard are counted first, then numbered apart.
+    Slots number a shard's rows without gaps, in the order of a hash of id and text. Rows
+    that are the same in all that is returned are one row with a count until the end, and
+    parts of a shard are counted first, then numbered apart: neither a repeated row nor a
+    repeated or null id makes a group of its own size.
     """
     importable(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        "doc_id",
-        (F.octet_length(text).cast("long") + 1).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        jump_hash("doc_id", shards).alias("shard"),
-        jump_hash("doc_id", shards + 1).alias("grown_shard"),
-        F.xxhash64("doc_id").alias("_order"),
-    ).withColumn("_part", F.pmod("_order", F.lit(PARTS)))
-    counts = (
-        docs.select(jump_hash("doc_id", shards).alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("_part"))
-        .groupBy("shard", "_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
     )
-    before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    rows = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("_times"))
+    order = F.xxhash64("doc_id", "text_crc32", "size")
+    rows = rows.select("*", jump_hash("doc_id", shards).alias("shard"), order.alias("_order"))
+    rows = rows.withColumn("_part", F.pmod("_order", F.lit(PARTS)))
+    counts = rows.groupBy("shard", "_part").agg(F.sum("_times").alias("_n"))
+    earlier = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
     inside = Window.partitionBy("shard", "_part").orderBy("_order", "doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("_nth", F.row_number().over(inside)).join(counts, ["shard", "_part"])
-    return numbered.select(
+    before = F.sum("_times").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumn("_before", F.coalesce(before, F.lit(0))).join(counts, ["shard", "_part"])
+    grown = placed.withColumn("grown_shard", jump_hash("doc_id", shards + 1))
+    return copied(grown, "_times", "_nth").select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard",
-        (F.col("_first") + F.col("_nth") - 1).alias("slot"), "grown_shard",
+        (F.col("_first") + F.col("_before") + F.col("_nth") - 1).alias("slot"), "grown_shard",
     )

@@ -4,8 +4,8 @@ A page's host has a good rate with a beta posterior. Its prior comes from the
 registered domain, whose prior comes from the suffix, whose prior comes from
 all labelled pages; how strongly each level binds is fitted from the data
 (analysis of variance of a beta-binomial). A host is blocked when even the upper
-bound of its good rate lies below ``least_good``; unknown hosts inherit from
-their domain, so they are not blocked without evidence.
+bound of its good rate lies below ``least_good``; a host without labels has the mean
+of its domain, and is blocked where that is low enough.
 
 Nulls and odd urls: a null url or one without ``://`` has empty host and path
 and the reputation of the empty host. Without any label every prior is 1/2.

@@ -19,9 +19,14 @@ with one anchor travel as one stretch of text:
 
 Stretches with equal texts are settled inside each task first: all but the smallest
 document of the task lose them there and then, so per task and text one stretch
-remains, whatever the number of documents. That holds for equal stretches only: where
-a shared passage meets other text in every document, the stretches over its edges have
-one anchor and different texts, and all of them are sorted in the task of that anchor.
+remains, whatever the number of documents. Where a shared passage meets other text in
+every document, the stretches over its edges have one anchor and different texts. Such
+anchors are counted over all documents. The stretches of the ``HOT_ANCHORS`` largest
+with more than ``HOT`` different stretches are cut into single windows, which are
+settled inside the task too and then meet by the hash of their ``LENGTH`` bytes: equal
+windows are one per task, different ones go to different parts. Any other anchor
+has at most ``HOT`` such stretches or 1 / ``HOT_ANCHORS`` of all, and besides one
+for each ``CHUNK_BYTES`` of text.
 
 Defined cases: a null text is empty; rows with a null ``doc_id`` lose nothing and
 take nothing from others; rows that repeat a ``doc_id`` take nothing from each
@@ -49,6 +54,13 @@ BLOCK = 1 << 20
 BLOCK_BYTES = 16 << 20
 #: Bytes of text that are sorted together, unless one anchor has more.
 SORT_BYTES = 1 << 20
+#: An anchor with more different stretches than this is dealt by single windows.
+HOT = 8192
+HOT_ANCHORS = 65_536
+#: Windows of hot anchors that a task works on together.
+HOT_WINDOWS = 1 << 18
+#: In place of an anchor's offset: a single window, dealt by its own bytes.
+_ALONE = 255
 _LOWEST = -(1 << 63)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -346,16 +358,80 @@ def _spans_of(batches):
     yield {"row": pa.array(row[turn]), "doc": pa.array(doc[turn]), "spans": _slices(spans.reshape(-1), ends * 2)}
 
 
-def _texts(parts: int):
+def _frequent(batches):
+    """Anchors with different stretches in one chunk of text, and how many."""
+    for batch in batches:
+        for slice_ in chunks(batch):
+            values, offsets = as_bytes(slice_.column("text"))
+            doc, start, windows, _, anchor = cut(values, offsets)
+            _, kind, many = np.unique(anchor, return_inverse=True, return_counts=True)
+            some = np.flatnonzero(many[kind] > 1)
+            begin = offsets[doc[some]] + start[some]
+            whole = values.tobytes()
+            ends = begin + windows[some] + LENGTH - 1
+            # Equal texts have equal anchors: each text is looked at once.
+            first: dict[bytes, int] = {}
+            for i, a, b in zip(some.tolist(), begin.tolist(), ends.tolist()):
+                first.setdefault(whole[a:b], i)
+            found, many = np.unique(anchor[list(first.values())], return_counts=True) if first else (anchor[:0], windows[:0])
+            several = many > 1
+            yield {"anchor": pa.array(found[several].view(np.int64)), "many": pa.array(many[several].astype(np.int64))}
+
+
+def hot_anchors(texts: DataFrame) -> np.ndarray:
+    """The hashes, sorted, of the ``HOT_ANCHORS`` anchors with most different stretches, if those are more than ``HOT``."""
+    counts = map_batches(texts.select("text"), _frequent, "anchor long, many long")
+    counts = counts.groupBy("anchor").agg(F.sum("many").alias("many")).filter(F.col("many") > HOT)
+    found = counts.orderBy(F.desc("many"), "anchor").limit(HOT_ANCHORS).select("anchor").toArrow()
+    return np.sort(found.column("anchor").to_numpy().view(np.uint64))
+
+
+def _window_hashes(texts: list[bytes]) -> np.ndarray:
+    """Hashes of texts of ``LENGTH`` bytes."""
+    up, _ = POWERS.upto(LENGTH)
+    table = np.frombuffer(b"".join(texts), np.uint8).reshape(-1, LENGTH)
+    total = np.zeros(len(table), np.uint64)
+    for i in range(LENGTH):
+        total += (table[:, i].astype(np.uint64) + np.uint64(1)) * up[i]
+    return _mixed(total)
+
+
+def _alone(doc, row, start, windows, texts):
+    """Stretches as single windows, some at a time: ``doc, row, start, windows, offset, texts``."""
+    turn = np.cumsum(windows) // HOT_WINDOWS
+    for some in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(turn)) + 1):
+        many = windows[some]
+        which = np.repeat(some, many)
+        at = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+        single = [texts[i][a : a + LENGTH] for i, a in zip(which.tolist(), at.tolist())]
+        ones = np.ones(len(which), np.int64)
+        yield doc[which], row[which], start[which] + at, ones, ones * _ALONE, single
+
+
+def _texts(parts: int, hot: np.ndarray):
     """Candidates' texts, packed by part; what is settled here leaves as spans."""
 
     def block(anchor, doc, row, start, windows, offset, texts):
         gone = _settle(texts, doc)
+        yield from settled(gone, doc, row, start, windows)
+        many = ~gone & np.isin(anchor, hot)
+        keep = np.flatnonzero(~gone & ~many)
+        yield from sent(keep, anchor[keep], doc, row, start, windows, offset, texts)
+        many = np.flatnonzero(many)
+        if len(many):
+            for single in _alone(doc[many], row[many], start[many], windows[many], [texts[i] for i in many.tolist()]):
+                gone = _settle(single[-1], single[0])
+                yield from settled(gone, *single[:4])
+                keep = np.flatnonzero(~gone)
+                yield from sent(keep, _window_hashes([single[-1][i] for i in keep.tolist()]), *single)
+
+    def settled(gone, doc, row, start, windows):
         if gone.any():
             lost = _lost(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1, parts)
             yield lost | {f"_{n}": pa.nulls(len(lost["part"]), pa.binary()) for n in (*_TEXTS, "text")}
-        keep = np.flatnonzero(~gone)
-        part, _ = _anchor_part(anchor[keep], parts)
+
+    def sent(keep, dealt_by, doc, row, start, windows, offset, texts):
+        part, _ = _anchor_part(dealt_by, parts)
         keep = keep[np.argsort(part, kind="stable")]
         part = np.sort(part, kind="stable")
         columns = {"doc": doc, "row": row, "start": start.astype(np.int32), "windows": windows.astype(np.uint8), "offset": offset.astype(np.uint8)}
@@ -571,10 +647,12 @@ def _differing(batches, parts):
     windows, offset, start = windows.astype(np.int64), offset.astype(np.int64), start.astype(np.int64)
     ends = np.cumsum(windows + LENGTH - 1)
     texts = [whole[a:b] for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
-    anchor = gram_hashes(np.frombuffer(whole, np.uint8), ends - (windows + LENGTH - 1) + offset)
     gone = _settle(texts, doc)
     spans = [(doc[gone], row[gone], start[gone], start[gone] + windows[gone] + LENGTH - 1)]
-    keep = np.flatnonzero(~gone)
+    # Equal windows that came alone are settled now; the others stay in their documents.
+    alone = offset == _ALONE
+    anchor = gram_hashes(np.frombuffer(whole, np.uint8), ends - (windows + LENGTH - 1) + np.where(alone, 0, offset))
+    keep = np.flatnonzero(~gone & ~alone)
     which, window = lost_windows([texts[i] for i in keep.tolist()], doc[keep], anchor[keep], windows[keep], offset[keep])
     which = keep[which]
     by = np.lexsort((window, which))
@@ -636,7 +714,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     given = keyed.join(marked.hint("shuffle_hash"), "row", "left").filter("starts is not null")
     packed = ", ".join(f"{n} binary" for n in _SPANS)
     sent = map_batches(
-        given.select("doc", "row", "text", "starts"), _texts(parts),
+        given.select("doc", "row", "text", "starts"), _texts(parts, hot_anchors(keyed.filter(F.col("doc") != _LOWEST))),
         f"part int, {packed}, " + ", ".join(f"_{n} binary" for n in (*_TEXTS, "text")),
     )
     lost = map_batches(sent.repartitionById(parts, F.col("part")), _compared(parts), f"part int, {packed}")

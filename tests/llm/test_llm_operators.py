@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -300,14 +301,14 @@ def test_rows_repeated_in_a_task_are_dropped_there(spark):
     assert found.select("k").distinct().count() == frame.select("k").distinct().count()
 
 
-def test_passages(docs):
+def passages_by_bytes(rows):
     first = {}
-    for d, t in sorted((p for p in pairs() if p[0] is not None), key=lambda p: p[0]):
+    for d, t in sorted((p for p in rows if p[0] is not None), key=lambda p: p[0]):
         raw = t.encode()
         for i in range(len(raw) - 49):
             first.setdefault(raw[i : i + 50], d)
     wanted = Counter()
-    for d, t in pairs():
+    for d, t in rows:
         raw = t.encode()
         gone = np.zeros(len(raw), bool)
         for i in range(len(raw) - 49):
@@ -316,7 +317,64 @@ def test_passages(docs):
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         runs = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
         wanted[d, len(raw), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()] += 1
-    assert bag(passages.digests(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == wanted
+    return wanted
+
+
+def passages_by_spark(docs):
+    return bag(passages.digests(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@pytest.mark.parametrize("hot", [passages.HOT, 1])
+def test_passages(docs, monkeypatch, hot):
+    monkeypatch.setattr(passages, "HOT", hot)
+    assert passages_by_spark(docs) == passages_by_bytes(pairs())
+
+
+def edged(n):
+    """A passage in a third of all texts, with a text of its own on both sides."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    own = lambda k: "".join(rng.choice(letters) for _ in range(k))
+    return [(i, own(90) + (PASSAGE if i % 3 == 0 else own(20)) + own(90)) for i in range(n)]
+
+
+def test_a_passage_with_other_text_around_it_is_dealt_by_windows(spark, monkeypatch):
+    rows = edged(300)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = passages_by_bytes(rows)
+    asked = []
+    whole = passages.hot_anchors
+    monkeypatch.setattr(passages, "hot_anchors", lambda texts: asked.append(whole(texts)) or asked[-1])
+    assert passages_by_spark(frame) == wanted and not len(asked[-1])
+    monkeypatch.setattr(passages, "HOT", 20)
+    assert passages_by_spark(frame) == wanted and len(asked[-1])
+    monkeypatch.setattr(passages, "HOT_WINDOWS", 100)
+    assert passages_by_spark(frame) == wanted
+
+
+def sent_per_part(rows, parts, hot):
+    """Stretches of texts, in four tasks, that each part gets."""
+    got = np.zeros(parts, np.int64)
+    for task in range(4):
+        some = rows[task::4]
+        raw = [t.encode() for _, t in some]
+        doc, start, *_ = passages.cut(*common.as_bytes(pa.array(raw, pa.binary())))
+        marks = [start[doc == i].astype(np.int32).tobytes() for i in range(len(raw))]
+        ids = pa.array([d for d, _ in some], pa.int64())
+        batch = pa.record_batch({"doc": ids, "row": ids, "text": pa.array(raw, pa.binary()), "starts": pa.array(marks, pa.binary())})
+        for out in passages._texts(parts, hot)([batch]):
+            for part, docs in zip(out["part"].to_pylist(), out["_doc"].to_pylist()):
+                got[part] += len(docs or b"") // 8
+    return got
+
+
+def test_no_part_gets_the_stretches_of_a_hot_anchor(spark, monkeypatch):
+    monkeypatch.setattr(passages, "HOT", 20)
+    rows = [(i, t[85 : 95 + len(PASSAGE)]) for i, t in edged(1200) if i % 3 == 0]
+    hot = passages.hot_anchors(spark.createDataFrame(rows, "doc_id long, text string"))
+    before, after = sent_per_part(rows, 64, hot[:0]), sent_per_part(rows, 64, hot)
+    assert before.max() > 350 and before.max() > before.sum() / 4
+    assert after.max() < after.sum() / 16
 
 
 def test_suffix_sort_equals_plain_sort_even_if_hashes_collide(monkeypatch):

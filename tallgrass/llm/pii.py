@@ -1,8 +1,8 @@
 """Information-theoretic sanitisation of personal data.
 
 Personal data of fixed shape (email, ip, card, phone) are the protected
-entities. The terms within ``NEAR`` words of them, on the same line, are
-suspects: corpus counts tell how strongly a term reveals an entity,
+entities. The ``NEAR`` words before and after them, on the same line, are
+suspects; words inside base spans do not count: corpus counts tell how strongly a term reveals an entity,
 
     disclosure(c, t) = PMI(c, t) / IC(c) = log(p(c|t) / p(c)) / -log p(c),
 
@@ -14,7 +14,9 @@ reaches ``GENERALISE``. Only DataFrame functions are used.
 
 Counts cover every word of every text; words are counted inside their task
 before anything moves, so a frequent word is one row per task. Contexts are
-bounded by ``NEAR``, so no two terms or entities of a line are paired.
+bounded by ``NEAR``, so no two terms or entities of a line are paired. They are
+written once. An entity or a term that stands in a large share of all texts is
+looked up by ``lookup_join``, so no task gets all its rows.
 
 Defined cases: a null text is empty and has no spans. Rows that repeat a
 ``doc_id`` are told apart by their text; rows equal in both have equal spans.
@@ -27,6 +29,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallgrass.llm.common import stored
+from tallgrass.operators.skew import lookup_join
+
 NEAR = 8
 SUPPORT = 2
 GENERALISE = 0.75
@@ -129,8 +134,9 @@ def _contexts(keyed: DataFrame) -> DataFrame:
     )
     gaps, hits = F.split(F.col("line"), _WORD, -1), F.regexp_extract_all("line", F.lit(_WORD), F.lit(0))
     words = rows.select("_id", "_key", "at", F.posexplode(F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))).alias("pos", "p"))
-    upto = Window.partitionBy("_id", "_key", "at").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("_id", "_key", "at")
     length = F.coalesce(F.length("p.hit"), F.lit(0))
+    upto = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     words = words.withColumn("end", (F.col("at") + F.sum(F.length("p.gap") + length).over(upto)).cast("int"))
     words = words.filter("p.hit is not null").select(
         "_id", "_key", "at", (F.col("end") - F.length("p.hit")).alias("start"), "end",
@@ -140,19 +146,31 @@ def _contexts(keyed: DataFrame) -> DataFrame:
         "_id", "_key", "at", "s.start", "s.end", F.lit(None).cast("string").alias("term"),
         F.concat_ws(":", _name(F.col("s.kind")), F.lower("s.value")).alias("entity"),
     )
-    near = Window.partitionBy("_id", "_key", "at").orderBy("start", "end", "entity").rowsBetween(-NEAR, NEAR)
-    around = F.collect_list(F.struct("term", "start", "end")).over(near)
-    seen = (
-        words.unionByName(spans).withColumn("near", around).filter("entity is not null")
-        .select("_id", "_key", "entity", F.col("start").alias("_from"), F.col("end").alias("_to"), F.explode("near").alias("w"))
-        .filter("w.term is not null and (w.end <= _from or w.start >= _to)")
-    )
-    return seen.select("_id", "_key", "entity", "w.term", "w.start", "w.end").distinct()
+    # A word is outside all spans if those before it, in order of start, end before it and
+    # those behind it start behind it.
+    is_span = F.col("entity").isNotNull()
+    forth = line.orderBy("start", F.col("entity").isNull(), "end", "entity").rowsBetween(Window.unboundedPreceding, 0)
+    back = line.orderBy(F.desc("start"), is_span, "end", "entity").rowsBetween(Window.unboundedPreceding, 0)
+    reach, onward = F.max(F.when(is_span, F.col("end"))).over(forth), F.min(F.when(is_span, F.col("start"))).over(back)
+    outside = (F.coalesce(reach, F.lit(0)) <= F.col("start")) & (F.coalesce(onward, F.col("end")) >= F.col("end"))
+    both = words.unionByName(spans).withColumn("_out", F.col("term").isNotNull() & outside)
+    both = both.filter("_out or entity is not null")
+    # Places count outside words; a span stands behind those that start before it.
+    both = both.withColumn("place", F.sum(F.col("_out").cast("int")).over(forth))
+    near = F.explode(F.sequence(F.col("place") - (NEAR - 1), F.col("place") + NEAR))
+    keys = ["_id", "_key", "at", "place"]
+    asked = both.filter("entity is not null").select("_id", "_key", "at", "entity", near.alias("place")).distinct()
+    seen = asked.join(both.filter("_out").select(*keys, "term", "start", "end"), keys)
+    return seen.select("_id", "_key", "entity", "term", "start", "end")
 
 
 def disclosures(docs: DataFrame) -> DataFrame:
     """``entity, term, disclosure`` of the terms that stand near an entity at least ``SUPPORT`` times."""
-    return _disclosures(docs, _contexts(_keyed(docs)))
+    return _disclosures(docs, stored(_contexts(_keyed(docs)), "contexts")).select("entity", "term", "disclosure")
+
+
+def _pair() -> Column:
+    return F.concat(F.col("entity"), F.lit(" "), F.col("term"))
 
 
 def _disclosures(docs: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -161,11 +179,13 @@ def _disclosures(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     total = counts.agg(F.sum("_n").cast("double").alias("_all")).select("_all", F.lit(1).alias("_one"))
     pairs = contexts.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("_both")).filter(F.col("_both") >= SUPPORT)
     entities = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("_near"))
-    pairs = pairs.join(entities, "entity").withColumn("_t", F.xxhash64("term"))
-    found = pairs.join(counts, "_t").withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")  # one row
+    pairs = lookup_join(pairs, entities, "entity", "_near", ["term"]).withColumn("_t", F.xxhash64("term"))
+    # A word has at most as many pairs as it occurs.
+    found = lookup_join(pairs, counts, "_t", "_n", ["entity"])
+    found = found.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")  # one row
     given = F.least(F.col("_both") / F.col("_n"), F.lit(1.0))
     prior = F.least(F.col("_near") / F.col("_all"), F.lit(0.999999))
-    return found.select("entity", "term", (F.log(given / prior) / -F.log(prior)).alias("disclosure"))
+    return found.select("entity", "term", "_both", (F.log(given / prior) / -F.log(prior)).alias("disclosure"))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -174,10 +194,12 @@ def find(docs: DataFrame) -> DataFrame:
     Kinds are numbers into ``NAMES``. A term's value is ``removed`` or ``generalised``.
     """
     keyed = _keyed(docs)
-    contexts = _contexts(keyed)
-    strong = _disclosures(docs, contexts).filter(F.col("disclosure") >= GENERALISE)
+    contexts = stored(_contexts(keyed), "contexts")
+    strong = stored(_disclosures(docs, contexts).filter(F.col("disclosure") >= GENERALISE), "disclosures")
+    strong = strong.select(_pair().alias("_pair"), "disclosure", "_both")
     action = F.when(F.max("disclosure") >= REMOVE, "removed").otherwise("generalised")
-    terms = contexts.join(strong, ["entity", "term"]).groupBy("_id", "_key", "start", "end").agg(action.alias("value"))
+    told = lookup_join(contexts.withColumn("_pair", _pair()), strong, "_pair", "_both", ["_id", "_key"]).filter("disclosure is not null")
+    terms = told.groupBy("_id", "_key", "start", "end").agg(action.alias("value"))
     added = terms.groupBy("_id", "_key").agg(
         F.collect_list(F.struct("start", F.lit(TERM).alias("kind"), "end", "value")).alias("_terms")
     )

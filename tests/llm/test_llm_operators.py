@@ -411,12 +411,48 @@ def test_personal_data(docs):
 
     wanted = Counter()
     for d, t in pairs():
-        found = sorted((m.start(), k, m.end()) for k, p in enumerate(patterns) for m in re.finditer(p, t[:9000]) if fits(k, m.group()))
+        found = sorted((m.start(), k, m.end()) for k, p in enumerate(patterns) for m in re.finditer(p, t) if fits(k, m.group()))
         joined = ",".join(f"{pii.NAMES[k]}:{a}:{b}" for a, k, b in found)
         wanted[d, *(sum(f[1] == k for f in found) for k in range(4)), hashlib.sha256(joined.encode()).hexdigest()] += 1
     assert bag(pii.digests(docs), "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == wanted
 
 
+def disclosures_by_counts(rows):
+    """Entity, term and disclosure, counted in the open; addresses only."""
+    words, near = Counter(), defaultdict(Counter)
+    for _, text in rows:
+        words.update(w.lower() for w in re.findall(r"[^\W_]{2,}", text))
+        for line in text.split("\n"):
+            spans = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", line)]
+            outside = [m for m in re.finditer(r"[^\W_]{2,}", line) if all(m.end() <= a or m.start() >= b for a, b in spans)]
+            seen = set()
+            for a, b in spans:
+                before = [m for m in outside if m.end() <= a]
+                behind = [m for m in outside if m.start() >= b]
+                seen |= {("email:" + line[a:b].lower(), m.start(), m.group().lower()) for m in before[-pii.NEAR :] + behind[: pii.NEAR]}
+            for entity, _, term in seen:
+                near[entity][term] += 1
+    every, found = sum(words.values()), {}
+    for entity, terms in near.items():
+        prior = sum(terms.values()) / every
+        found |= {(entity, t): np.log(n / words[t] / prior) / -np.log(prior) for t, n in terms.items() if n >= pii.SUPPORT}
+    return found
+
+
+@pytest.mark.parametrize("copies", [1, 60])
+def test_disclosures_equal_plain_counts(spark, no_broadcast, copies):
+    rng = random.Random(8)
+    some = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    hosts = ["joe.smith@mail.example.com", "a-b.c-d@very-long.host-name.of-many.parts.example.org", "x@y.zz"]
+    texts = [f"{some(12)} {rng.choice(hosts)} {some(rng.randint(0, 12))} {rng.choice(hosts)} {some(3)}\n{some(20)}" for _ in range(60)]
+    texts += [f"zorblat {hosts[0]},{hosts[2]}"] * copies + ["", some(50), f"{hosts[1]}" * 2]
+    rows = list(enumerate(texts))
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosures(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wanted = disclosures_by_counts(rows)
+    assert got.keys() == wanted.keys() and wanted
+    assert all(abs(got[k] - wanted[k]) < 1e-9 for k in wanted)
+
+
 def test_telling_terms_are_removed_and_common_ones_stay(spark):
     rows = [(i, f"the zorblat office of joe@x.com writes the letter {prose(4)}") for i in range(3)] + [(10 + i, "the letter of the office " + prose(20)) for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

@@ -16,7 +16,7 @@ Counts cover every word of every text; words are counted inside their task
 before anything moves, so a frequent word is one row per task. Contexts are
 bounded by ``NEAR``, so no two terms or entities of a line are paired. They are
 written once. An entity or a term that stands in a large share of all texts is
-looked up by ``lookup_join``, so no task gets all its rows.
+looked up with its hot rows spread, so no task gets all its rows.
 
 Defined cases: a null text is empty and has no spans. Rows that repeat a
 ``doc_id`` are told apart by their text; rows equal in both have equal spans.
@@ -30,7 +30,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallgrass.llm.common import stored
-from tallgrass.operators.skew import lookup_join
+from tallgrass.operators.skew import lookup_join, lookup_used
 
 NEAR = 8
 SUPPORT = 2
@@ -180,8 +180,8 @@ def _disclosures(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     pairs = contexts.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("_both")).filter(F.col("_both") >= SUPPORT)
     entities = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("_near"))
     pairs = lookup_join(pairs, entities, "entity", "_near", ["term"]).withColumn("_t", F.xxhash64("term"))
-    # A word has at most as many pairs as it occurs.
-    found = lookup_join(pairs, counts, "_t", "_n", ["entity"])
+    # Only words of pairs are asked for, so the hottest are those with most pairs.
+    found = lookup_used(pairs, counts, "_t", ["entity"])
     found = found.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")  # one row
     given = F.least(F.col("_both") / F.col("_n"), F.lit(1.0))
     prior = F.least(F.col("_near") / F.col("_all"), F.lit(0.999999))

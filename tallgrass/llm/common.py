@@ -6,16 +6,14 @@ of any name may stand beside them. Names with a leading underscore are theirs.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tallgrass.session import new_run_dir
+from tallgrass.session import importable, new_run_dir
 
 #: Bytes of text that one step of a mapper takes at once.
 CHUNK_BYTES = 4 << 20
@@ -69,18 +67,6 @@ def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES)
         start = end
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
-
-    On a cluster whose nodes do not have that folder, ship the package with
-    ``--py-files`` or ``addPyFile`` as usual.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
-
-
 def map_batches(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` over non-empty batches; ``fn`` maps an iterator of batches to an iterator of dicts of arrays."""
 

@@ -24,6 +24,7 @@ from tallgrass.functions.tokens import (
     stretches,
     tokenize,
 )
+from tallgrass.operators.paircells import COUNTS, cell_counts
 from tallgrass.operators.skew import lookup_join
 from tallgrass.session import new_run_dir
 
@@ -65,14 +66,13 @@ def pair_counts(
     """Unordered pairs ``x < y`` that share a stretch, with the number of such stretches.
 
     A stretch gives a bounded number of pairs, each one once: half of what the
-    two directions would shuffle.
+    two directions would shuffle. Tasks count them before they move.
     """
-    words = _stretches(tokenized, max_words).select(F.sort_array("words").alias("words"))
-    left = explode_once(words, F.col("words"), "i", "x", keep=["words"])
-    after_x = F.slice("words", F.col("i") + 2, F.size("words"))
-    pairs = explode_once(left, after_x, "y", keep=["x"])
-    counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-    return counted if threshold <= 1 else counted.filter(F.col("n") >= threshold)
+    return _pairs(cell_counts(_stretches(tokenized, max_words), threshold)).select("x", "y", "n")
+
+
+def _pairs(counts: DataFrame) -> DataFrame:
+    return counts.filter("kind = 'pair'").drop("kind")
 
 
 def mirror(pairs: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def mirror(pairs: DataFrame) -> DataFrame:
 
 
 class Counted(NamedTuple):
-    """Counts of one pass over the stretches: ``pairs(x, y, n)`` with ``x < y``, ``words(w, n)`` and ``total(n_stretches)``."""
+    """Counts of one pass over the stretches: ``pairs(x, y, n, n_x, n_y, n_stretches)`` with ``x < y``, ``words(w, n)`` and ``total(n_stretches)``."""
 
     pairs: DataFrame
     words: DataFrame
@@ -101,26 +101,19 @@ def counted(
 ) -> Counted:
     """Pairs and words in ``threshold`` stretches or more, and the number of stretches, from one shuffle.
 
-    An empty word stands in front of the words of every stretch: its pairs count the
-    words, and its pair with itself counts the stretches. So tokens are found once and
+    Tasks count the words and pairs of many stretches together (:func:`cell_counts`), and
+    the counts of a pair meet with those of its words. So tokens are found once and
     all counts are made together. They are stored below ``place``, by default in the
     shared folder of the session, for whatever needs them next. A word of a pair that
     passes is in as many stretches at least, so rarer words are not kept.
     """
     spark = tokenized.sparkSession
     place = place or new_run_dir(spark, "counts")
-    marked = F.concat(F.array(F.lit("")), F.sort_array("words"))
-    words = _stretches(tokenized, max_words).select(marked.alias("words"))
-    left = explode_once(words, F.col("words"), "i", "x", keep=["words"])
-    itself = F.when(F.col("i") == 0, 1).otherwise(2)
-    pairs = explode_once(left, F.slice("words", F.col("i") + itself, F.size("words")), "y", keep=["x"])
-    kind = F.when(F.col("y") == "", "total").when(F.col("x") == "", "word").otherwise("pair")
-    counts = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", kind)
-    kept = counts.filter((F.col("n") >= threshold) | (F.col("kind") == "total"))
-    kept.write.mode("overwrite").partitionBy("kind").parquet(place)
-    stored = spark.read.schema("x string, y string, n long, kind string").parquet(place)
+    counts = cell_counts(_stretches(tokenized, max_words), threshold)
+    counts.write.mode("overwrite").partitionBy("kind").parquet(place)
+    stored = spark.read.schema(COUNTS).parquet(place)
     return Counted(
-        stored.filter("kind = 'pair'").select("x", "y", "n"),
+        _pairs(stored),
         stored.filter("kind = 'word'").select(F.col("y").alias("w"), "n"),
         stored.filter("kind = 'total'").select(F.col("n").alias("n_stretches")),
     )
@@ -132,17 +125,13 @@ def pmi_pairs(
     max_words: int = MAX_WORDS_PER_LINE,
 ) -> DataFrame:
     """``(x, y, pmi, n)`` for both directions of pairs in ``threshold`` stretches or more."""
-    return mirror(_with_pmi(counted(tokenized, threshold, max_words)))
+    return mirror(_with_pmi(_pairs(cell_counts(_stretches(tokenized, max_words), threshold))))
 
 
-def _with_pmi(found: Counted) -> DataFrame:
-    """Add PMI to counted unordered pairs; it is the same in both directions."""
-    n_x = found.words.select(F.col("w").alias("x"), F.col("n").alias("n_x"))
-    n_y = found.words.select(F.col("w").alias("y"), F.col("n").alias("n_y"))
-    with_x = lookup_join(found.pairs, n_x, "x", weight="n_x", spread_by=["y"])
-    with_xy = lookup_join(with_x, n_y, "y", weight="n_y", spread_by=["x"])
-    value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), found.total.scalar())
-    return with_xy.select("x", "y", value.alias("pmi"), "n")
+def _with_pmi(pairs: DataFrame) -> DataFrame:
+    """PMI of counted unordered pairs; it is the same in both directions."""
+    value = stats.pmi(F.col("n"), F.col("n_x"), F.col("n_y"), F.col("n_stretches"))
+    return pairs.select("x", "y", value.alias("pmi"), "n")
 
 
 def to_stripes(pairs: DataFrame, value: Column, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
@@ -169,9 +158,11 @@ def pmi_stripes(
     max_entries: int = STRIPE_ENTRIES,
 ) -> DataFrame:
     """``(x, block, map<y, struct<pmi, n>>)``."""
-    found = counted(tokenized, threshold, max_words)
-    partners = mirror(found.pairs).groupBy("x").agg(F.count(F.lit(1)).alias("fanout"))
-    scored = lookup_join(mirror(_with_pmi(found)), partners, "x", weight="fanout", spread_by=["y"])
+    pairs = counted(tokenized, threshold, max_words).pairs
+    partners = mirror(pairs).groupBy("x").agg(F.count(F.lit(1)).alias("fanout"))
+    # Words with several blocks: one for ``max_entries`` pairs at most, so pairs need not move to meet them.
+    wide = F.broadcast(partners.filter(F.col("fanout") > max_entries))
+    scored = mirror(_with_pmi(pairs)).join(wide, "x", "left").withColumn("fanout", F.coalesce("fanout", F.lit(1)))
     return to_stripes(scored, F.struct("pmi", "n"), max_entries)
 
 

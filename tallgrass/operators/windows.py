@@ -78,6 +78,20 @@ def locate_in(events: DataFrame, regions: DataFrame, cell: float, spread: int =
     return placed.join(cells, ["_cx", "_cy", "_turn"]).filter(inside).select(*events.columns, "region")
 
 
+def counts_in(events: DataFrame, regions: DataFrame, cell: float, spread: int = 16) -> DataFrame:
+    """``(region, n)``: how many events each region of a table holds; regions without any have no row.
+
+    As :func:`locate_in`, but events at one point and regions of one shape meet once: the
+    work follows from the different points and shapes, not from events times regions.
+    """
+    bounds = ["x_min", "x_max", "y_min", "y_max"]
+    named = regions.select("region", F.struct(*[F.col(b).cast("double").alias(b) for b in bounds]).alias("shape"))
+    shapes = named.groupBy("shape").agg(F.min("region").alias("name")).select(F.struct("name", "shape").alias("region"), "shape.*")
+    points = events.filter("x is not null and y is not null").groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    held = locate_in(points, shapes, cell, spread).groupBy(F.col("region.shape").alias("shape")).agg(F.sum("n").alias("n"))
+    return named.join(held, "shape").groupBy("region").agg(F.sum("n").alias("n"))
+
+
 def _ends(window: str = "w") -> list[Column]:
     return [F.col(f"{window}.start").alias("window_start"), F.col(f"{window}.end").alias("window_end")]
 

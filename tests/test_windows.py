@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from collections import Counter
 
 import pytest
@@ -133,3 +134,28 @@ def test_zero_rows_do_not_depend_on_the_span_they_are_listed_in(spark, monkeypat
     found = {(r.region, r.window_end): r.n for r in windows.zero_fill(counts, "10 minutes", end).collect()}
     wanted = {("a", at(m)): 2 * (m == 10) for m in range(10, 90, 10)} | {("b", at(m)): int(m == 50) for m in range(50, 90, 10)}
     assert found == wanted
+
+
+def test_regions_of_one_shape_meet_an_event_once(spark):
+    """Counts as of :func:`locate_in`, though 2,000 regions of one shape hold 3,000 events at one point: few rows meet."""
+    boxes = [("a", 0.0, 2.0, 0.0, 2.0), ("a", 1.0, 5.0, -1.0, 2.5), ("b", 0.0, 2.0, 0.0, 2.0), ("empty", 3.0, 3.0, 0.0, 1.0), ("far", 50.0, 51.0, 0.0, 1.0)]
+    schema = "region string, x_min double, x_max double, y_min double, y_max double"
+    events = spark.createDataFrame([((i * 37 % 140) / 10 - 6, (i * 53 % 120) / 10 - 6) for i in range(600)] + [(None, 1.0), (1.0, None), (0.0, 1.0)], "x double, y double")
+    found = windows.counts_in(events, spark.createDataFrame(boxes, schema), 2.0)
+    wanted = windows.locate_in(events, spark.createDataFrame(boxes, schema), 2.0).groupBy("region").count()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    same = spark.range(2000).selectExpr("cast(id as string) region", "0.0D x_min", "2.0D x_max", "0.0D y_min", "2.0D y_max")
+    crowd = spark.range(3000).selectExpr("1.0D x", "1.0D y")
+    counted = windows.counts_in(crowd, same, 2.0)
+    assert {r.n for r in counted.collect()} == {3000} and counted.count() == 2000
+    endless = spark.createDataFrame([("endless", 0.0, None, 0.0, 1.0)], schema)
+    with pytest.raises(Exception, match="region without bounds: .endless"):
+        windows.counts_in(events, endless, 2.0).collect()
+
+
+def test_the_table_of_regions_meets_points_and_shapes(spark):
+    from conftest import SMALL
+    from tallgrass.plans import queries
+
+    plan = plan_of(queries.region_table_matches(spark, SMALL))
+    assert re.search(r"HashAggregate\(keys=\[(x#\d+|knownfloatingpoint.*?x#\d+).*y#", plan), plan

@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import Window
 
 from tallgrass.functions.tokens import explode_once, tokenize
+from tallgrass.operators.buckets import estimated_bytes
 from tallgrass.sources.sinks import save_sorted
 
 DOCS_PER_BLOCK = 1 << 18
 SNIPPET_CHARS = 80
+#: Bytes of texts, as Spark estimates them, whose postings one task sorts and writes: in memory they are about fifteen times that.
+FILE_BYTES = 4 << 20
 
 
 class InvertedIndex(NamedTuple):
@@ -58,13 +61,15 @@ def build_index(docs: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> Invert
 
 
 def save_index(index: InvertedIndex, path: str, files: int) -> InvertedIndex:
-    """Store an index and return the stored one.
+    """Store an index in ``files`` files, or more if it is large, and return the stored one.
 
+    A task sorts what goes into its file, so the number of files grows with the input.
     It is sorted by term, so that a lookup reads only the row groups of its
     terms. Document frequencies come from the stored postings: texts are not
     read again for them.
     """
     spark = index.postings.sparkSession
+    files = max(files, -(-(estimated_bytes(index.postings) or 0) // FILE_BYTES))
     save_sorted(index.postings, f"{path}/postings", ["term", "block"], files)
     stored = spark.read.parquet(f"{path}/postings")
     df = F.sum(F.size("postings").cast("long")).alias("df")

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tallgrass.operators.buckets import estimated_bytes
 from tallgrass.session import importable
 
 #: Occurrences of pairs and of words that a task counts at once.
@@ -31,7 +32,6 @@ PAIRS_HELD = 1 << 22
 SIDE = 3
 GROUPS = 33
 CELL_BYTES = 2 << 20
-UNKNOWN_BYTES = 1 << 50
 #: Counts of one task, at most ``WORDS_AT_ONCE`` and a batch, take that many bits below the number of their pair.
 COUNT_BITS = 23
 LEVEL = 1
@@ -42,10 +42,8 @@ COUNTS = "x string, y string, n long, n_x long, n_y long, n_stretches long, kind
 
 def groups_for(table: DataFrame) -> int:
     """How many groups of words: their cells grow with the input, so a cell stays within the memory of a task."""
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    size = int(size.toString()) if hasattr(size, "toString") else int(size)
-    blocks = 0 if size >= UNKNOWN_BYTES else int((2 * size / CELL_BYTES) ** 0.5) // SIDE
-    return max(GROUPS, blocks * SIDE)
+    size = estimated_bytes(table) or 0
+    return max(GROUPS, int((2 * size / CELL_BYTES) ** 0.5) // SIDE * SIDE)
 
 
 def cell_counts(stretches: DataFrame, threshold: int) -> DataFrame:

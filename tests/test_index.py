@@ -1,5 +1,6 @@
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from tallgrass.operators import index
 
@@ -86,3 +87,16 @@ def test_stored_index_is_read_by_term(spark, built, tmp_path):
     assert sorted(stored.terms.collect()) == sorted(built.terms.collect())
     assert [r.doc_id for r in index.boolean_search(stored, "alpha gamma AND").collect()] == [5]
     assert "EqualTo(term,alpha)" in plan_of(index.docs_with(stored, "alpha"))
+
+
+def test_a_large_index_has_more_files(spark, tmp_path, monkeypatch):
+    """What a task sorts stays the same; a small index keeps the number asked for."""
+    words = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.translate((F.col("id") * 7 + i).cast("string"), "0123456789", "abcdefghij")), " ")
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), words.alias("text"))
+    built, files = index.build_index(docs, docs_per_block=64), {}
+    for size in (index.FILE_BYTES, 1000):
+        monkeypatch.setattr(index, "FILE_BYTES", size)
+        stored = index.save_index(built, str(tmp_path / str(size)), files=3)
+        files[size] = stored.postings.select(F.input_file_name().alias("f")).distinct().count()
+        assert sorted(stored.terms.collect()) == sorted(built.terms.collect())
+    assert files.pop(1000) > 6 and [*files.values()] == [3]

@@ -91,10 +91,11 @@ def test_tokens_are_found_once_for_all_counts(spark, monkeypatch):
     assert [p.count("regexp_extract_all") for p in written] == [1] and len([e for e in exchanges(written[0]) if "x#" in e]) == 1
 
 
-@pytest.mark.parametrize("name", ["score_docs", "ensemble_average", "ensemble_vote"])
+@pytest.mark.parametrize("name", ["score_docs", "ensemble_average", "ensemble_vote", "train_batches"])
 def test_features_are_hashed_once_for_models_and_scores(spark, monkeypatch, name):
     written = []
-    monkeypatch.setattr(DataFrameWriter, "save", lambda self, path=None, f=DataFrameWriter.save, **k: (written.append(plan_of(self._df)), f(self, path, **k))[1])
+    for way in ("save", "parquet"):
+        monkeypatch.setattr(DataFrameWriter, way, lambda self, path=None, f=getattr(DataFrameWriter, way), **k: (written.append(plan_of(self._df)), f(self, path, **k))[1])
     plans = [plan_of(QUERIES[name](spark, SMALL)), *written]
     assert sum(p.count("regexp_extract_all") for p in plans) == 1
 

@@ -24,8 +24,8 @@ from tallgrass.functions.tokens import (
     stretches,
     tokenize,
 )
+from tallgrass.operators import bigrams
 from tallgrass.operators.paircells import COUNTS, cell_counts
-from tallgrass.operators.skew import lookup_join
 from tallgrass.session import new_run_dir
 
 STRIPE_ENTRIES = 10_000
@@ -168,37 +168,25 @@ def pmi_stripes(
 
 def bigram_counts(tokenized: DataFrame) -> DataFrame:
     """Neighbouring tokens ``(x, y, n)`` over the whole of every line."""
-    at = explode_once(tokenized, F.col("tokens"), "i", "x", keep=["tokens"])
-    return (
-        at.select("x", F.get("tokens", F.col("i") + 1).alias("y"))
-        .filter("y is not null")
-        .groupBy("x", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return bigrams.pair_rows(bigrams.partial_stripes(tokenized), STRIPE_ENTRIES).drop("marginal")
 
 
 def bigram_frequencies(tokenized: DataFrame) -> DataFrame:
-    """``(x, y, n, marginal, fanout, freq)`` with ``freq = n / marginal``.
+    """``(x, y, n, marginal, freq)`` with ``freq = n / marginal``.
 
-    ``marginal`` is the number of bigrams that start with ``x``, ``fanout`` the
-    number of different ones.
+    ``marginal`` is the number of bigrams that start with ``x``.
     """
-    pairs = bigram_counts(tokenized)
-    marginals = pairs.groupBy("x").agg(
-        F.sum("n").alias("marginal"), F.count(F.lit(1)).alias("fanout")
-    )
-    joined = lookup_join(pairs, marginals, "x", weight="fanout", spread_by=["y"])
-    return joined.withColumn("freq", F.col("n") / F.col("marginal"))
+    pairs = bigrams.pair_rows(bigrams.partial_stripes(tokenized), STRIPE_ENTRIES)
+    return pairs.withColumn("freq", F.col("n") / F.col("marginal"))
 
 
 def bigrams_with_marginals(tokenized: DataFrame) -> DataFrame:
     """Bigram rows plus one ``(x, "*")`` row per first word, with its marginal count."""
-    pairs = bigram_counts(tokenized)
-    marginals = pairs.groupBy("x").agg(F.sum("n").alias("n"))
-    return pairs.unionByName(marginals.select("x", F.lit(MARGINAL_MARK).alias("y"), "n"))
+    partial = bigrams.partial_stripes(tokenized)
+    marginals = bigrams.marginals(partial).select("x", F.lit(MARGINAL_MARK).alias("y"), "n")
+    return bigrams.pair_rows(partial, STRIPE_ENTRIES).drop("marginal").unionByName(marginals)
 
 
 def bigram_stripes(tokenized: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
-    """``(x, block, map<y, freq>)``."""
-    pairs = bigram_frequencies(tokenized)
-    return to_stripes(pairs, F.col("freq"), max_entries)
+    """``(x, block, map<y, freq>)``, in blocks as :func:`to_stripes` has them."""
+    return bigrams.stripe_rows(bigrams.partial_stripes(tokenized), max_entries)

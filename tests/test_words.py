@@ -3,11 +3,12 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.functions.tokens import tokenize
-from tallgrass.operators import words
+from tallgrass.operators import bigrams, words
 from tallgrass.operators.skew import lookup_join
 
 
@@ -174,3 +175,64 @@ def test_lookup_join_spreads_a_hot_key(spark, no_broadcast):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert len(sizes) == 4 and max(sizes) < 8000 * 0.4
+
+
+def shuffled_records(spark, run):
+    """Records that all stages of ``run`` write for a shuffle."""
+    context = spark.sparkContext
+    store, nothing = context._jsc.sc().statusStore(), context._gateway.new_array(context._gateway.jvm.double, 0)
+
+    def written():
+        context._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.stageList(None, False, False, nothing, None)
+        return {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())}
+
+    before = written()
+    run()
+    return sum(n for stage, n in written().items() if stage not in before)
+
+
+@pytest.mark.parametrize("operator", [words.bigram_frequencies, words.bigrams_with_marginals, words.bigram_stripes])
+def test_bigrams_move_by_word_not_by_pair(spark, operator):
+    number = [F.pmod(F.xxhash64(F.col("id"), F.lit(k)), F.lit(200)) for k in range(40)]
+    value = F.concat_ws(" ", *[F.translate(n.cast("string"), "0123456789", "abcdefghij") for n in number])
+    tokenized = words.tokenized_lines(spark.range(0, 1000, 1, 2).select(value.alias("value")))
+    moved = shuffled_records(spark, lambda: operator(tokenized).write.format("noop").mode("overwrite").save())
+    assert words.bigram_counts(tokenized).count() > 20_000
+    assert 0 < moved < 5_000
+
+
+def test_partial_stripes_add_up_in_any_pieces(monkeypatch):
+    monkeypatch.setattr(bigrams, "ROW_ENTRIES", 2)
+    monkeypatch.setattr(bigrams, "TOKENS_AT_ONCE", 5)
+    monkeypatch.setattr(bigrams, "ENTRIES_AT_ONCE", 3)
+    monkeypatch.setattr(bigrams, "BATCH_ROWS", 2)
+    corpus = [["a", "b", "a", "c"], None, [], ["a"], ["a", "a", "a", "d", "é"], ["b", "a"], ["a", "b"]]
+    batches = [pa.record_batch([pa.array(corpus[i : i + 2], pa.list_(pa.string()))], ["tokens"]) for i in range(0, 8, 2)]
+    sent = sorted((r for b in bigrams._counted(iter(batches)) for r in b.to_pylist()), key=lambda r: r["x"])
+    schema = pa.schema([("x", pa.string()), ("slot", pa.int32()), ("slots", pa.int32()), ("marginal", pa.int64())])
+    types = {f.name: f.type for f in next(bigrams._counted(iter(batches))).schema}
+    schema = pa.schema([*schema, *[(n, t) for n, t in types.items() if n not in ("x", "total", "entries")]])
+    rows = [{**r, "slot": 0, "slots": 1, "marginal": None} for r in sent]
+    met = [pa.RecordBatch.from_pylist(rows[i : i + 1], schema) for i in range(len(rows))]
+    found = [r for b in bigrams._added(iter(met), bigrams.PAIRS) for r in b.to_pylist()]
+    counts = Counter(p for line in corpus for p in zip(line or [], (line or [])[1:]))
+    assert len(found) == len(counts) and {(r["x"], r["y"]): r["n"] for r in found} == counts
+    assert all(r["marginal"] == sum(n for (x, _), n in counts.items() if x == r["x"]) for r in found)
+
+
+@pytest.mark.parametrize("max_entries", [1, 3, 10_000])
+def test_bigram_stripes_have_one_row_for_few_words_and_blocks_for_many(spark, max_entries):
+    corpus = [f"hub x{chr(97 + i // 26)}{chr(97 + i % 26)} é{'z' * (i % 3)}b a b" for i in range(60)] + ["hub xaa", "", "...", "alone"]
+    stripes = words.bigram_stripes(lines(spark, *corpus).repartition(3), max_entries).collect()
+    counts = brute_bigrams(corpus)
+    marginal = Counter()
+    for (x, _), n in counts.items():
+        marginal[x] += n
+    entries = [(r.x, y, f) for r in stripes for y, f in r.stripe.items()]
+    assert len(entries) == len(counts) and {(x, y): f for x, y, f in entries} == {(x, y): n / marginal[x] for (x, y), n in counts.items()}
+    fanout = Counter(x for x, _ in counts)
+    for x, n in fanout.items():
+        blocks = [r.block for r in stripes if r.x == x]
+        assert len(blocks) == len(set(blocks)) and max(blocks) < -(-n // max_entries)
+        assert n > max_entries or blocks == [0]

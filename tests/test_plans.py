@@ -105,3 +105,13 @@ def test_sources_avoid_what_does_not_scale():
         body = file.read_text()
         for word in ("localCheckpoint", "crossJoin", ".collect()", ".toPandas(", "collectAsMap", "foreachBatch"):
             assert word not in body, (file, word)
+
+
+def test_features_are_counted_in_pieces_whose_number_grows_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(registered, "PIECE_BYTES", 1 << 12)
+    pieces = registered._pieces(spark, SMALL)
+    assert pieces > 20
+    plan = plan_of(registered.features(spark, SMALL))
+    assert len(re.findall(rf", {pieces}\), REPARTITION_BY_NUM", plan)) == 2
+    # No aggregate holds a task's input before its occurrences meet those of others.
+    assert "partial_count" not in plan.split("REPARTITION_BY_NUM", 1)[1]

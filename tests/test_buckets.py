@@ -40,3 +40,22 @@ def test_buckets_follow_the_bytes_and_settings_stay(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
     assert bucket_session(spark, 77).conf.get("spark.sql.shuffle.partitions") == "77"
     assert before == (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled"))
+
+
+def test_no_task_holds_its_rows_to_write_buckets(spark, tmp_path):
+    inner = bucket_session(spark, 4)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    gateway = spark.sparkContext._gateway
+
+    def peaks():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return {found.apply(i).stageId(): found.apply(i).peakExecutionMemory() for i in range(found.size())}
+
+    before = peaks()
+    rows = inner.range(0, 400_000, 1, 4).selectExpr("id", "id * 2 AS n").repartition(4, "id")
+    write_buckets(rows, str(tmp_path / "t"), "id", 4)
+    assert max(n for stage, n in peaks().items() if stage not in before) < 1 << 20
+    table = read_buckets(inner, str(tmp_path / "t"), "id", 4, schema_of(rows))
+    assert table.count() == 400_000 and table.filter("n <> id * 2").isEmpty()
+    assert len(list((tmp_path / "t").glob("*.parquet"))) == 4

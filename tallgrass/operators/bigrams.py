@@ -57,11 +57,6 @@ def _stored(table: DataFrame, place: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(place)
 
 
-def marginals(partial: Partial) -> DataFrame:
-    """``(x, n)``: how many bigrams start with a word."""
-    return partial.rows.groupBy("x").agg(F.sum("total").alias("n"))
-
-
 def wide_words(partial: Partial, entries: int) -> DataFrame:
     """``(x, marginal, slots)`` of words with more than ``entries`` entries: at most one word for that many entries of all."""
     found = partial.rows.groupBy("x").agg(F.sum("total").alias("marginal"), F.sum("entries").alias("_weight"))

@@ -168,7 +168,13 @@ def pmi_stripes(
 
 def bigram_counts(tokenized: DataFrame) -> DataFrame:
     """Neighbouring tokens ``(x, y, n)`` over the whole of every line."""
-    return bigrams.pair_rows(bigrams.partial_stripes(tokenized), STRIPE_ENTRIES).drop("marginal")
+    at = explode_once(tokenized, F.col("tokens"), "i", "x", keep=["tokens"])
+    return (
+        at.select("x", F.get("tokens", F.col("i") + 1).alias("y"))
+        .filter("y is not null")
+        .groupBy("x", "y")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
 def bigram_frequencies(tokenized: DataFrame) -> DataFrame:
@@ -182,9 +188,9 @@ def bigram_frequencies(tokenized: DataFrame) -> DataFrame:
 
 def bigrams_with_marginals(tokenized: DataFrame) -> DataFrame:
     """Bigram rows plus one ``(x, "*")`` row per first word, with its marginal count."""
-    partial = bigrams.partial_stripes(tokenized)
-    marginals = bigrams.marginals(partial).select("x", F.lit(MARGINAL_MARK).alias("y"), "n")
-    return bigrams.pair_rows(partial, STRIPE_ENTRIES).drop("marginal").unionByName(marginals)
+    pairs = bigram_counts(tokenized)
+    marginals = pairs.groupBy("x").agg(F.sum("n").alias("n"))
+    return pairs.unionByName(marginals.select("x", F.lit(MARGINAL_MARK).alias("y"), "n"))
 
 
 def bigram_stripes(tokenized: DataFrame, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
